@@ -50,7 +50,7 @@ def char_classes() -> np.ndarray:
     # the tokenizer's own character tables may be older than regex's: it is asked about the newest characters
     words = ByteLevel(add_prefix_space=False).pre_tokenize_str
     for c in np.flatnonzero(table != OTHER).tolist():
-        if unicodedata.category(every[c]) == "Cn" and len(words("a9"[table[c] == NUMBER] + every[c])) > 1:
+        if unicodedata.category(every[c]) == "Cn" and len(words(("9" if table[c] == NUMBER else "a") + every[c])) > 1:
             table[c] = OTHER
     table[list(WHITE_SPACE)] = BLANK
     table[0x20] = SPACE
