@@ -7,17 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from visitmart.llm.common import table
+from visitmart.llm.language_id import language_id
+from visitmart.llm.quality import quality
 from visitmart.llm.token_counts import token_counts
+from visitmart.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_token_counts,)}
+    return {f.__name__: f for f in (op3_language_id, op4_token_counts, op6_quality, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
