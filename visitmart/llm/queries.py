@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from visitmart.llm.common import table
+from visitmart.llm.decontamination import contaminated
 from visitmart.llm.language_id import language_id
 from visitmart.llm.quality import quality
+from visitmart.llm.simhash import simhash_groups
 from visitmart.llm.token_counts import token_counts
 from visitmart.llm.toxicity import toxicity
 
@@ -23,6 +25,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,8 +37,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_language_id, op4_token_counts, op6_quality, op9_toxicity)}
+    return {f.__name__: f for f in (op3_language_id, op4_token_counts, op5_simhash, op6_quality, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
