@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitmart.llm.common import table
 from visitmart.llm.decontamination import contaminated
+from visitmart.llm.embedding_dedup import embedding_groups
 from visitmart.llm.language_id import language_id
 from visitmart.llm.quality import quality
 from visitmart.llm.simhash import simhash_groups
@@ -17,6 +18,10 @@ from visitmart.llm.toxicity import toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_language_id, op4_token_counts, op5_simhash, op6_quality, op9_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
