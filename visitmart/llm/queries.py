@@ -10,6 +10,7 @@ from visitmart.llm.common import table
 from visitmart.llm.decontamination import contaminated
 from visitmart.llm.embedding_dedup import embedding_groups
 from visitmart.llm.language_id import language_id
+from visitmart.llm.mixing import MIXTURE_SQL, mixture
 from visitmart.llm.quality import quality
 from visitmart.llm.simhash import simhash_groups
 from visitmart.llm.token_counts import token_counts
@@ -38,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,8 +52,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op9_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": MIXTURE_SQL}
