@@ -11,14 +11,20 @@ from visitmart.llm.decontamination import contaminated
 from visitmart.llm.embedding_dedup import embedding_groups
 from visitmart.llm.language_id import language_id
 from visitmart.llm.mixing import MIXTURE_SQL, mixture
+from visitmart.llm.packing import pack
 from visitmart.llm.quality import quality
 from visitmart.llm.simhash import simhash_groups
 from visitmart.llm.token_counts import token_counts
 from visitmart.llm.toxicity import toxicity
+from visitmart.llm.warc import DIGESTS_SQL, archive_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
 
@@ -43,6 +49,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_digests(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,8 +62,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op9_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op8_warc, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": MIXTURE_SQL}
+    return {"op7_mixing": MIXTURE_SQL, "op8_warc": DIGESTS_SQL}
