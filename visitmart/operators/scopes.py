@@ -151,8 +151,13 @@ def funnel_rows(scope: Scope, steps: list[list[object]]) -> DataFrame:
     return df.withColumn("continued", reached.cast("long")).withColumn("fallout", (~reached).cast("long"))
 
 
-def index_in(scope: Scope, up: int) -> Column:
-    """1-based index of the item within its ancestor ``up`` levels above; events run across pages."""
+def with_index(scope: Scope, up: int, name: str) -> tuple[Scope, Column]:
+    """The scope with a column for the item's 1-based index within its ancestor ``up`` levels above; events run
+    across pages."""
+    return replace(scope, df=scope.df.withColumn(name, _index_in(scope, up))), F.col(name)
+
+
+def _index_in(scope: Scope, up: int) -> Column:
     at = len(scope.chain) - 1 - up
     if up < 1 or at < 0:
         raise ValueError("an index needs an ancestor within the visit; for the whole run see global_index")

@@ -34,6 +34,10 @@ def conditions_met(pages: Column, conditions: list[Condition]) -> Column:
     return F.aggregate(pages, F.lit(0), step)
 
 
+def _tagged(tags: Column, n: int) -> Callable[[Column, Column], Column]:
+    return lambda p, i: F.get(tags, i) == n
+
+
 def names_of(k: int, total: bool = True) -> list[str]:
     inner = [f"Between{i}" for i in range(1, k)]
     return ["Before", *inner, "After", *(["Total"] if total else [])]
@@ -67,7 +71,7 @@ def split_pages(
 
         state = F.aggregate(pages, F.struct(F.lit(0).alias("done"), F.array().cast("array<int>").alias("tags")), step)
         tags = state["tags"]
-        lists = [F.filter(pages, lambda p, i, n=n: F.get(tags, i) == n) for n in range(k + 1)]
+        lists = [F.filter(pages, _tagged(tags, n)) for n in range(k + 1)]
         met = state["done"] == k
     if empty_if_not_met:
         lists = [F.when(met, x).otherwise(empty) for x in lists]

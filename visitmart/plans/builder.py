@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from visitmart.functions.keys import KeyFactory, hash_key
 from visitmart.model import DIMENSION, FACT, KEY, Field, StarSchema
 from visitmart.operators.aggregate import count_fact
-from visitmart.operators.scopes import Scope, index_in
+from visitmart.operators.scopes import Scope, with_index
 from visitmart.plans.extract import Context, FieldMaker, TableDef, extract_tables
 from visitmart.sources.visits import normalise
 
@@ -52,7 +52,11 @@ class Table:
         return self.map(lambda ctx, s: (s, [count_fact(s, up, name)]))
 
     def index(self, name: str, up: int = 1) -> Table:
-        return self.map(lambda ctx, s: (s, [Field(name, DIMENSION, index_in(s, up))]))
+        def make(ctx: Context, s: Scope):
+            s, index = with_index(s, up, ctx.fresh("index"))
+            return s, [Field(name, DIMENSION, index)]
+
+        return self.map(make)
 
     def lookup(self, name: str, fields: list[tuple[str, str, Value]], key: bool = False) -> Table:
         """A dimension table of (name, role, value) fields."""

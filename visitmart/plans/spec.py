@@ -21,7 +21,7 @@ from visitmart.model import DIMENSION, EVENT, FACT, KEY, LABEL, PAGE, VISIT, Fie
 from visitmart.operators import filters as flt
 from visitmart.operators import splits
 from visitmart.operators.aggregate import count_fact, label_field, visit_facts
-from visitmart.operators.scopes import Scope, funnel_rows, index_in, items_of, pairs, to_copies, to_events, to_pages, to_parts
+from visitmart.operators.scopes import Scope, funnel_rows, items_of, pairs, to_copies, to_events, to_pages, to_parts, with_index
 from visitmart.plans.extract import Context, FieldMaker, TableDef, date_fields, fill_dates, fill_times, time_fields
 from visitmart.sources.visits import normalise
 
@@ -318,7 +318,11 @@ def _count(e: Element, p: Parser) -> FieldMaker:
 
 @register(FIELDS, "index")
 def _index(e: Element, p: Parser) -> FieldMaker:
-    return lambda ctx, s: (s, [Field(e.get("name", "Index"), _role(e), index_in(s, abs(int(e.get("scope", 1)))))])
+    def make(ctx: Context, s: Scope):
+        s, index = with_index(s, abs(int(e.get("scope", 1))), ctx.fresh("index"))
+        return s, [Field(e.get("name", "Index"), _role(e), index)]
+
+    return make
 
 
 def _types(e: Element) -> list[str] | None:
