@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +107,22 @@ def _bounded(rows: DataFrame, max_rows: int, max_bytes: int) -> list[tuple[str,
     return kept
 
 
+def filter_rows(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray]) -> DataFrame:
+    """The rows of ``df``, all columns, for whose ``text`` values ``keep`` says True; rows stay where they lie.
+
+    Columns go through Arrow under plain names, as their own may hold dots."""
+    safe = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    place = df.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                batch = batch.filter(pa.array(keep(batch.column(place).to_pylist()), pa.bool_()))
+            yield batch
+
+    return safe.mapInArrow(run, safe.schema).toDF(*df.columns)
+
+
 def pieces(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows with about ``chars`` characters each, one row at least."""
     start, size = 0, 0

@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitmart.llm.common import filter_rows
+
 SHINGLE, BLOCKS = 5, 8
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -174,17 +176,12 @@ def contaminated(
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, radius: int = 23, block: int = 20_000) -> DataFrame:
     """The rows of ``documents``, with all their columns, in which no benchmark item was found. The decision
     is made where the row lies: no join, no shuffle, and null or repeated ids are safe."""
-    place = documents.columns.index("text")
     kept = documents
     for items in _items(benchmark, block):
         shared = documents.sparkSession.sparkContext.broadcast(ItemIndex(min_similarity, radius).build(items))
 
-        def run(batches, shared=shared):
-            import pyarrow as pa
-
-            for batch in batches:
-                clean = [not shared.value.matches(t) for t in batch.column(place).to_pylist()]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+        def clean(texts: list[str | None], shared=shared) -> np.ndarray:
+            return np.array([not shared.value.matches(t) for t in texts], bool)
 
-        kept = kept.mapInArrow(run, documents.schema)
+        kept = filter_rows(kept, clean)
     return kept

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from visitmart.llm.common import held_out, labelled_sample, pieces
+from visitmart.llm.common import filter_rows, held_out, labelled_sample, pieces
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
 
@@ -147,17 +147,10 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, *
     """
     model = train(labelled_sample(documents, labels, "quality", sample.get("per_class", 1500), sample.get("sample_bytes", 10_000_000)))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    place = documents.columns.index("text")
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            if shared.value is not None and texts:
-                batch = batch.filter(pa.array(shared.value.scores(texts) >= threshold))
-            yield batch
-
-    return documents.mapInArrow(run, documents.schema)
 
+    def keep(texts: list[str | None]) -> np.ndarray:
+        if shared.value is None:
+            return np.ones(len(texts), bool)
+        return shared.value.scores([t or "" for t in texts]) >= threshold
 
+    return filter_rows(documents, keep)
