@@ -137,8 +137,9 @@ class Context:
             keys: list[tuple[str, Column]] = [(f.name, f.expr) for f in group if f.role == KEY]
             if definition.tables and not keys:
                 key = surrogate_name(name, [f.name for f in every])
-                df = df.withColumn(key, self.key_factory([F.col(f"`{f.name}`") for f in group]))
-                keys = [(key, self.key_factory([f.expr for f in group]))]
+                # a table of facts alone has one row, so any constant names it
+                df = df.withColumn(key, self.key_factory([F.col(f"`{f.name}`") for f in group] or [F.lit(0)]))
+                keys = [(key, self.key_factory([f.expr for f in group] or [F.lit(0)]))]
                 out = [Field(key, KEY, F.lit(None)), *every]
             df = with_roles(with_labels(df, every), out)
             self.star.tables[name] = merge_tables(self.star.tables[name], df) if name in self.star.tables else df

@@ -15,7 +15,7 @@ from visitmart.plans.measures import table_order
 
 #: Fixed formats of delimited output.
 DATE, MOMENT = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
-NULL = "\\N"
+NULL = ""
 
 
 def describe(star: StarSchema) -> dict[str, Any]:
@@ -41,7 +41,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 def write_text(star: StarSchema, path: str, ordered: bool = True, mode: str = "errorifexists") -> None:
     """Each table as tab-separated text with a header, dates as yyyy-MM-dd and moments with seconds, in table
-    order; nulls and empty strings stay apart. ``schema`` beside them describes tables and relations."""
+    order; nulls are empty, and empty strings read back as nulls. ``schema`` beside them describes tables and relations."""
     spark = next(iter(star.tables.values())).sparkSession
     for name, df in star.tables.items():
         rows = _as_text(table_order(df) if ordered else df)
