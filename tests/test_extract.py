@@ -165,7 +165,7 @@ def test_errors_name_the_place(visits):
         ({"mapper": {"tables": [{"name": "T", "fields": ["facts", "nope"]}]}}, r"mapper/tables\[0\]/fields\[1\]/nope"),
         ({"mapper": {"tables": [{"nope": {}}]}}, r"mapper/tables\[0\]/nope"),
         ({"source": {"filters": [{"limit": {}}]}, "mapper": {"tables": []}}, "limit"),
-        ({"source": {"filters": [{"split": {"by": {"page": None}}}]}, "mapper": {"tables": []}}, "in scope can't filter"),
+        ({"source": {"filters": [{"split": {"by": {"page": None}}}]}, "mapper": {"tables": []}}, "it can't filter"),
         ({"mapper": {}}, "tables is missing"),
     ):
         with pytest.raises(SpecError, match=place):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitmart.model import EVENT, PAGE, VISIT
+from visitmart.sources.shared import shared_path
 
 
 @dataclass(frozen=True)
@@ -170,9 +171,12 @@ def _index_in(scope: Scope, up: int) -> Column:
 
 def global_index(df: DataFrame, order: list[Column | str], name: str = "index") -> DataFrame:
     """Running number of rows over an explicit order, in two passes: ranges of the order are numbered on their
-    own and shifted by the sizes of those before. No task sees more than its range (and one row a range)."""
+    own and shifted by the sizes of those before. No task sees more than its range (and one row a range). The
+    ranges are written to the shared folder once, as both passes must see the same ones."""
     ranged = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    ranged = ranged.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    path = shared_path(df.sparkSession, "ranges")
+    ranged.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order))).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     sizes = ranged.groupBy("__part").agg(F.max("__in").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))

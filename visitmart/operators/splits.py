@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 Condition = Callable[[Column], Column]
 
 
+def _text(value: object) -> Column:
+    """An id as text: a value, or a column of the item in scope."""
+    return value.cast("string") if isinstance(value, Column) else F.lit(str(value))
+
+
 def page_is(item: object) -> Condition:
-    return lambda p: F.coalesce(p["item_id"].cast("string") == str(item), F.lit(False))
+    return lambda p: F.coalesce(p["item_id"].cast("string") == _text(item), F.lit(False))
 
 
 def page_has_event(definition: object) -> Condition:
-    return lambda p: F.exists(p["events"], lambda e: F.coalesce(e["definition_id"].cast("string") == str(definition), F.lit(False)))
+    return lambda p: F.exists(p["events"], lambda e: F.coalesce(e["definition_id"].cast("string") == _text(definition), F.lit(False)))
 
 
 def page_has_test(test: object) -> Condition:
-    return lambda p: F.coalesce(p["mv_test"]["id"].cast("string") == str(test), F.lit(False))
+    return lambda p: F.coalesce(p["mv_test"]["id"].cast("string") == _text(test), F.lit(False))
 
 
 def conditions_met(pages: Column, conditions: list[Condition]) -> Column:

@@ -73,6 +73,8 @@ FilterFactory = Callable[[Element, "Parser"], flt.Filter]
 FIELDS: dict[str, FieldFactory] = {}
 TABLES: dict[str, TableFactory] = {}
 FILTERS: dict[str, FilterFactory] = {}
+#: Splitters of one's own: from a scope to parts of the visit's pages by name.
+SPLITTERS: dict[str, Callable[[Scope], dict[str, Column]]] = {}
 
 
 def register(kind: dict[str, Any], key: str) -> Callable:
@@ -95,6 +97,16 @@ def custom_expander(key: str, expand: Callable[[Scope], Scope]) -> None:
     register(TABLES, key)(lambda e, p: [p.table(e, lambda ctx, s: [("", expand(s))])])
 
 
+def custom_splitter(key: str, split: Callable[[Scope], dict[str, Column]]) -> None:
+    """Parts of a visit by a function of the scope, usable as ``{"split": {"by": key, ...}}``."""
+    register(SPLITTERS, key)(split)
+
+
+def custom_filter(key: str, condition: Callable[[Element], Column]) -> None:
+    """A filter by a boolean column."""
+    register(FILTERS, key)(lambda e, p: flt.where(condition(e)))
+
+
 @dataclass
 class Parser:
     #: dimension functions by name, see :data:`XA`
@@ -155,19 +167,45 @@ class Parser:
             out.append(FILTERS[e.key](e, self))
         return out
 
-    def conditions(self, values: Any, path: str) -> list[splits.Condition]:
-        if isinstance(values, dict):
-            values = [values]
-        out = []
-        for v in values:
+    def conditions(self, values: Any, path: str) -> Callable[[Scope | None], list[splits.Condition]]:
+        """Conditions on pages, for a scope: a page or event without an id is the one in scope."""
+        parts = []
+        for v in [values] if isinstance(values, dict) else values:
             key, target = next(iter(v.items()))
             if isinstance(target, dict):
-                target = next(iter(target.values()))
+                target = next(iter(target.values()), None)
             make = {"page": splits.page_is, "pageevent": splits.page_has_event, "mvtest": splits.page_has_test}.get(key.lower())
-            if make is None or target is None:
-                raise SpecError(f"{path}/{key}: a condition needs page, pageevent or mvtest with an id; a split that depends on the item in scope can't filter")
-            out.append(make(target))
-        return out
+            if make is None:
+                raise SpecError(f"{path}/{key}: a condition is page, pageevent or mvtest")
+            parts.append((key.lower(), make, target))
+
+        def of(s: Scope | None) -> list[splits.Condition]:
+            out = []
+            for key, make, target in parts:
+                if target is None:
+                    item = None
+                    if s is not None and key == "page" and s.page is not None:
+                        item = s.page["item_id"]
+                    elif s is not None and key == "pageevent" and s.event is not None:
+                        item = s.event["definition_id"]
+                    if item is None:
+                        raise SpecError(f"{path}/{key}: there is no item in scope to compare with; without an id it can't filter")
+                    target = item
+                out.append(make(target))
+            return out
+
+        return of
+
+    def slices(self, e: Element) -> Callable[[Scope], dict[str, Column]]:
+        """The named parts of a visit's pages: by conditions, or by a splitter of one's own."""
+        by = e.need("by")
+        if isinstance(by, str):
+            if by.lower() not in SPLITTERS:
+                raise SpecError(f"{e.path}/by: there is no splitter {by!r}; there are {sorted(SPLITTERS)}")
+            return SPLITTERS[by.lower()]
+        conditions = self.conditions(by, e.path)
+        before = not bool(e.get("includepage", False)) if e.get("includematchbefore") is None else bool(e.get("includematchbefore"))
+        return lambda s: splits.split_pages(s.pages, conditions(s), before, bool(e.get("emptyifconditionnotmet", True)), bool(e.get("total", True)))
 
 
 def _parts_of(e: Element):
@@ -479,12 +517,12 @@ def _xa_field(e: Element, p: Parser) -> FieldMaker:
 
 @register(FIELDS, "split")
 def _split_field(e: Element, p: Parser) -> FieldMaker:
-    conditions = p.conditions(e.need("by"), e.path)
+    slices = p.slices(e)
     makers = p.field_list(e.need("fields"), f"{e.path}/fields")
 
     def make(ctx: Context, s: Scope):
         out: list[Field] = []
-        for name, pages in _slices(e, s, conditions).items():
+        for name, pages in slices(s).items():
             part, fields = ctx.fields(s.slice(pages), makers)
             s = replace(s, df=part.df)
             out += [replace(f.affix("", name), lookup=f.lookup) for f in fields]
@@ -493,11 +531,6 @@ def _split_field(e: Element, p: Parser) -> FieldMaker:
     return make
 
 
-def _slices(e: Element, s: Scope, conditions) -> dict[str, Column]:
-    before = not bool(e.get("includepage", False)) if e.get("includematchbefore") is None else bool(e.get("includematchbefore"))
-    return splits.split_pages(s.pages, conditions, before, bool(e.get("emptyifconditionnotmet", True)), bool(e.get("total", True)))
-
-
 def level(key: str, expand: Callable[[Scope], Scope], name: str) -> None:
     register(TABLES, key)(lambda e, p: [p.table(e, lambda ctx, s: [("", expand(s))], name)])
 
@@ -596,11 +629,11 @@ def _xa_table(e: Element, p: Parser) -> list[TableDef]:
 @register(TABLES, "split")
 def _split_table(e: Element, p: Parser) -> list[TableDef]:
     """Each child table once for each part of the visit, named with the part."""
-    conditions = p.conditions(e.need("by"), e.path)
+    slices = p.slices(e)
     inner = p.tables(e.need("tables"), f"{e.path}/tables")
 
     def expand(ctx: Context, s: Scope, each: TableDef):
-        return [(f"{n}{extra}", sub) for n, pages in _slices(e, s, conditions).items() for extra, sub in each.expand(ctx, _narrowed(s, pages))]
+        return [(f"{n}{extra}", sub) for n, pages in slices(s).items() for extra, sub in each.expand(ctx, _narrowed(s, pages))]
 
     return [replace(t, expand=lambda ctx, s, t=t: expand(ctx, s, t)) for t in inner]
 
@@ -631,14 +664,14 @@ def _f_rule(e: Element, p: Parser) -> flt.Filter:
 
 @register(FILTERS, "split")
 def _f_split(e: Element, p: Parser) -> flt.Filter:
-    return flt.ordered_conditions(p.conditions(e.need("by"), e.path))
+    return flt.ordered_conditions(p.conditions(e.need("by"), e.path)(None))
 
 
 def _f_condition(name: str, parameter: str) -> None:
     @register(FILTERS, name)
     def factory(e: Element, p: Parser) -> flt.Filter:
         value = e.get(parameter, e.get("select", e.get("value", e.get("id"))))
-        return flt.ordered_conditions(p.conditions([{name: value}], e.path))
+        return flt.ordered_conditions(p.conditions([{name: value}], e.path)(None))
 
 
 _f_condition("page", "pageid")

@@ -16,7 +16,7 @@ from visitmart.operators.aggregate import first_per_key, merge_tables
 from visitmart.plans.builder import Table
 from visitmart.plans.measures import measure_query, presentation, table_order
 from visitmart.plans.report import run_report
-from visitmart.plans.spec import custom_expander, custom_field, default_spec, extract
+from visitmart.plans.spec import custom_expander, custom_field, custom_filter, custom_splitter, default_spec, extract
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
 from visitmart.sources.shared import shared_path
 from visitmart.sources.visits import normalise, visits_by_session, visits_by_week, visits_from_orders
@@ -349,6 +349,28 @@ def ab_test_variables(spark, d):
     return one(orders(spark, d), {"name": "Visits", "fields": [{"mvtest": "T1"}, "count"]}, "Visits", sources={"test_variables": test_variables(spark, d)})
 
 
+@query(f"""WITH {WEEK}, f AS (SELECT visit_id, item_id, min(page_pos) AS p FROM wp GROUP BY 1, 2)
+SELECT wp.item_id AS "ItemId", CAST(sum(f.p) AS BIGINT) AS "SeenBefore", CAST(sum(v.pages - f.p) AS BIGINT) AS "SeenAfter" FROM wp JOIN f ON f.visit_id = wp.visit_id AND f.item_id = wp.item_id JOIN wv v ON v.visit_id = wp.visit_id GROUP BY 1""")
+def split_by_scope_page(spark, d):
+    """The condition is the page in scope."""
+    split = {"split": {"by": {"page": None}, "total": False, "fields": [{"fact": {"select": "visit.page_count", "name": "Seen"}}]}}
+    return one(week(spark, d), {"pages": {"name": "Pages", "fields": ["page", split]}}, "Pages")
+
+
+@query(f"""WITH {WEEK} SELECT CAST(sum(CASE WHEN page_pos <= pages // 2 THEN 1 ELSE 0 END) AS BIGINT) AS "PageViewsEarly", CAST(sum(CASE WHEN page_pos > pages // 2 THEN 1 ELSE 0 END) AS BIGINT) AS "PageViewsLate" FROM wp JOIN wv USING (visit_id)""")
+def custom_splitter_fields(spark, d):
+    half = lambda s: F.floor(F.size(s.pages) / 2).cast("int")
+    custom_splitter("halves", lambda s: {"Early": F.slice(s.pages, F.lit(1), half(s)), "Late": F.slice(s.pages, half(s) + 1, F.size(s.pages) - half(s))})
+    return one(week(spark, d), {"name": "Visits", "fields": [{"split": {"by": "halves", "fields": [{"facts": ["PageViews"]}]}}]}, "Visits")
+
+
+@query(f"WITH {WEEK} SELECT visit_id AS \"VisitId\" FROM wv WHERE pages >= 6")
+def custom_filter_rows(spark, d):
+    custom_filter("longvisits", lambda e: F.col("page_count") >= e.get("pages", 1))
+    spec = tables({"name": "Visits", "fields": [VISIT_ID, "count"]}) | {"source": {"filters": [{"longvisits": {"pages": 6}}]}}
+    return extract(week(spark, d), spec)["Visits"].select("VisitId")
+
+
 # dimensions
 
 GEO_SQL = f"WITH {ORDERS} SELECT country AS \"Country\", region AS \"Region\", {VISIT_FACTS} FROM ov GROUP BY 1, 2"
