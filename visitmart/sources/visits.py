@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EVENT_TYPE = "struct<pos:int,event_id:bigint,definition_id:string,name:string,value:int,is_goal:boolean,ts:timestamp_ntz>"
@@ -37,54 +37,47 @@ def _events(df: DataFrame) -> DataFrame:
     )
 
 
-def _page(events: Column, first: Column) -> Column:
-    """A page from its sorted events."""
+_EVENT = ("ts", "event_id", "name", "value", "is_goal")
+
+
+def _visits(rows: DataFrame) -> DataFrame:
+    """Visits from events that carry ``visit_id``, ``user_id`` and ``page`` (a label that orders the pages).
+
+    Two aggregates, by page and by visit. The rows are already partitioned by visit, or by user, so neither
+    needs a shuffle of its own.
+    """
     shown = F.transform(
-        events,
+        F.array_sort(F.collect_list(F.struct(*_EVENT))),
         lambda e, i: F.struct(
             (i + 1).cast("int").alias("pos"), e["event_id"].alias("event_id"), e["name"].alias("definition_id"), e["name"].alias("name"),
             e["value"].alias("value"), e["is_goal"].alias("is_goal"), e["ts"].alias("ts"),
         ),
     )
-    seconds = F.timestamp_diff("SECOND", first["ts"], F.element_at(events, -1)["ts"]).cast("int")
-    return F.struct(
-        F.lit(0).alias("pos"), first["ts"].alias("ts"), first["item_id"].alias("item_id"),
-        F.concat(F.lit("/item/"), first["item_id"].cast("string")).alias("url_path"), seconds.alias("duration"),
-        F.lit(None).cast("struct<id:string,combination:array<int>>").alias("mv_test"), shown.alias("events"),
+    by_page = rows.groupBy("user_id", "visit_id", "page").agg(
+        F.min("ts").alias("ts"), F.max("ts").alias("last"), F.min_by("item_id", F.struct("ts", "event_id")).alias("item_id"),
+        F.sum(F.coalesce("value", F.lit(0))).alias("value"), shown.alias("events"),
     )
-
-
-def _visits(grouped: DataFrame, page_of: Column) -> DataFrame:
-    """One row a visit from sorted events ``ev`` and ``page_of``, the array of each event's page label."""
-    labels = F.array_distinct(page_of)
-    pages = F.transform(
-        labels,
-        lambda label: _one_page(F.filter(F.col("ev"), lambda e, i: F.get(page_of, i) == label)),
+    page = F.struct(
+        F.lit(0).alias("pos"), "ts", "item_id", F.concat(F.lit("/item/"), F.col("item_id").cast("string")).alias("url_path"),
+        F.timestamp_diff("SECOND", F.col("ts"), F.col("last")).cast("int").alias("duration"),
+        F.lit(None).cast("struct<id:string,combination:array<int>>").alias("mv_test"), "events",
     )
-    numbered = F.transform(pages, lambda p, i: p.withField("pos", (i + 1).cast("int")))
-    df = grouped.withColumn("pages", numbered)
-    end = F.element_at("ev", -1)["ts"]
-    value = F.aggregate("ev", F.lit(0), lambda a, e: a + F.coalesce(e["value"], F.lit(0)))
-    return df.select(
-        "visit_id", F.col("user_id").alias("contact_id"), F.get("ev", F.lit(0))["ts"].alias("start_ts"), end.alias("end_ts"), end.alias("save_ts"),
-        value.alias("value"), F.size("pages").alias("page_count"), F.lit(None).cast("struct<country:string,region:string,city:string>").alias("geo"), "pages",
+    by_visit = by_page.groupBy("user_id", "visit_id").agg(
+        F.min("ts").alias("start_ts"), F.max("last").alias("end_ts"), F.sum("value").cast("int").alias("value"),
+        F.array_sort(F.collect_list(F.struct("page", page.alias("it")))).alias("__pages"),
+    )
+    return by_visit.select(
+        "visit_id", F.col("user_id").alias("contact_id"), "start_ts", "end_ts", F.col("end_ts").alias("save_ts"), "value", F.size("__pages").alias("page_count"),
+        F.lit(None).cast("struct<country:string,region:string,city:string>").alias("geo"),
+        F.transform("__pages", lambda x, i: x["it"].withField("pos", (i + 1).cast("int"))).alias("pages"),
     )
-
-
-def _one_page(events: Column) -> Column:
-    return _page(events, F.get(events, F.lit(0)))
-
-
-_EVENT = ("ts", "event_id", "item_id", "name", "value", "is_goal")
 
 
 def visits_by_week(events: DataFrame) -> DataFrame:
-    """A visit is a user's week, a page a day of it. One shuffle, by user and week."""
-    rows = _events(events)
+    """A visit is a user's week, a page a day of it. One shuffle, by visit."""
     week = F.datediff(F.date_trunc("week", "ts").cast("date"), F.lit("1970-01-05").cast("date")) / 7
-    rows = rows.withColumn("visit_id", F.col("user_id") * 100000 + week.cast("long"))
-    grouped = rows.groupBy("visit_id", "user_id").agg(F.array_sort(F.collect_list(F.struct(*_EVENT))).alias("ev"))
-    return _visits(grouped, F.transform("ev", lambda e: e["ts"].cast("date")))
+    rows = _events(events).withColumn("visit_id", F.col("user_id") * 100000 + week.cast("long"))
+    return _visits(rows.withColumn("page", F.to_date("ts")).repartition("visit_id"))
 
 
 def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "view") -> DataFrame:
@@ -92,16 +85,13 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
     what comes before the first belongs to page 1. Shuffled once, by user."""
     rows = _events(events)
     by_user = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    so_far = by_user.rowsBetween(Window.unboundedPreceding, 0)
     away = F.col("ts") > F.lag("ts").over(by_user) + F.expr(f"interval {gap}")
     rows = rows.withColumn("__new", F.coalesce(away, F.lit(True)).cast("int"))
-    number = F.sum("__new").over(by_user.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("visit_id", F.col("user_id") * 100000 + number)
-    grouped = rows.groupBy("user_id", "visit_id").agg(F.array_sort(F.collect_list(F.struct(*_EVENT))).alias("ev"))
-    views = F.transform("ev", lambda e: (e["name"] == new_page).cast("int"))
-    page = F.transform(
-        "ev", lambda e, i: F.greatest(F.aggregate(F.slice(views, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x), F.lit(1))
-    )
-    return _visits(grouped.withColumn("__pages", page), F.col("__pages"))
+    rows = rows.withColumn("visit_id", F.col("user_id") * 100000 + F.sum("__new").over(so_far))
+    in_visit = Window.partitionBy("user_id", "visit_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    views = F.sum((F.col("name") == new_page).cast("int")).over(in_visit)
+    return _visits(rows.withColumn("page", F.greatest(views, F.lit(1))))
 
 
 def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
