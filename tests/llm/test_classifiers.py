@@ -75,3 +75,14 @@ def test_network_sees_the_whole_document():
     assert len(first) == 3 and len(data) % 4 == 0
     pieces = [good * n + bad * (n % 2) for n in range(1, 9)]
     assert abs(model.scores(pieces, size=50) - model.scores(pieces)).max() < 1e-4
+
+
+def test_more_languages_than_dimensions():
+    from visitmart.llm import language_id as li
+
+    sample = [(f"l{k:02d}", " ".join(f"{'abcdefghijklmnopqrstuvwxyz'[k]}q{'xyz'[i % 3]}w{j}" for j in range(9))) for k in range(20) for i in range(30)]
+    wide, narrow = li.train(sample, dim=8), li.train(sample, dim=32)
+    assert wide.scores.shape[1] == 8 and narrow.scores.shape[1] == 20
+    for m in (wide, narrow):
+        p, _ = m.probabilities([t for _, t in sample])
+        assert sum(m.languages[i] == c for i, (c, _) in zip(p.argmax(1), sample, strict=True)) > 0.9 * len(sample)

@@ -19,19 +19,22 @@ SIZES, BITS = (2, 3, 4), 17
 @dataclass
 class LanguageModel:
     languages: list[str]
-    #: what each subword adds to each language's logit: embedding times output weights, folded after training
+    #: what each subword adds to each language's logit: embedding times output weights, folded after training.
+    #: With more languages than embedding dimensions it is the embedding, whose size doesn't grow with them
     scores: np.ndarray
     bias: np.ndarray
     temperature: float
     #: predictions below this probability are too unsure: accepted ones err in at most the wanted share
     reject_below: float
+    #: output weights, where scores are embeddings
+    weights: np.ndarray | None = None
 
     def probabilities(self, texts: list[str], chars: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
         """(probability of each language, whether the text has a letter)."""
         out = np.zeros((len(texts), len(self.languages)))
         known = np.zeros(len(texts), bool)
         for a, b in pieces(texts, chars):
-            total, number = np.zeros((b - a, len(self.languages))), np.zeros(b - a)
+            total, number = np.zeros((b - a, self.scores.shape[1])), np.zeros(b - a)
             for owner, part in _parts(texts[a:b], chars):
                 codes, ends = word_codes(part)
                 known[a + owner] |= bool((letters()[codes]).any()) if len(part) == 1 else False
@@ -46,7 +49,8 @@ class LanguageModel:
                     rows = owner + texts_of[first]
                     total[rows] += np.add.reduceat(self.scores[buckets], first, axis=0)
                     number[rows] += np.diff(first, append=len(buckets))
-            logits = (total / np.maximum(number, 1)[:, None] + self.bias) / self.temperature
+            mean = total / np.maximum(number, 1)[:, None]
+            logits = ((mean if self.weights is None else mean @ self.weights) + self.bias) / self.temperature
             e = np.exp(logits - logits.max(1, keepdims=True))
             out[a:b] = e / e.sum(1, keepdims=True)
         return out, known
@@ -99,10 +103,10 @@ def train(sample: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: f
             bias -= lr * p * 0.1
             # the gradient of a mean is small for each member; a common factor keeps steps useful
             embed[bucket] = rows - (lr * 8) * share[:, None] * back
-    scores = embed @ weights
+    scores = embed @ weights if len(languages) <= dim else None
     temperature, reject = 1.0, 0.0
     if apart:
-        logits = np.array([share @ scores[bucket] + bias for _, bucket, share in apart])
+        logits = np.array([share @ embed[bucket] @ weights + bias for _, bucket, share in apart])
         truth = np.array([label for label, _, _ in apart])
 
         def loss(t: float) -> float:
@@ -119,6 +123,8 @@ def train(sample: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: f
         wrong = np.cumsum(~right[by]) / np.arange(1, len(by) + 1)
         fine = np.flatnonzero(wrong <= max_error)
         reject = float(best[by][fine[-1]]) if len(fine) else 1.0
+    if len(languages) > dim:
+        return LanguageModel(languages, embed, bias.astype(np.float64), temperature, reject, weights.astype(np.float64))
     return LanguageModel(languages, scores.astype(np.float32), bias.astype(np.float64), temperature, reject)
 
 
