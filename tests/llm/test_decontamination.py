@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import duckdb
+import regex
 
 from visitmart.llm.decontamination import ItemIndex, contaminated, drop_contaminated, shingle_hashes, similarity
 
@@ -20,6 +21,20 @@ def brute(text, items, least=0.8):
     return out
 
 
+def test_hashes_tell_word_runs_apart(data):
+    texts = [r[0] for r in duckdb.sql(f"select text from '{data}/documents.parquet' limit 100").fetchall()] + ["a b", "Ab C-d", "x" * 600, "", "é1 2", "ab a b"]
+    seen = {}
+    for t in texts:
+        words = regex.findall(r"[\p{L}\p{N}\p{M}]+", t.lower())
+        runs = [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+        h = shingle_hashes(t).tolist()
+        assert len(h) == len(runs)
+        for run, x in zip(runs, h, strict=True):
+            assert seen.setdefault(run, x) == x
+    assert len(set(seen.values())) == len(seen)
+    assert shingle_hashes("One, TWO three\nfour. Five!").tolist() == shingle_hashes("one two three four five").tolist()
+
+
 def test_equals_brute_force(spark, data, odd, nothing):
     items = duckdb.sql(f"select item_id, text from '{data}/benchmark.parquet' order by 1").fetchall()
     docs = duckdb.sql(f"select doc_id, text from '{data}/documents.parquet' where length(text) < 1500 order by 1 limit 50").fetchall()

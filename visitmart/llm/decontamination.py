@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,16 +25,35 @@ from visitmart.llm.common import filter_rows
 SHINGLE, BLOCKS = 5, 8
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A random odd number for each place in a word; longer words use them again.
+PLACES = np.random.default_rng(17).integers(0, 1 << 63, 257, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@lru_cache(1)
+def word_characters() -> np.ndarray:
+    """Which code points are letters, digits or marks."""
+    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else " " for c in range(0x110000))
+    table = np.zeros(0x110000, bool)
+    for found in WORD.finditer(every):
+        table[found.start() : found.end()] = True
+    return table
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash of each run of five words; of all words where there are fewer. Words are runs of letters
-    and digits, lower-cased, so that case and punctuation make no difference."""
-    words = WORD.findall((text or "").lower())
-    if not words:
+    and digits, lower-cased, so that case and punctuation make no difference. A word's hash sums its characters,
+    each times a random number for its place."""
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = word_characters()[codes]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
         return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    w = np.fromiter((digest(x) for x in words), np.uint64, len(words))
+    lengths = edges[1::2] - edges[::2]
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
+    w = np.add.reduceat((codes[inside[1:-1]] + np.uint64(1)) * PLACES[place % len(PLACES)], first)
+    w = (w ^ (w >> np.uint64(32))) * MIX
     size = min(SHINGLE, len(w))
     n = len(w) - size + 1
     h = np.full(n, size, np.uint64)
