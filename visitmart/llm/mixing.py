@@ -89,7 +89,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def plan(
     documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_docs: int = 64,
-    max_blocks: int = 512, words_per_shard: int = 20_000_000, max_shards: int = 256, max_broadcast: int = 100_000,
+    max_blocks: int = 512, words_per_shard: int = 2_000_000, max_shards: int = 1024, max_broadcast: int = 100_000,
 ) -> DataFrame:
     """``documents`` with the columns __size, __source_size, __target, __taken and __draws (shard and words of
     each time the document is taken), for :func:`mixture` and :func:`draw`."""
@@ -117,7 +117,7 @@ def plan(
         blocks.select("__key", "__block", "at", "count", "epochs", F.greatest(F.col("rest") - F.col("before"), F.lit(0)).alias("extra")), "blocks"
     )
     quotas = blocks.groupBy("__key").agg((F.max("epochs") * F.max("count") + F.sum((F.col("extra") > 0).cast("long"))).alias("quota"))
-    turns = blocks.join(small(split_quotas(quotas, shards, seed)), "__key", "left").select(
+    turns = blocks.join(split_quotas(quotas, shards, seed), "__key", "left").select(
         "__key", "__block", "epochs", "extra",
         F.transform(
             F.sequence(F.lit(0).cast("long"), F.col("epochs")),
