@@ -173,7 +173,8 @@ def draw(documents: DataFrame, seed: int = 7, **settings) -> DataFrame:
     part = F.array_join(F.slice(pieces, 1, (F.col("__draw.words") + leading).cast("int")), "")
     text = F.when(F.col("__draw.words") < F.col("__size"), part).otherwise(F.col("text")).alias("text")
     out = taken.select(*columns, text, F.col("__draw.shard").alias("__shard"), F.xxhash64(F.lit(seed), "__draw.epoch", "doc_id", "text").alias("__order"))
-    return out.repartition("__shard").sortWithinPartitions("__shard", "__order").select(*[F.col(f"`{c}`") for c in documents.columns])
+    # by range, so that a task holds a part of the order however large a shard is
+    return out.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 #: The same targets and takings in SQL (seed 7, blocks of 64 documents, 512 at most).
