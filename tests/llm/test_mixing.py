@@ -33,6 +33,13 @@ def test_targets_caps_and_reruns(spark, data, nothing):
     assert mixture(nothing).count() == 0 and draw(nothing).count() == 0
 
 
+def test_cut_among_repeated_rows_equals_sql(spark, tmp_path):
+    for n, copies in enumerate((7, 40)):
+        texts = [(1, "a b c", "x")] * copies + [(2, "", "x"), (3, None, "x")] + [(10 + i, "one two three four " * (i % 5 + 1), "y") for i in range(30)]
+        docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+        assert rows(mixture(docs)) == from_sql(docs, tmp_path / str(n))
+
+
 def test_drawn_rows_hold_the_words_taken(spark, data, odd):
     for docs in (odd, spark.read.parquet(f"{data}/documents.parquet")):
         mix = draw(docs, words_per_shard=10_000)

@@ -10,7 +10,8 @@
 4. Within a shard, rows are ordered by a hash.
 
 Quotas count blocks, of which a source has ``max_blocks`` at most, so steps 1 to 3 work on small tables however
-many documents there are; documents meet them by (source, block), so that a large source spreads over tasks.
+many documents there are. The last, partial block is cut at a row that is found from ids and sizes; texts meet
+the small table of blocks by a join and are shuffled only once, to their shards.
 """
 
 from __future__ import annotations
@@ -87,6 +88,34 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return unit.groupBy("__key").agg(F.sort_array(F.collect_list("node")).alias("shard_of"))  # max_blocks * (cap + 1) at most
 
 
+def _order() -> Column:
+    """The order of a block's rows; rows that are equal in it are taken alike."""
+    return F.struct(F.col("__place"), F.col("doc_id"), F.col("__size"))
+
+
+def _cuts(placed: DataFrame, partial: DataFrame) -> DataFrame:
+    """For ``partial``, the one block of a source that the last epoch takes in part: at which row (``cut``, and which of its
+    ``equal_rows``) the taking stops, and how many words of that row it takes. Texts don't take part, and of a
+    source only one block does."""
+    found = placed.join(partial, ["__key", "__block"])
+    found = found.groupBy("__key", "__block", "extra", "__place", "doc_id", "__size").agg(F.count(F.lit(1)).alias("equal_rows"))
+    inside = Window.partitionBy("__key", "__block").orderBy("__place", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("left", F.col("extra") - F.coalesce(F.sum(F.col("__size") * F.col("equal_rows")).over(inside), F.lit(0)))
+    rank = F.ceil(F.col("left") / F.greatest("__size", F.lit(1))).cast("long")
+    return found.where("left > 0 AND left <= __size * equal_rows").select(
+        "__key", "__block", _order().alias("cut"), rank.alias("cut_rank"), (F.col("left") - (rank - 1) * F.col("__size")).alias("cut_words"), "equal_rows",
+    )
+
+
+def _extra(rank: Column) -> Column:
+    """Words of a row that the last epoch takes; ``rank`` numbers rows that are equal in :func:`_order`."""
+    at_cut = F.when(rank < F.col("cut_rank"), F.col("__size")).when(rank == F.col("cut_rank"), F.col("cut_words"))
+    return (
+        F.when(F.col("extra") >= F.col("words"), F.col("__size")).when(F.col("extra") <= 0, F.lit(0))
+        .when(_order() < F.col("cut"), F.col("__size")).when(_order() == F.col("cut"), at_cut).otherwise(F.lit(0)).cast("long")
+    )
+
+
 def plan(
     documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_docs: int = 64,
     max_blocks: int = 512, words_per_shard: int = 2_000_000, max_shards: int = 1024, max_broadcast: int = 100_000,
@@ -94,7 +123,7 @@ def plan(
     """``documents`` with the columns __size, __source_size, __target, __taken and __draws (shard and words of
     each time the document is taken), for :func:`mixture` and :func:`draw`."""
     rows = _keyed(documents, seed)
-    slim = materialize(rows.select("__key", "__size", "__place"), "sizes")
+    slim = materialize(rows.select("__key", "__size", "__place", "doc_id"), "sizes")
     by_source = materialize(targets(slim, weights, cap, block_docs, max_blocks), "targets")
     known = by_source.agg(F.count(F.lit(1)), F.sum("__source_size")).first()
     small = F.broadcast if known[0] <= max_broadcast else (lambda df: df)
@@ -114,11 +143,12 @@ def plan(
     )
     blocks = blocks.withColumn("count", F.count(F.lit(1)).over(Window.partitionBy("__key")))
     blocks = materialize(
-        blocks.select("__key", "__block", "at", "count", "epochs", F.greatest(F.col("rest") - F.col("before"), F.lit(0)).alias("extra")), "blocks"
+        blocks.select("__key", "__block", "at", "count", "words", "epochs", F.greatest(F.col("rest") - F.col("before"), F.lit(0)).alias("extra")), "blocks"
     )
     quotas = blocks.groupBy("__key").agg((F.max("epochs") * F.max("count") + F.sum((F.col("extra") > 0).cast("long"))).alias("quota"))
-    turns = blocks.join(split_quotas(quotas, shards, seed), "__key", "left").select(
-        "__key", "__block", "epochs", "extra",
+    cuts = materialize(_cuts(placed(slim, []), small(blocks.where("extra > 0 AND extra < words").select("__key", "__block", "extra"))), "cuts")
+    turns = blocks.join(split_quotas(quotas, shards, seed), "__key", "left").join(cuts, ["__key", "__block"], "left").select(
+        "__key", "__block", "epochs", "extra", "words", "cut", "cut_words", "cut_rank",
         F.transform(
             F.sequence(F.lit(0).cast("long"), F.col("epochs")),
             lambda e: F.struct(e.alias("epoch"), F.try_element_at("shard_of", (e * F.col("count") + F.col("at")).cast("int")).alias("shard")),
@@ -126,9 +156,11 @@ def plan(
     )
     turns = materialize(turns, "turns")  # a row for each block
     full = placed(rows, ["__source_size", "__target"]).join(turns, ["__key", "__block"])
-    inside = Window.partitionBy("__key", "__block").orderBy("__place", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
-    extra = F.greatest(F.least(F.col("extra") - F.coalesce(F.sum("__size").over(inside), F.lit(0)), F.col("__size")), F.lit(0))
-    full = full.withColumn("__extra", extra)
+    full = full.withColumn("__extra", _extra(F.lit(1)))
+    if cuts.where("equal_rows > 1").limit(1).count():  # repeated rows at a cut: only they need a number
+        at_cut = F.col("cut").isNotNull() & (_order() == F.col("cut"))
+        numbered = full.where(at_cut).withColumn("__rank", F.row_number().over(Window.partitionBy("__key").orderBy("__place")))
+        full = full.where(~F.coalesce(at_cut, F.lit(False))).unionByName(numbered.withColumn("__extra", _extra(F.col("__rank"))).drop("__rank"))
     draws = F.filter(
         F.transform(
             "turns",
