@@ -109,7 +109,7 @@ def _cuts(placed: DataFrame, partial: DataFrame) -> DataFrame:
 
 def _extra(rank: Column) -> Column:
     """Words of a row that the last epoch takes; ``rank`` numbers rows that are equal in :func:`_order`."""
-    at_cut = F.when(rank < F.col("cut_rank"), F.col("__size")).when(rank == F.col("cut_rank"), F.col("cut_words"))
+    at_cut = F.when(rank < F.col("cut_rank"), F.col("__size")).when(rank == F.col("cut_rank"), F.col("cut_words")).otherwise(F.lit(0))
     return (
         F.when(F.col("extra") >= F.col("words"), F.col("__size")).when(F.col("extra") <= 0, F.lit(0))
         .when(_order() < F.col("cut"), F.col("__size")).when(_order() == F.col("cut"), at_cut).otherwise(F.lit(0)).cast("long")
