@@ -4,7 +4,7 @@ from collections import Counter
 import duckdb
 import regex
 
-from visitmart.llm.decontamination import ItemIndex, contaminated, drop_contaminated, shingle_hashes, similarity
+from visitmart.llm.decontamination import ItemIndex, _items, contaminated, drop_contaminated, shingle_hashes, similarity
 
 
 def brute(text, items, least=0.8):
@@ -63,3 +63,12 @@ def test_repeated_shingles_count_with_their_number():
     index = ItemIndex(0.8, 23).build([(1, "a b c d e " * 8)])
     assert index.matches("a b c d e " * 8) and not index.matches("a b c d e f")
     assert [m[0] for m in index.matches("x y " + "a b c d e " * 8 + "z")] == [1]
+
+
+def test_items_come_in_blocks_bounded_by_number_and_characters(spark):
+    items = [(i, "word " * i) for i in range(1, 30)]
+    table = spark.createDataFrame([*items, (None, "x"), (99, None)], "item_id long, text string")
+    for block, chars in ((4, 10**6), (100, 200), (100, 1)):
+        got = list(_items(table, block, chars))
+        assert [r for part in got for r in part] == items
+        assert all(len(p) <= block and (len(p) == 1 or sum(len(t) for _, t in p) <= chars) for p in got)

@@ -15,6 +15,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     with the logarithm of the longest chain. A round's edges are written to the shared folder; nothing is
     gathered by node: minima are aggregated before the shuffle, and the joins are ones that adaptive
     execution can split where a node has very many edges. Self-loops, nulls and repeated edges are ignored.
+    Edges that would need more than ``max_rounds`` rounds (a chain of 2^100 nodes) raise an error.
     """
     # u > v throughout
     now = materialize(
@@ -34,5 +35,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         parent = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(parent, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.union(parent.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

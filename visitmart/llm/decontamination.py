@@ -146,15 +146,17 @@ class ItemIndex:
         return [(self.ids[row], s, at) for row, (s, at) in sorted(best.items())]
 
 
-def _items(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size, ordered by id."""
+def _items(benchmark: DataFrame, block: int, block_chars: int = 20_000_000) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks, ordered by id: ``block`` items and about ``block_chars`` characters at most."""
     rows = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text")
     part: list[tuple[int, str]] = []
+    held = 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
-        part.append((r["item_id"], r["text"]))
-        if len(part) == block:
+        if part and (len(part) == block or held + len(r["text"]) > block_chars):
             yield part
-            part = []
+            part, held = [], 0
+        part.append((r["item_id"], r["text"]))
+        held += len(r["text"])
     if part:
         yield part
 
