@@ -52,3 +52,10 @@ def test_one_of_each_group_of_the_table_stays(spark):
     rows = duckdb.sql(f"select doc_id, text from '{path}' order by doc_id").fetchall()
     want = {rows[i][0] for i in plain_groups([t for _, t in rows])}
     assert {r["doc_id"] for r in keep_one(spark.read.parquet(path)).collect()} == want
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, b), (None, c), (None, c), (None, None)]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(3, a), (5, b), (None, c), (None, None)], key=str)
