@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import filter_rows
+from visitmart.llm.common import filter_rows, materialize
 
 SHINGLE, BLOCKS = 5, 8
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
@@ -39,10 +39,9 @@ def word_characters() -> np.ndarray:
     return table
 
 
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each run of five words; of all words where there are fewer. Words are runs of letters
-    and digits, lower-cased, so that case and punctuation make no difference. A word's hash sums its characters,
-    each times a random number for its place."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word. Words are runs of letters and digits, lower-cased, so that case and
+    punctuation make no difference. A word's hash sums its characters, each times a random number for its place."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
     inside = np.zeros(len(codes) + 2, bool)
     inside[1:-1] = word_characters()[codes]
@@ -53,8 +52,14 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     first = np.cumsum(lengths) - lengths
     place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
     w = np.add.reduceat((codes[inside[1:-1]] + np.uint64(1)) * PLACES[place % len(PLACES)], first)
-    w = (w ^ (w >> np.uint64(32))) * MIX
-    size = min(SHINGLE, len(w))
+    return (w ^ (w >> np.uint64(32))) * MIX
+
+
+def shingles_of(w: np.ndarray, words: int = SHINGLE) -> np.ndarray:
+    """A hash of each run of so many words; of all words where there are fewer."""
+    size = min(words, len(w))
+    if not size:
+        return np.zeros(0, np.uint64)
     n = len(w) - size + 1
     h = np.full(n, size, np.uint64)
     for k in range(size):
@@ -63,6 +68,10 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return h
 
 
+def shingle_hashes(text: str | None) -> np.ndarray:
+    return shingles_of(word_hashes(text))
+
+
 def bits_of(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
 
@@ -85,15 +94,23 @@ class ItemIndex:
     #: shingles in an item -> block number -> block value -> items
     tables: dict[int, list[dict[int, list[int]]]] = field(default_factory=dict)
 
+    #: words in an item of less than a shingle -> its hash -> items
+    short: dict[int, dict[int, list[int]]] = field(default_factory=dict)
+
     def build(self, items: list[tuple[int, str]]) -> ItemIndex:
         every = []
         for item, text in items:
-            h = shingle_hashes(text)
+            w = word_hashes(text)
+            h = shingles_of(w)
             if not len(h):
                 continue
             row = len(self.ids)
             self.ids.append(item)
             self.bags.append(Counter(h.tolist()))
+            if len(w) < SHINGLE:  # windows of its own length either equal it or have nothing in common with it
+                self.short.setdefault(len(w), defaultdict(list))[int(h[0])].append(row)
+                self.prints.append(np.zeros(0, np.uint8))
+                continue
             every.append(h)
             blocks = np.packbits(bits_of(h).sum(0, dtype=np.int64) * 2 > len(h))
             self.prints.append(blocks)
@@ -118,14 +135,23 @@ class ItemIndex:
 
     def matches(self, text: str | None) -> list[tuple[int, float, int]]:
         """(item, best similarity, first word of the best window), each item once."""
-        h = shingle_hashes(text)
-        if not len(h) or not len(self.shingles):
-            return []
+        w = word_hashes(text)
+        best: dict[int, tuple[float, int]] = {}
+        for words, items in self.short.items():
+            windows = shingles_of(w, words)
+            for at in np.flatnonzero(np.isin(windows, np.fromiter(items, np.uint64, len(items)))).tolist():
+                for row in items[int(windows[at])]:
+                    best.setdefault(row, (1.0, at))
+        h = shingles_of(w)
+        if len(h) and len(self.shingles):
+            self._long_matches(h, best)
+        return [(self.ids[row], s, at) for row, (s, at) in sorted(best.items())]
+
+    def _long_matches(self, h: np.ndarray, best: dict[int, tuple[float, int]]) -> None:
         hit = self.known(h)
         if not hit.any():
-            return []
+            return
         reach = np.concatenate([[0], np.cumsum(hit)])
-        best: dict[int, tuple[float, int]] = {}
         for size, tables in self.tables.items():
             n = min(size, len(h))
             inside = reach[n:] - reach[:-n]
@@ -143,7 +169,6 @@ class ItemIndex:
                     s = similarity(bag, self.bags[row])
                     if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
                         best[row] = (s, at)
-        return [(self.ids[row], s, at) for row, (s, at) in sorted(best.items())]
 
 
 def _items(benchmark: DataFrame, block: int, block_chars: int = 20_000_000) -> Iterator[list[tuple[int, str]]]:
@@ -176,8 +201,11 @@ def contaminated(
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, similarity double, first_word long"
     spark = documents.sparkSession
-    found = None
+    found = part = None
     for items in _items(benchmark, block):
+        if part is not None:  # written before the next block is built
+            part = materialize(part, "matches")
+            found = part if found is None else found.unionByName(part)
         shared = spark.sparkContext.broadcast(ItemIndex(min_similarity, radius).build(items))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -190,15 +218,18 @@ def contaminated(
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "similarity", "first_word"])
 
         part = documents.select("doc_id", "text").mapInPandas(run, schema)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+    if part is None:
+        return spark.createDataFrame([], schema)
+    return part if found is None else found.unionByName(part)
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, radius: int = 23, block: int = 20_000) -> DataFrame:
     """The rows of ``documents``, with all their columns, in which no benchmark item was found. The decision
     is made where the row lies: no join, no shuffle, and null or repeated ids are safe."""
     kept = documents
-    for items in _items(benchmark, block):
+    for number, items in enumerate(_items(benchmark, block)):
+        if number:  # one block's index in a pass
+            kept = materialize(kept, "clean")
         shared = documents.sparkSession.sparkContext.broadcast(ItemIndex(min_similarity, radius).build(items))
 
         def clean(texts: list[str | None], shared=shared) -> np.ndarray:
