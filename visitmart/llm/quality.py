@@ -39,6 +39,7 @@ class QualityModel:
         """(largest response of each filter in each text, padded bytes, first chunk of each text, responses)."""
         data, first = layout(texts)
         r = self.responses(data)
+        r[first[1:] - 1] = -np.inf  # reaches into the next text
         return np.maximum.reduceat(r, first, axis=0), data, first, r
 
     def scores(self, texts: list[str], size: int = 500_000) -> np.ndarray:
@@ -49,7 +50,11 @@ class QualityModel:
                 step = size // STRIDE * STRIDE
                 peak = np.full(FILTERS, -np.inf, np.float32)
                 for at in range(0, max(1, len(raw)), step):
-                    peak = np.maximum(peak, self.pooled([raw[at : at + step + WIDTH]])[0][0])
+                    if at + step < len(raw):  # chunks that begin in this part, with what follows it in the text
+                        part = raw[at : at + step + WIDTH - STRIDE].ljust(step + WIDTH - STRIDE, b"\0")
+                        peak = np.maximum(peak, self.responses(np.frombuffer(part, np.uint8)).max(0))
+                    else:
+                        peak = np.maximum(peak, self.pooled([raw[at:]])[0][0])
                 peaks = peak[None]
             else:
                 peaks = self.pooled([t.encode("utf-8", "replace") for t in texts[a:b]])[0]
