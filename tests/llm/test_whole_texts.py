@@ -5,7 +5,7 @@ from visitmart.llm.quality import FILTERS, WIDTH, QualityModel
 
 def test_score_depends_on_neither_parts_nor_neighbours():
     rng = np.random.default_rng(1)
-    m = QualityModel(rng.standard_normal((WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32), rng.standard_normal(FILTERS).astype(np.float32), 0.0)
+    m = QualityModel(rng.standard_normal((WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32), (0.02 * rng.standard_normal(FILTERS)).astype(np.float32), 0.0)
     m.filters[4:, 0] += 3  # chunks that end in zeros weigh most
     for size in (0, 1, 3, 4, 7, 8, 9, 16, 17, 20, 31, 32, 33, 100):
         text = "".join(chr(c) for c in rng.integers(97, 123, size))
