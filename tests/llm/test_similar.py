@@ -1,9 +1,11 @@
 import random
 
 import duckdb
+import numpy as np
+import pandas as pd
 
+from visitmart.llm.similar import BALL, BITS, FINE, LANES, MIX, Candidates, bit_chance, segment_bits, similar_rows, table_plan, wide_fingerprint
 from visitmart.llm.simhash import keep_one
-from visitmart.llm.similar import similar_rows
 
 
 def plain_set(text):
@@ -42,9 +44,63 @@ def test_groups_of_edited_copies_equal_brute_force(spark):
     texts = [t for edits in (1, 2, 3, 4, 5, 6, 8, 12) for _ in range(4) for t in edited(rng, 5, edits)]
     texts += ["a b", "A  b", "a c", "", None, "one two three four five six", "one two three four five seven"]
     want = plain_groups(texts)
-    got = {r["doc_id"]: r["root"] for r in similar_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert len(got) == len(texts) and len(set(want)) == len(set(got.values()))
-    assert len(set(zip(want, (got[i] for i in range(len(texts))), strict=True))) == len(set(want))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for settings in ({}, {"block": 24, "open_block": 12}):
+        got = {r["doc_id"]: r["root"] for r in similar_rows(docs, **settings).collect()}
+        assert len(got) == len(texts) and len(set(want)) == len(set(got.values()))
+        assert len(set(zip(want, (got[i] for i in range(len(texts))), strict=True))) == len(set(want))
+
+
+def test_fingerprint_bits_are_plain_simhashes():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 5, 40, 20_000):
+        h = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        got = np.unpackbits(np.frombuffer(wide_fingerprint(h), np.uint8))
+        salts = np.random.default_rng(42).integers(0, 1 << 63, LANES, np.uint64)
+        mixed = (h[:, None] ^ salts) * MIX
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * MIX
+        mixed ^= mixed >> np.uint64(29)
+        ones = np.zeros(BITS, np.int64)
+        for row in mixed[:2000] if n > 2000 else mixed:
+            ones += np.unpackbits(row.view(np.uint8))
+        if n <= 2000:
+            assert (got == (ones * 2 > len(h))).all()
+    # about the expected share of bits differs
+    a = np.unique(rng.integers(0, 1 << 63, 4000, np.uint64))
+    b = np.unique(np.concatenate([a[: len(a) * 8 // 9], rng.integers(0, 1 << 63, len(a) - len(a) * 8 // 9, np.uint64)]))
+    differ = sum((x ^ y).bit_count() for x, y in zip(wide_fingerprint(a), wide_fingerprint(b), strict=True))
+    assert abs(differ - BITS * bit_chance(0.8)) < 45
+
+
+def test_candidates_are_all_pairs_within_balls_and_distance():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 256, (30, BITS // 8), np.uint8)
+    rows = [*base]
+    for b in base:
+        for flips in (5, 40, 70, 100, 140):
+            bits = np.unpackbits(b)
+            bits[rng.choice(BITS, flips, replace=False)] ^= 1
+            rows.append(np.packbits(bits))
+    m = len(rows)
+    group = pd.DataFrame({"print": [r.tobytes() for r in rows], "fine": rng.integers(0, 1 << FINE, m), "n": rng.integers(80, 120, m), "key": np.arange(m)})
+    fine, n, prints = group["fine"].to_numpy(), group["n"].to_numpy(), np.stack(rows)
+    d = np.bitwise_count(prints[:, None] ^ prints).sum(2, dtype=np.int64)
+    for two in (None, rng.random(m) < 0.5):
+        found = Candidates(group, two, 0.8)
+        got = [tuple(sorted(x)) for i, j, _ in found for x in zip(i.tolist(), j.tolist(), strict=True)]
+        want = {
+            (i, j) for i in range(m) for j in range(i + 1, m)
+            if d[i, j] <= found.radius and int(fine[i] ^ fine[j]).bit_count() <= BALL and min(n[i], n[j]) >= 0.8 * max(n[i], n[j]) and (two is None or two[i] != two[j])
+        }
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 5
+
+
+def test_plan_finds_the_threshold_pair():
+    for nodes in (1, 10_000, 10**6, 10**9):
+        coarse, tables = table_plan(nodes, 0.8, 1e-6)
+        chosen = segment_bits(coarse, tables, 3)
+        assert chosen.shape == (tables, coarse + FINE) and all(len(set(c)) == len(c) for c in chosen.tolist())
+        assert nodes / 2**coarse <= 8192 and tables < 400
 
 
 def test_one_of_each_group_of_the_table_stays(spark):

@@ -20,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` where the session has it.
 
-    Only a session without that setting (local tests) gets a temporary folder of its own.
+    Only a local session without that setting (tests) gets a temporary folder of its own; on a cluster, where
+    each machine would write to a disk that the others don't see, its absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -39,6 +42,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_spread(
+    df: DataFrame, small: DataFrame, on: list[str], spread_by: str, how: str = "inner", parts: int = 64, keys: DataFrame | None = None
+) -> DataFrame:
+    """``df`` joined with ``small``, which has one row for each ``on``, so that no key's rows meet in one task.
+
+    The rows of a key are dealt to ``parts`` by a hash of ``spread_by``; ``small`` is copied to those parts of a key
+    that occur. Which do is aggregated before the shuffle, so that a key never has more than ``parts`` rows there.
+    ``df`` is read twice, unless ``keys`` has its rows' keys and ``spread_by``. Null keys find nothing.
+    """
+    part = F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int").alias("__part")
+    dealt = df.select("*", part)
+    copies = (df if keys is None else keys).select(*on, part).distinct().join(small, on)
+    return dealt.join(copies, [*on, "__part"], how).drop("__part")
+
+
 def held_out(doc_id: Column | str = "doc_id") -> Column:
     """True for the fifth of the ids whose rows no model may learn from: crc32(id as text) mod 5 = 0.
     A null id counts as held out, so that nothing is learnt from it."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import materialize
+from visitmart.llm.common import join_spread, materialize
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
@@ -13,8 +13,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Each round hangs every node on a smaller neighbour and halves the depth of chains, so that rounds grow
     with the logarithm of the longest chain. A round's edges are written to the shared folder; nothing is
-    gathered by node: minima are aggregated before the shuffle, and the joins are ones that adaptive
-    execution can split where a node has very many edges. Self-loops, nulls and repeated edges are ignored.
+    gathered by node: minima are aggregated before the shuffle, and the edges of a node meet its minimum in
+    several tasks, however many they are. Self-loops, nulls and repeated edges are ignored.
     Edges that would need more than ``max_rounds`` rounds (a chain of 2^100 nodes) raise an error.
     """
     # u > v throughout
@@ -30,10 +30,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         before = state
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = join_spread(both.where("v > u"), least, ["u"], "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(large.where("u != v").distinct(), "hung")
         parent = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(parent, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_spread(large, parent, ["u"], "v").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.union(parent.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
     else:
         raise RuntimeError(f"components still change after {max_rounds} rounds")

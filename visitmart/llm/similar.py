@@ -1,25 +1,33 @@
-"""Near copies of texts: sets of word shingles whose Jaccard similarity is computed exactly.
+"""Near copies of texts: candidates by multi-index hashing over SimHashes, similarity of word shingles exactly.
 
-Which pairs are computed is decided by MinHash: equal bands of smallest hashes make a bucket. The number of
-bands is chosen such that a pair at the threshold shares no bucket with a chance of ``miss`` at most.
+A text's fingerprint has ``BITS`` bits, eight SimHashes of its set of five-word shingles. Two sets of Jaccard
+similarity s differ in each bit with a chance of acos(2s / (1 + s)) / pi, 15 % at 0.8, so that no segment of
+useful width is surely equal; the number of segments is chosen such that a pair at the threshold is missed by all
+of them with a chance of ``miss`` at most. A segment's first bits say which table entries meet in a task; around
+the value of its last ``FINE`` bits a small Hamming ball is enumerated and looked up there, and complete distances
+verify what the look-up returns. What passes is compared exactly, shingle by shingle, in a join.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import materialize
+from visitmart.llm.common import join_spread, materialize
 from visitmart.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BAND = 5
+LANES = 8
+BITS = 64 * LANES
+#: Bits of a segment that are looked up by balls, and the balls' radius.
+FINE, BALL = 8, 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -41,26 +49,123 @@ def shingle_set(parts: list[bytes], words: int = 5) -> np.ndarray:
     return np.unique(h)
 
 
-class Bands:
-    """Bucket numbers of a set: one for each band of ``BAND`` smallest hashes."""
+def wide_fingerprint(shingles: np.ndarray, seed: int = 42) -> bytes:
+    """``LANES`` SimHashes of a set of shingles, each with hashes of its own."""
+    salts = np.random.default_rng(seed).integers(0, 1 << 63, LANES, np.uint64)
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(shingles), 16384):  # bounded memory for very long texts
+        h = (shingles[at : at + 16384, None] ^ salts) * MIX
+        h = (h ^ (h >> np.uint64(32))) * MIX
+        h ^= h >> np.uint64(29)
+        ones += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.uint16)
+    return np.packbits(ones * 2 > len(shingles)).tobytes()
+
+
+def bit_chance(similarity: float) -> float:
+    """How likely a bit differs between sets of equal size and that Jaccard similarity."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def table_plan(nodes: int, similarity: float, miss: float, group: int = 8192) -> tuple[int, int]:
+    """(first bits of a segment, number of segments): as many first bits as leave ``group`` entries a value."""
+    coarse = max(0, min(BITS - FINE, math.ceil(math.log2(max(1, nodes) / group))))
+    q = 1 - bit_chance(similarity)
+    found = q**coarse * sum(math.comb(FINE, r) * (1 - q) ** r * q ** (FINE - r) for r in range(BALL + 1))
+    return coarse, max(1, math.ceil(math.log(miss) / math.log1p(-found))) if found < 1 else 1
+
+
+def segment_bits(coarse: int, tables: int, seed: int) -> np.ndarray:
+    """Which bits each segment has: the fingerprint cut into segments, then permutations of it."""
+    width, rng, out = coarse + FINE, np.random.default_rng(seed), []
+    order = np.arange(BITS)
+    while len(out) < tables:
+        out += [order[k * width : (k + 1) * width] for k in range(BITS // width)]
+        order = rng.permutation(BITS)
+    return np.stack(out[:tables])
+
+
+@lru_cache(1)
+def balls() -> list[np.ndarray]:
+    """For each value of the last bits the values in its ball that aren't smaller."""
+    v = np.arange(1 << FINE)
+    return [u[u >= x] for x in v.tolist() for u in [np.flatnonzero(np.bitwise_count(v ^ x) <= BALL)]]
+
+
+class Candidates:
+    """Pairs of entries of one table value, or of two blocks of it, found by balls and complete distances."""
+
+    def __init__(self, group: pd.DataFrame, two: np.ndarray | None, similarity: float):
+        self.prints = np.frombuffer(b"".join(group["print"]), np.uint64).reshape(-1, LANES)
+        self.fine = group["fine"].to_numpy()
+        self.n = group["n"].to_numpy()
+        #: where two blocks are compared: whether an entry is of the second
+        self.two, self.similarity = two, similarity
+        p = bit_chance(similarity)
+        # five standard deviations above the expected distance; bits of sets of a few shingles differ more often
+        self.radius = BITS * p + 5 * math.sqrt(BITS * p * (1 - p))
+        self.first_radius = 128 * 1.25 * p + 5 * math.sqrt(128 * 1.25 * p)
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, distance), each pair once."""
+        by = np.argsort(self.fine, kind="stable")
+        start = np.searchsorted(self.fine[by], np.arange((1 << FINE) + 1))
+        for value in np.unique(self.fine).tolist():
+            near = balls()[value]
+            own = by[start[value] : start[value + 1]]
+            others = np.concatenate([by[start[u] : start[u + 1]] for u in near.tolist()])
+            if len(others) < 2:
+                continue
+            step = max(1, 2_000_000 // len(others))
+            for at in range(0, len(own), step):
+                rows = own[at : at + step]
+                d = sum(np.bitwise_count(self.prints[rows, None, k] ^ self.prints[others, k]) for k in range(2))
+                i, j = np.nonzero(d <= self.first_radius)
+                same = j < len(own)  # the own value comes first in its ball
+                keep = ~same | (j > i + at)
+                i, j = rows[i[keep]], others[j[keep]]
+                if self.two is not None:
+                    keep = self.two[i] != self.two[j]
+                    i, j = i[keep], j[keep]
+                fits = np.minimum(self.n[i], self.n[j]) >= self.similarity * np.maximum(self.n[i], self.n[j]) - 1e-9
+                i, j = i[fits], j[fits]
+                d = np.bitwise_count(self.prints[i] ^ self.prints[j]).sum(1, dtype=np.int64)
+                few = np.minimum(self.n[i], self.n[j]) < 16
+                keep = d <= np.where(few, 1.15 * self.radius, self.radius)
+                yield i[keep], j[keep], d[keep]
+
 
-    def __init__(self, similarity: float, miss: float, seed: int):
-        share = similarity**BAND
-        self.count = max(1, math.ceil(math.log(miss) / math.log1p(-share))) if share < 1 else 1
-        rng = np.random.default_rng(seed)
-        self.flip, self.factor = (rng.integers(0, 1 << 32, self.count * BAND, np.uint32) for _ in range(2))
-        self.factor |= np.uint32(1)
+def _nearest(group: pd.DataFrame, two: np.ndarray | None, table: int, similarity: float) -> pd.DataFrame:
+    """Of each entry's partners the nearest one and the next one in an order that differs by table, and whether
+    it has others: two pairs an entry at most, however dense the group is."""
+    key = group["key"].to_numpy()
+    m = len(key)
+    place = np.empty(m, np.int64)
+    place[np.argsort((key.view(np.uint64) ^ np.uint64(table)) * MIX)] = np.arange(m)
+    at_place = np.argsort(place)
+    none = np.iinfo(np.int64).max
+    near, after, count = np.full(m, none), np.full(m, none), np.zeros(m, np.int64)
+    for i, j, d in Candidates(group, two, similarity):
+        np.minimum.at(near, i, (d << 32) | j)
+        np.minimum.at(near, j, (d << 32) | i)
+        low, high = np.where(place[i] < place[j], i, j), np.where(place[i] < place[j], j, i)
+        np.minimum.at(after, low, place[high])
+        count += np.bincount(i, minlength=m) + np.bincount(j, minlength=m)
+    one = np.flatnonzero(near < none)
+    other = np.flatnonzero(after < none)
+    a = np.concatenate([one, other])
+    b = np.concatenate([near[one] & 0xFFFFFFFF, at_place[after[other]]])
+    return pd.DataFrame({"a": np.minimum(key[a], key[b]), "b": np.maximum(key[a], key[b]), "own": key[a], "more": count[a] > 1})
 
-    def buckets(self, shingles: np.ndarray) -> np.ndarray:
-        least = np.full(self.count * BAND, 0xFFFFFFFF, np.uint32)
-        short = (shingles >> np.uint64(32)).astype(np.uint32)
-        for at in range(0, len(short), 2048):  # bounded memory for very long texts
-            least = np.minimum(least, ((short[at : at + 2048, None] ^ self.flip) * self.factor).min(0))
-        h = np.arange(1, self.count + 1, dtype=np.uint64) * MIX
-        for column in least.reshape(self.count, BAND).T:
-            h = (h ^ column) * MIX
-            h ^= h >> np.uint64(29)
-        return h.view(np.int64)
+
+def _apart(group: pd.DataFrame, two: np.ndarray | None, similarity: float) -> pd.DataFrame:
+    """All pairs that aren't in one group yet."""
+    key, root = group["key"].to_numpy(), group["root"].to_numpy()
+    found = [np.zeros((2, 0), np.int64)]
+    for i, j, _ in Candidates(group, two, similarity):
+        keep = root[i] != root[j]
+        found.append(np.stack([key[i[keep]], key[j[keep]]]))
+    a, b = np.concatenate(found, axis=1)
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def row_hash():
@@ -68,77 +173,110 @@ def row_hash():
     return F.xxhash64("doc_id", "text")
 
 
+def _tables(nodes: DataFrame, plan: tuple[int, int], seed: int, block: int, max_broadcast: int = 50_000) -> DataFrame:
+    """Each node's entries: table ``t``, ``value`` of the segment's first bits, ``fine``, and the blocks to compare.
+    Entries of a value beyond ``block`` are dealt to blocks, and each pair of blocks is a group of its own."""
+    coarse, tables = plan
+    chosen = segment_bits(coarse, tables, seed)
+    powers = 1 << np.arange(coarse + FINE, dtype=np.int64)[::-1]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                bits = np.unpackbits(np.frombuffer(b"".join(batch["print"]), np.uint8).reshape(-1, BITS // 8), axis=1)
+                values = np.stack([bits[:, c] @ powers for c in chosen], axis=1)
+                yield batch.assign(segments=list(values))
+
+    fields = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in nodes.schema.fields)
+    cuts = nodes.mapInPandas(cut, f"{fields}, segments array<long>")
+    value = F.shiftright("segment", FINE).alias("value")
+    entries = cuts.select(*nodes.columns, F.posexplode("segments").alias("t", "segment")).select(
+        *nodes.columns, "t", value, F.col("segment").bitwiseAND(F.lit((1 << FINE) - 1)).cast("int").alias("fine")
+    )
+    sizes = cuts.select(F.posexplode("segments").alias("t", "segment")).groupBy("t", value).agg(F.count(F.lit(1)).alias("size"))
+    large = materialize(sizes.where(F.col("size") > block).select("t", "value", F.ceil(F.col("size") / block).alias("blocks")), "large")
+    if large.count() <= max_broadcast:
+        large = F.broadcast(large)
+    entries = entries.join(large, ["t", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    entries = entries.withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
+    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return entries.select("t", "value", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "fine", *nodes.columns)
+
+
 def similar_rows(
-    documents: DataFrame, words: int = 5, similarity: float = 0.8, miss: float = 1e-6, seed: int = 42, orders: int = 3
+    documents: DataFrame, words: int = 5, similarity: float = 0.8, miss: float = 1e-6, seed: int = 42, block: int = 16384, open_block: int = 2048
 ) -> DataFrame:
     """(doc_id, row, root): each row with the number of its group of near copies.
 
     Texts of the same words are one node; two nodes are linked where the Jaccard similarity of their sets of
     ``words``-word shingles is ``similarity`` or more, and groups are what links connect. Texts without a word
-    are one node. Neighbours in each bucket, under a few orders, are compared first; of the other pairs of a
-    bucket only those that aren't in one group by then.
+    are one node. Of the candidates that a node finds in a table, two are compared first; of the others only
+    those that aren't in one group by then. Null ids and repeated rows stay; an empty table gives an empty result.
     """
-    bands = Bands(similarity, miss, seed)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, sizes, buckets = [], [], []
+            keys, sizes, prints = [], [], []
             for t in batch["text"]:
                 parts = words_of(t if isinstance(t, str) else None)
                 s = shingle_set(parts, words)
                 keys.append(xxhash.xxh64_intdigest(b" ".join(parts), seed))
                 sizes.append(len(s))
-                buckets.append(bands.buckets(s) if len(s) else np.zeros(0, np.int64))
+                prints.append(wide_fingerprint(s, seed))
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "row": batch["row"], "key": np.array(keys, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "buckets": buckets}
+                {"doc_id": batch["doc_id"], "row": batch["row"], "key": np.array(keys, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "print": prints}
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     numbered = documents.select("doc_id", row_hash().alias("row"), "text")
-    rows = materialize(numbered.mapInPandas(describe, f"doc_id {kind}, row long, key long, n long, buckets array<long>"), "rows")
-    nodes = rows.groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row"), F.first("buckets").alias("buckets"))
-    entries = nodes.select("key", "n", "row", F.explode("buckets").alias("bucket"))
-    shared = entries.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("members > 1")
-    shared = materialize(shared.drop("members"), "buckets")
+    rows = materialize(numbered.mapInPandas(describe, f"doc_id {kind}, row long, key long, n long, print binary"), "rows")
+    nodes = rows.groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row"), F.min("print").alias("print"))
+    nodes = materialize(nodes.where("n > 0"), "nodes")
+    plan = table_plan(nodes.count(), similarity, miss)
+
+    def halves(group: pd.DataFrame) -> np.ndarray | None:
+        one, two = int(group["one"].iat[0]), int(group["two"].iat[0])
+        return None if one == two else group["own"].to_numpy() == two
+
+    def nearest(group: pd.DataFrame) -> pd.DataFrame:
+        return _nearest(group, halves(group), int(group["t"].iat[0]), similarity)
+
+    def apart(group: pd.DataFrame) -> pd.DataFrame:
+        return _apart(group, halves(group), similarity)
+
+    entries = _tables(nodes.select("key", "n", "print"), plan, seed, block)
+    near = materialize(entries.groupBy("t", "value", "one", "two").applyInPandas(nearest, "a long, b long, own long, more boolean"), "near")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingle_set(words_of(t if isinstance(t, str) else None), words).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"key": batch["key"], "shingles": found})
 
-    wanted = shared.select("key", F.col("row").alias("wanted")).distinct()
+    wanted = near.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("row").alias("wanted")), "key")
     # rows of one number have one text: any of them will do
     texts = numbered.join(wanted, F.col("row") == F.col("wanted")).select("key", "text")
-    shingles = materialize(
-        texts.mapInPandas(sets, "key long, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles")), "shingles"
-    )
+    shingles = texts.mapInPandas(sets, "key long, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles"))
+    shingles = materialize(shingles, "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """A text may be near to very many others: no task gets all pairs of one."""
         one = shingles.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
         two = shingles.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
         least = F.lit(similarity) * (F.size("sa") + F.size("sb") - both) - F.lit(1e-9)
-        return pairs.join(one, "a").join(two, "b").where(both >= least).select("a", "b")
-
-    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - F.lit(1e-9)
-    near = None
-    for order in range(orders):
-        by = Window.partitionBy("bucket").orderBy(F.xxhash64("key", F.lit(order)))
-        part = shared.select(F.col("key").alias("a"), F.lag("key").over(by).alias("b"), F.col("n").alias("na"), F.lag("n").over(by).alias("nb"))
-        part = part.where(F.col("b").isNotNull() & fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        near = part if near is None else near.union(part)
-    links = materialize(verified(near.distinct()), "links")
-    groups = connected_components(links)
+        pairs = materialize(pairs, "pairs")
+        first = join_spread(pairs, one, ["a"], "b")
+        return materialize(join_spread(first, two, ["b"], "a", keys=pairs).where(both >= least).select("a", "b"), "links")
 
-    placed = shared.join(groups.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.select("bucket", "key", "n", F.coalesce("component", "key").alias("root"))
-    across = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-    placed = materialize(placed.join(across, "bucket", "left_semi"), "open")
-    left = placed.select("bucket", F.col("key").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = placed.select("bucket", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    others = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits).select("a", "b").distinct()
-    more = materialize(verified(others), "links")
-    if more.limit(1).count():
+    links = verified(near.select("a", "b").distinct())
+    groups = connected_components(links)
+    left = near.where("more").select(F.col("own").alias("key")).distinct().join(nodes.select("key", "n", "print"), "key")
+    left = left.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "print", F.coalesce("component", "key").alias("root"))
+    left = materialize(left, "open")
+    entries = _tables(left, plan, seed, open_block)
+    others = entries.groupBy("t", "value", "one", "two").applyInPandas(apart, "a long, b long").distinct()
+    more = verified(others)
+    if not more.isEmpty():
         groups = connected_components(links.union(more))
-    named = rows.select("doc_id", "row", "key").join(groups.withColumnRenamed("node", "key"), "key", "left")
-    return named.select("doc_id", "row", F.coalesce("component", "key").alias("root"))
+    named = materialize(groups.withColumnRenamed("node", "key"), "named")
+    return join_spread(rows.select("doc_id", "row", "key"), named, ["key"], "row", "left").select("doc_id", "row", F.coalesce("component", "key").alias("root"))
