@@ -57,6 +57,21 @@ def join_spread(
     return dealt.join(copies, [*on, "__part"], how).drop("__part")
 
 
+def in_blocks(entries: DataFrame, by: list[str], spread_by: str, block: int, sizes_of: DataFrame | None = None, max_broadcast: int = 50_000) -> DataFrame:
+    """``entries`` with the columns ``one``, ``two`` and ``own``: groups of ``by`` beyond ``block`` rows are dealt to blocks, and
+    each pair of blocks is a group of its own (a row goes to each pair that its block ``own`` is in), so that no
+    task holds more than two blocks. ``sizes_of``: where the groups' rows can be counted at less cost."""
+    counted = entries if sizes_of is None else sizes_of
+    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block)
+    large = materialize(sizes.select(*by, F.ceil(F.col("size") / block).alias("blocks")), "large")
+    if large.count() <= max_broadcast:
+        large = F.broadcast(large)
+    dealt = entries.join(large, by, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(spread_by), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.select(F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", *entries.columns)
+
+
 def held_out(doc_id: Column | str = "doc_id") -> Column:
     """True for the fifth of the ids whose rows no model may learn from: crc32(id as text) mod 5 = 0.
     A null id counts as held out, so that nothing is learnt from it."""

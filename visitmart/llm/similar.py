@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import join_spread, materialize
+from visitmart.llm.common import in_blocks, join_spread, materialize
 from visitmart.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -173,7 +173,7 @@ def row_hash():
     return F.xxhash64("doc_id", "text")
 
 
-def _tables(nodes: DataFrame, plan: tuple[int, int], seed: int, block: int, max_broadcast: int = 50_000) -> DataFrame:
+def _tables(nodes: DataFrame, plan: tuple[int, int], seed: int, block: int) -> DataFrame:
     """Each node's entries: table ``t``, ``value`` of the segment's first bits, ``fine``, and the blocks to compare.
     Entries of a value beyond ``block`` are dealt to blocks, and each pair of blocks is a group of its own."""
     coarse, tables = plan
@@ -193,14 +193,8 @@ def _tables(nodes: DataFrame, plan: tuple[int, int], seed: int, block: int, max_
     entries = cuts.select(*nodes.columns, F.posexplode("segments").alias("t", "segment")).select(
         *nodes.columns, "t", value, F.col("segment").bitwiseAND(F.lit((1 << FINE) - 1)).cast("int").alias("fine")
     )
-    sizes = cuts.select(F.posexplode("segments").alias("t", "segment")).groupBy("t", value).agg(F.count(F.lit(1)).alias("size"))
-    large = materialize(sizes.where(F.col("size") > block).select("t", "value", F.ceil(F.col("size") / block).alias("blocks")), "large")
-    if large.count() <= max_broadcast:
-        large = F.broadcast(large)
-    entries = entries.join(large, ["t", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    entries = entries.withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
-    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return entries.select("t", "value", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "fine", *nodes.columns)
+    counted = cuts.select(F.posexplode("segments").alias("t", "segment")).select("t", value)
+    return in_blocks(entries, ["t", "value"], "key", block, counted)
 
 
 def similar_rows(
