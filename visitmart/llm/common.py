@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -85,59 +85,64 @@ def _unit_hash(*columns: Column) -> Column:
 
 
 def labelled_sample(
-    documents: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int
+    documents: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int, max_classes: int = 1000
 ) -> list[tuple[str, str]]:
-    """(class as text, text) of at most about ``per_class`` rows of each class, and ``max_bytes`` in all.
+    """(class as text, whole text) of at most ``per_class`` documents of each class, and ``max_bytes`` in all.
 
-    Rows are chosen by a hash of the id, alike on every run; held-out ids, null labels and null texts
-    never enter. Only this bounded sample reaches the driver.
+    Documents are chosen by a hash of the id, alike on every run, until their class's share of ``max_bytes`` is
+    filled; one that is longer than the whole share never enters, none is cut. Held-out ids, null labels and null
+    texts never enter; an id with several labels has the smallest, equal rows are one. More than ``max_classes``
+    classes are an error. Only this bounded sample reaches the driver.
     """
-    known = labels.where(~held_out() & F.col(label).isNotNull()).select(
-        F.col("doc_id").alias("__id"), F.col(label).cast("string").alias("__class")
-    ).dropDuplicates(["__id"])
-    counts = {r["__class"]: r["count"] for r in known.groupBy("__class").count().limit(1000).collect()}
-    if not counts:
+    known = labels.where(~held_out() & F.col(label).isNotNull()).select(F.col("doc_id").alias("__id"), F.col(label).cast("string").alias("__class"))
+    share, classes = _share(known, per_class, max_classes)
+    if not classes:
         return []
-    share = F.lit(0.0)
-    for name, n in sorted(counts.items()):
-        share = F.when(F.col("__class") == name, min(1.0, per_class / n)).otherwise(share)
-    ids = known.where(_unit_hash(F.col("__id")) < share).limit(2 * per_class * len(counts))
-    texts = documents.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).where(
-        F.col("__text").isNotNull()
-    )
-    # ids is bounded by the limit above, so it may be broadcast
-    joined = texts.join(F.broadcast(ids), "__id")
-    return _bounded(joined, 2 * per_class * len(counts), max_bytes)
-
-
-def text_sample(documents: DataFrame, label: str, per_class: int, max_bytes: int) -> list[tuple[str, str]]:
+    ids = known.where(_unit_hash(F.col("__id")) < share).groupBy("__id").agg(F.min("__class").alias("__class"))
+    if 2 * per_class * classes <= 100_000:  # twice that, as hashes fall, is what the line above leaves at most
+        ids = F.broadcast(ids)
+    rows = _texts(documents).select("__id", F.xxhash64("__text").alias("__hash"), F.octet_length("__text").alias("__bytes")).join(ids, "__id")
+    return _chosen(documents, rows, per_class, max_bytes // classes)
+
+
+def text_sample(documents: DataFrame, label: str, per_class: int, max_bytes: int, max_classes: int = 1000) -> list[tuple[str, str]]:
     """As :func:`labelled_sample`, for a label that is a column of ``documents`` itself."""
-    known = documents.where(~held_out() & F.col(label).isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").alias("__id"), F.col(label).cast("string").alias("__class"), F.col("text").alias("__text")
-    )
-    counts = {r["__class"]: r["count"] for r in known.groupBy("__class").count().limit(1000).collect()}
-    if not counts:
+    known = _texts(documents.where(~held_out() & F.col(label).isNotNull()), F.col(label).cast("string").alias("__class"))
+    share, classes = _share(known, per_class, max_classes)
+    if not classes:
         return []
-    share = F.lit(0.0)
-    for name, n in sorted(counts.items()):
-        share = F.when(F.col("__class") == name, min(1.0, per_class / n)).otherwise(share)
-    return _bounded(known.where(_unit_hash(F.col("__id")) < share), 2 * per_class * len(counts), max_bytes)
-
-
-def _bounded(rows: DataFrame, max_rows: int, max_bytes: int) -> list[tuple[str, str]]:
-    """Collects (class, text). A text longer than an equal share of ``max_bytes`` is cut to it: this bounds
-    what the driver holds; predictions always take whole texts."""
-    each = max(1024, 4 * max_bytes // max(1, max_rows))
-    got = rows.select("__class", F.substring("__text", 1, each).alias("__text"), "__id").limit(max_rows).collect()
-    out = sorted((int(r["__id"]), r["__class"], r["__text"]) for r in got)
-    rng = np.random.default_rng(7)
-    order, kept, total = rng.permutation(len(out)), [], 0
-    for i in order:
-        total += 4 * len(out[i][2])
-        if total > 4 * max_bytes:
-            break
-        kept.append((out[i][1], out[i][2]))
-    return kept
+    rows = known.where(_unit_hash(F.col("__id")) < share)
+    rows = rows.select("__id", "__class", F.xxhash64("__text").alias("__hash"), F.octet_length("__text").alias("__bytes"))
+    return _chosen(documents, rows, per_class, max_bytes // classes)
+
+
+def _texts(documents: DataFrame, *more: Column) -> DataFrame:
+    return documents.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"), *more)
+
+
+def _share(known: DataFrame, per_class: int, max_classes: int) -> tuple[Column, int]:
+    """Below which hash a row of its class is a candidate (about twice as many as are wanted), and how many classes there are."""
+    counts = known.groupBy("__class").count().limit(max_classes + 1).collect()
+    if len(counts) > max_classes:
+        raise ValueError(f"more than {max_classes} classes to learn from")
+    if not counts:
+        return F.lit(0.0), 0
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["__class"], min(1.0, 2 * per_class / r["count"]))])
+    return F.element_at(shares, F.col("__class")), len(counts)
+
+
+def _chosen(documents: DataFrame, rows: DataFrame, per_class: int, class_bytes: int) -> list[tuple[str, str]]:
+    """The first rows of each class in the order of the ids' hashes, while they fit; first ids and sizes, then texts."""
+    slim = rows.where(F.col("__bytes") <= class_bytes).groupBy("__id", "__hash").agg(F.min("__class").alias("__class"), F.min("__bytes").alias("__bytes"))
+    order = Window.partitionBy("__class").orderBy(F.xxhash64("__id"), "__id", "__hash")  # of few candidates
+    so_far = F.sum("__bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    picked = slim.withColumn("__rank", F.row_number().over(order)).withColumn("__sum", so_far)
+    picked = picked.where((F.col("__rank") <= per_class) & (F.col("__sum") <= class_bytes)).select("__id", "__hash", "__class")
+    picked = materialize(picked, "sample")
+    found = _texts(documents).withColumn("__hash", F.xxhash64("__text")).join(F.broadcast(picked), ["__id", "__hash"])  # bounded above
+    got = found.groupBy("__id", "__hash").agg(F.first("__class").alias("c"), F.first("__text").alias("t")).collect()
+    out = sorted((str(r["__id"]), r["c"], r["t"]) for r in got)
+    return [out[i][1:] for i in np.random.default_rng(7).permutation(len(out))]
 
 
 def filter_rows(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray]) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from visitmart.llm.common import held_out, pieces, text_sample
-from visitmart.llm.ngrams import distinct_by_text, hashed, letters, word_codes
+from visitmart.llm.ngrams import code_parts, distinct_by_text, hashed, true_letters, word_codes
 
 UNKNOWN = "und"
 SIZES, BITS = (2, 3, 4), 17
@@ -35,19 +35,17 @@ class LanguageModel:
         known = np.zeros(len(texts), bool)
         for a, b in pieces(texts, chars):
             total, number = np.zeros((b - a, self.scores.shape[1])), np.zeros(b - a)
-            for owner, part in _parts(texts[a:b], chars):
-                codes, ends = word_codes(part)
-                known[a + owner] |= bool((letters()[codes]).any()) if len(part) == 1 else False
-                if len(part) > 1:
-                    any_letter = np.add.reduceat(codes != 32, np.concatenate([[0], ends[:-1]]))
-                    known[a + owner : a + owner + len(part)] |= any_letter > 0
+            for codes, ends, starts in _parts(texts[a:b], chars):
+                seen = true_letters()[codes]
+                first = np.concatenate([[0], ends[:-1]])
+                known[a:b] |= np.add.reduceat(seen, first) > 0 if len(ends) > 1 else seen.any()
                 for n in SIZES:
-                    buckets, texts_of = hashed(codes, ends, (n,), BITS)
+                    buckets, texts_of = hashed(codes, ends, (n,), BITS, starts)
                     if not len(buckets):
                         continue
                     first = np.flatnonzero(np.diff(texts_of, prepend=-1))
-                    rows = owner + texts_of[first]
-                    total[rows] += np.add.reduceat(self.scores[buckets], first, axis=0)
+                    rows = texts_of[first]
+                    total[rows] += np.add.reduceat(self.scores[buckets], first, axis=0, dtype=np.float64)
                     number[rows] += np.diff(first, append=len(buckets))
             mean = total / np.maximum(number, 1)[:, None]
             logits = ((mean if self.weights is None else mean @ self.weights) + self.bias) / self.temperature
@@ -56,18 +54,14 @@ class LanguageModel:
         return out, known
 
 
-def _parts(texts: list[str], chars: int) -> Iterator[tuple[int, list[str]]]:
-    """Texts as they are; a single long one in parts that end between words, where there are such places."""
+def _parts(texts: list[str], chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, int | None]]:
+    """(codes, end of each text in them, how many n-grams may begin in them): texts as they are, a single long one in
+    parts whose n-grams together are those of the whole."""
     if len(texts) > 1 or len(texts[0]) <= 2 * chars:
-        yield 0, texts
+        yield *word_codes(texts), None
         return
-    text, at = texts[0], 0
-    while at < len(text):
-        cut = min(len(text), at + chars)
-        while cut < len(text) and not text[cut].isspace() and cut < at + 2 * chars:
-            cut += 1
-        yield 0, [text[at:cut]]
-        at = cut
+    for codes in code_parts(texts[0], chars, max(SIZES)):
+        yield codes, np.array([len(codes)]), chars
 
 
 def train(sample: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: float = 0.5, max_error: float = 0.01, seed: int = 11) -> LanguageModel | None:

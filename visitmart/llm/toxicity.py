@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from visitmart.llm.common import held_out, labelled_sample, pieces
-from visitmart.llm.ngrams import distinct_by_text, hashed, word_codes
+from visitmart.llm.ngrams import code_parts, distinct_by_text, hashed, word_codes
 
 SIZES, BITS = (3, 4, 5, 6), 20
 
@@ -31,21 +31,17 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     def _weighty(self, texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
-        """The n-grams with a weight; a long text is read in parts that overlap by an n-gram."""
-        found = []
-        if len(texts) == 1 and len(texts[0]) > 2 * chars:
-            parts = [[texts[0][i : i + chars + max(SIZES)]] for i in range(0, len(texts[0]), chars)]
-        else:
-            parts = [texts]
-        for part in parts:
-            buckets, owners = hashed(*word_codes(part), SIZES, BITS)
+        """The n-grams with a weight; a long text is read in parts, whose n-grams are those of the whole."""
+        if len(texts) > 1 or len(texts[0]) <= 2 * chars:
+            buckets, owners = hashed(*word_codes(texts), SIZES, BITS)
             keep = self.weights[buckets] != 0
-            buckets, owners = buckets[keep], owners[keep]
-            if len(parts) > 1:
-                buckets = np.unique(buckets)
-                owners = np.zeros(len(buckets), np.int64)
-            found.append((buckets, owners))
-        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+            return buckets[keep], owners[keep]
+        found = [np.zeros(0, np.int32)]
+        for codes in code_parts(texts[0], chars, max(SIZES)):
+            buckets, _ = hashed(codes, np.array([len(codes)]), SIZES, BITS, chars)
+            found.append(np.unique(buckets[self.weights[buckets] != 0]))
+        buckets = np.unique(np.concatenate(found))
+        return buckets, np.zeros(len(buckets), np.int64)
 
 
 def train(sample: list[tuple[str, str]], min_texts: int = 5, epochs: int = 12, rate: float = 0.05, penalty: float = 2e-3, positive_share: float | None = None, seed: int = 5) -> ToxicityModel | None:
