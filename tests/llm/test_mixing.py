@@ -1,11 +1,12 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from visitmart.llm import mixing
 from visitmart.llm.mixing import MIXTURE_SQL, WORD, draw, mixture, plan, split_quotas
 
 
 def rows(df):
-    return sorted((str(tuple(r)) for r in df.select("doc_id", "size", "source_size", "target", "taken").collect()))
+    return sorted((str(tuple(r)) for r in df.select("doc_id", "size", "source_size", "target", "taken", "shards").collect()))
 
 
 def from_sql(df, tmp_path):
@@ -13,7 +14,7 @@ def from_sql(df, tmp_path):
     df.select("doc_id", "text", "source").write.parquet(path)
     c = duckdb.connect()
     c.sql(f"create view documents as from '{path}/*.parquet'")
-    return sorted(str(r) for r in c.sql(f"select doc_id, size, source_size, target, taken from ({MIXTURE_SQL})").fetchall())
+    return sorted(str(r) for r in c.sql(f"select doc_id, size, source_size, target, taken, shards from ({MIXTURE_SQL})").fetchall())
 
 
 def test_equals_sql(spark, data, odd, tmp_path):
@@ -48,6 +49,30 @@ def test_drawn_rows_hold_the_words_taken(spark, data, odd):
         assert words == mixture(docs).agg(F.sum("taken")).first()[0]
 
 
+def test_words_are_taken_by_shards_only(spark, data, monkeypatch):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    draws = plan(docs, words_per_shard=10_000).select(F.explode("__draws").alias("d")).groupBy("d.shard").agg(F.sum("d.words").alias("w"))
+    by_shard = {r["shard"]: r["w"] for r in draws.collect()}
+    assert len(by_shard) > 4
+    lost = 3
+    whole = mixing.split_quotas
+
+    def without_one(quotas, shards, seed):
+        shard_of = F.transform("shard_of", lambda s: F.when(s != lost, s))
+        return whole(quotas, shards, seed).select("__key", shard_of.alias("shard_of"))
+
+    monkeypatch.setattr(mixing, "split_quotas", without_one)
+    assert mixture(docs, words_per_shard=10_000).agg(F.sum("taken")).first()[0] == sum(by_shard.values()) - by_shard[lost]
+
+
+def test_many_sources_and_any_number_of_ranges(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "w " * (i % 13), f"s{i % 411}") for i in range(3000)], "doc_id long, text string, source string")
+    want = from_sql(docs, tmp_path)
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    assert rows(mixture(docs)) == want
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_shards_get_disjoint_runs_and_even_quotas(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     p = plan(docs, words_per_shard=10_000, block_docs=2)

@@ -6,7 +6,7 @@
 3. The blocks that each source is to give (its quota) are split among output shards by a binary tree: a node
    passes half of its quota units to the left, chosen at random without replacement, which makes the numbers
    by source multivariate-hypergeometric. A shard's part of a quota is a run of the source's block order, so
-   shards draw disjoint blocks.
+   shards draw disjoint blocks. What a document gives to the mix is the sum of what shards draw of it.
 4. Within a shard, rows are ordered by a hash.
 
 Quotas count blocks, of which a source has ``max_blocks`` at most, so steps 1 to 3 work on small tables however
@@ -17,6 +17,7 @@ the small table of blocks by a join and are shuffled only once, to their shards.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,24 @@ def _keyed(documents: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _numbered(df: DataFrame, order: list[str], sums: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``rank``, a running number from 0 in the (total) order, and for each of ``sums`` the sum of the rows
+    before, named ``before_...``. Ranges of the order are numbered on their own and shifted by what stands before
+    them, so that no task sees more than its range, and one row a range."""
+    ranged = materialize(df.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    shifts = sizes.select("range", *[F.coalesce(F.sum(c).over(earlier), zero).alias(f"shift_{c}") for c in ("n", *sums)])
+    inside = Window.partitionBy("range").orderBy(*order)
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.join(F.broadcast(shifts), "range")  # a row for each shuffle partition
+    out = out.withColumn("rank", F.row_number().over(inside) - 1 + F.col("shift_n"))
+    for c in sums:
+        out = out.withColumn(f"before_{c}", F.coalesce(F.sum(c).over(above), zero) + F.col(f"shift_{c}"))
+    return out.drop("range", *[f"shift_{c}" for c in ("n", *sums)])
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block_docs: int = 64, max_blocks: int = 512) -> DataFrame:
     """One row for each source key: its size, target, whole epochs, words of the last epoch, number of blocks.
 
@@ -50,22 +69,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
     share what is left by weight.
     """
     by_key = sizes.groupBy("__key").agg(F.sum("__size").alias("__source_size"), F.count(F.lit(1)).alias("docs"))
-    everything = Window.partitionBy()
-    ranked = by_key.withColumn("rank", F.row_number().over(Window.orderBy("__key")))  # one row a source
-    ranked = ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") - 1) % len(weights) + 1).cast("long"))
-    ranked = ranked.withColumn("limit", F.col("__source_size") * cap)
-    before = Window.orderBy(F.col("limit") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    left = (F.sum("__source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0))).alias("left")
-    weight_left = (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))).alias("weight_left")
-    shared = ranked.select("*", left, weight_left).withColumn("capped", F.col("weight") * F.col("left") >= F.col("limit") * F.col("weight_left"))
-    free_left = F.min(F.when(~F.col("capped"), F.struct(F.col("limit") / F.col("weight"), F.col("rank"), F.col("left"), F.col("weight_left")))).over(everything)
-    shared = shared.withColumn("free", free_left)
-    shared = shared.withColumn(
-        "__target",
-        F.when(F.col("capped") | F.col("free").isNull(), F.col("limit").cast("double")).otherwise(
-            F.col("weight").cast("double") * F.col("free.left") / F.col("free.weight_left")
-        ),
-    )
+    ranked = _numbered(by_key, ["__key"]).withColumnRenamed("rank", "place")
+    ranked = ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).cast("long"))
+    ranked = ranked.withColumn("limit", F.col("__source_size") * cap).withColumn("ratio", F.col("limit") / F.col("weight"))
+    ranked = materialize(_numbered(ranked, ["ratio", "place"], ("limit", "weight")), "ranked")
+    words, weight = ranked.agg(F.sum("__source_size"), F.sum("weight")).first()
+    shared = ranked.withColumn("left", F.lit(words) - F.col("before_limit")).withColumn("weight_left", F.lit(weight) - F.col("before_weight"))
+    shared = shared.withColumn("capped", F.col("weight") * F.col("left") >= F.col("limit") * F.col("weight_left"))
+    free = shared.where(~F.col("capped")).agg(F.min(F.struct("rank", "left", "weight_left"))).first()[0]
+    target = F.col("limit").cast("double")
+    if free is not None:
+        target = F.when(F.col("capped"), target).otherwise(F.col("weight").cast("double") * F.lit(float(free["left"])) / F.lit(float(free["weight_left"])))
+    shared = shared.withColumn("__target", target)
     words = F.least(F.round("__target").cast("long"), F.col("limit"))
     shared = shared.withColumn("words", words).withColumn(
         "epochs", F.when(F.col("__source_size") > 0, F.floor(F.col("words") / F.greatest("__source_size", F.lit(1)))).otherwise(0).cast("long")
@@ -77,14 +92,24 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(__key, shard_of): for each source an array with the shard of each of its quota's units, in order."""
-    unit = quotas.where("quota > 0").select("__key", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("unit")).withColumn("node", F.lit(0))
-    for level in range(int(math.log2(shards))):
-        order = _hash32(F.lit(f"{seed}/{level}"), F.col("__key"), F.col("unit").cast("string"))
-        window = Window.partitionBy("node") if level else Window.partitionBy()
-        unit = unit.withColumn("order", order)
-        unit = unit.withColumn("at", F.row_number().over(window.orderBy("order", "__key", "unit"))).withColumn("units", F.count(F.lit(1)).over(window))
-        unit = unit.withColumn("node", F.col("node") * 2 + F.when(F.col("at") * 2 > F.col("units") + 1, 1).otherwise(0)).select("__key", "unit", "node")
+    """(__key, shard_of): for each source an array with the shard of each of its quota's units, in order.
+
+    All units stand in one random order. The root has all of them; a node passes the first half of its run to the
+    left and the rest to the right. How many units of each source go left is multivariate-hypergeometric, as the run
+    is in random order, and each source's numbers add up to its quota exactly.
+    """
+    unit = quotas.where("quota > 0").select("__key", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("unit"))
+    unit = unit.withColumn("order", _hash32(F.lit(f"{seed}/tree"), F.col("__key"), F.col("unit").cast("string")))
+    unit = _numbered(unit, ["order", "__key", "unit"])
+    total = quotas.agg(F.sum("quota")).first()[0] or 0
+    unit = unit.select("__key", "rank", F.lit(0).alias("node"), F.lit(0).cast("long").alias("low"), F.lit(total).cast("long").alias("high"))
+    for _ in range(shards.bit_length() - 1):
+        middle = F.floor((F.col("low") + F.col("high") + 1) / 2).cast("long")
+        right = F.col("rank") >= middle
+        unit = unit.select(
+            "__key", "rank", (F.col("node") * 2 + right.cast("int")).alias("node"),
+            F.when(right, middle).otherwise(F.col("low")).alias("low"), F.when(right, F.col("high")).otherwise(middle).alias("high"),
+        )
     return unit.groupBy("__key").agg(F.sort_array(F.collect_list("node")).alias("shard_of"))  # max_blocks * (cap + 1) at most
 
 
@@ -93,11 +118,19 @@ def _order() -> Column:
     return F.struct(F.col("__place"), F.col("doc_id"), F.col("__size"))
 
 
-def _cuts(placed: DataFrame, partial: DataFrame) -> DataFrame:
+def _cuts(placed: DataFrame, partial: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """For ``partial``, the one block of a source that the last epoch takes in part: at which row (``cut``, and which of its
     ``equal_rows``) the taking stops, and how many words of that row it takes. Texts don't take part, and of a
-    source only one block does."""
+    source only one block does, and of that the window sees one part of 256."""
     found = placed.join(partial, ["__key", "__block"])
+    # first the part of the block, by place, then the row within it
+    part = F.shiftright((F.col("__place") * F.col("blocks")).bitwiseAND(F.lit((1 << 32) - 1)), 24)
+    found = found.withColumn("part", part)
+    parts = found.groupBy("__key", "extra", "part").agg(F.sum("__size").alias("words"))
+    earlier = Window.partitionBy("__key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows
+    parts = parts.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+    parts = parts.where("before < extra AND extra <= before + words").select("__key", "part", (F.col("extra") - F.col("before")).alias("extra"))
+    found = found.drop("extra").join(small(parts), ["__key", "part"])
     found = found.groupBy("__key", "__block", "extra", "__place", "doc_id", "__size").agg(F.count(F.lit(1)).alias("equal_rows"))
     inside = Window.partitionBy("__key", "__block").orderBy("__place", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumn("left", F.col("extra") - F.coalesce(F.sum(F.col("__size") * F.col("equal_rows")).over(inside), F.lit(0)))
@@ -118,17 +151,19 @@ def _extra(rank: Column) -> Column:
 
 def plan(
     documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_docs: int = 64,
-    max_blocks: int = 512, words_per_shard: int = 2_000_000, max_shards: int = 1024, max_broadcast: int = 100_000,
+    max_blocks: int = 512, words_per_shard: int = 100_000, max_shards: int = 1024, max_broadcast: int = 100_000,
 ) -> DataFrame:
-    """``documents`` with the columns __size, __source_size, __target, __taken and __draws (shard and words of
-    each time the document is taken), for :func:`mixture` and :func:`draw`."""
+    """``documents`` with the columns __size, __source_size, __target, __draws (epoch, shard and words of each time the
+    document is drawn by a shard), __taken (the words of its draws) and __pieces (how many tasks a shard is worth), for
+    :func:`mixture` and :func:`draw`."""
     rows = _keyed(documents, seed)
     slim = materialize(rows.select("__key", "__size", "__place", "doc_id"), "sizes")
     by_source = materialize(targets(slim, weights, cap, block_docs, max_blocks), "targets")
     known = by_source.agg(F.count(F.lit(1)), F.sum("__source_size")).first()
     small = F.broadcast if known[0] <= max_broadcast else (lambda df: df)
     wanted = max(1, math.ceil((known[1] or 0) / words_per_shard))
-    shards = min(max_shards, 1 << math.ceil(math.log2(wanted)))
+    shards = min(max_shards, 1 << (wanted - 1).bit_length())
+    pieces = max(1, math.ceil((known[1] or 0) / shards / 2_000_000))
 
     def placed(df: DataFrame, columns: list[str]) -> DataFrame:
         out = df.join(small(by_source.select("__key", "blocks", *columns)), "__key")
@@ -146,7 +181,8 @@ def plan(
         blocks.select("__key", "__block", "at", "count", "words", "epochs", F.greatest(F.col("rest") - F.col("before"), F.lit(0)).alias("extra")), "blocks"
     )
     quotas = blocks.groupBy("__key").agg((F.max("epochs") * F.max("count") + F.sum((F.col("extra") > 0).cast("long"))).alias("quota"))
-    cuts = materialize(_cuts(placed(slim, []), small(blocks.where("extra > 0 AND extra < words").select("__key", "__block", "extra"))), "cuts")
+    partial = blocks.where("extra > 0 AND extra < words").select("__key", "__block", "extra")
+    cuts = materialize(_cuts(placed(slim, []), small(partial), small), "cuts")
     turns = blocks.join(split_quotas(quotas, shards, seed), "__key", "left").join(cuts, ["__key", "__block"], "left").select(
         "__key", "__block", "epochs", "extra", "words", "cut", "cut_words", "cut_rank",
         F.transform(
@@ -169,16 +205,16 @@ def plan(
                 F.when(t["epoch"] < F.col("epochs"), F.col("__size")).otherwise(F.col("__extra")).alias("words"),
             ),
         ),
-        lambda d: d["words"] > 0,
-    )
-    return full.select(
-        *[F.col(f"`{c}`") for c in documents.columns], "__size", "__source_size", "__target",
-        (F.col("epochs") * F.col("__size") + F.col("__extra")).alias("__taken"), draws.alias("__draws"),
+        lambda d: (d["words"] > 0) & d["shard"].isNotNull(),
     )
+    full = full.select(*[F.col(f"`{c}`") for c in documents.columns], "__size", "__source_size", "__target", draws.alias("__draws"))
+    taken = F.aggregate("__draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
+    return full.select("*", taken.alias("__taken"), F.lit(pieces).alias("__pieces"))
 
 
 def mixture(documents: DataFrame, **settings) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of each row.
+    """(doc_id, size, source_size, target, taken, shards) of each row; ``taken`` are the words that the shards draw of
+    it, ``shards`` which ones do, in order of epochs.
 
     A null text has size 0 and is never taken. Sources go by code point, null as one of its own, last. A
     source's taken words add up to its target, rounded to a word; no row is taken more than ``cap`` times. The
@@ -189,6 +225,7 @@ def mixture(documents: DataFrame, **settings) -> DataFrame:
     return p.select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.round("__target", 4).alias("target"), F.col("__taken").alias("taken"),
+        F.array_join(F.transform("__draws", lambda d: d["shard"].cast("string")), ",").alias("shards"),
     )
 
 
@@ -204,12 +241,23 @@ def draw(documents: DataFrame, seed: int = 7, **settings) -> DataFrame:
     leading = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     part = F.array_join(F.slice(pieces, 1, (F.col("__draw.words") + leading).cast("int")), "")
     text = F.when(F.col("__draw.words") < F.col("__size"), part).otherwise(F.col("text")).alias("text")
-    out = taken.select(*columns, text, F.col("__draw.shard").alias("__shard"), F.xxhash64(F.lit(seed), "__draw.epoch", "doc_id", "text").alias("__order"))
-    # by range, so that a task holds a part of the order however large a shard is
-    return out.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order").select(*[F.col(f"`{c}`") for c in documents.columns])
+    out = taken.select(*columns, text, F.col("__draw.shard").alias("__shard"), F.xxhash64(F.lit(seed), "__draw.epoch", "doc_id", "text").alias("__order"), "__pieces")
+    # a shard's order is uniform, so that equal pieces of it go to tasks however large a shard is
+    piece = F.pmod(F.shiftright("__order", 40), F.col("__pieces"))
+    dealt = out.repartition("__shard", piece).sortWithinPartitions("__shard", piece, "__order")
+    return dealt.select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def _halving(level: int) -> str:
+    """One level of the tree in SQL; a tree of fewer levels stays as it is."""
+    before, middle = "numbered" if level == 0 else f"tree{level}", "(low + high + 1) // 2"
+    return (
+        f"tree{level + 1} AS (SELECT k, rank, levels, CASE WHEN levels > {level} THEN node * 2 + CAST(rank >= {middle} AS INTEGER) ELSE node END AS node, "
+        f"CASE WHEN levels > {level} AND rank >= {middle} THEN {middle} ELSE low END AS low, CASE WHEN levels > {level} AND rank < {middle} THEN {middle} ELSE high END AS high FROM {before}),"
+    )
 
 
-#: The same targets and takings in SQL (seed 7, blocks of 64 documents, 512 at most).
+#: The same targets, splitting tree and draws in SQL (seed 7, blocks of 64 documents, 512 at most, shards of 100,000 words, 1024 at most).
 MIXTURE_SQL = r"""
 WITH base AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS k,
@@ -235,11 +283,23 @@ ep AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END
 doc AS (SELECT b.*, e.source_size, e.target, e.epochs, e.words - e.epochs * e.source_size AS rest,
                (b.place * e.nb) >> 32 AS block FROM base b JOIN ep e USING (k)),
 blk AS (SELECT k, block, CAST(sum(size) AS BIGINT) AS words FROM doc GROUP BY ALL),
-pos AS (SELECT k, block, coalesce(sum(words) OVER (PARTITION BY k ORDER BY
-               CAST('0x' || substr(md5('7/blocks:' || k || ':' || CAST(block AS VARCHAR)), 1, 8) AS BIGINT), block
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM blk)
-SELECT doc_id, size, source_size, round(target, 4) AS target,
-       CAST(epochs * size + greatest(least(greatest(rest - before, 0) - coalesce(sum(size) OVER (
-            PARTITION BY k, block ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), size), 0) AS BIGINT) AS taken
-FROM doc JOIN pos USING (k, block)
-"""
+pos AS (SELECT k, block, words, row_number() OVER w AS spot, count(*) OVER (PARTITION BY k) AS n,
+               coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM blk
+        WINDOW w AS (PARTITION BY k ORDER BY CAST('0x' || substr(md5('7/blocks:' || k || ':' || CAST(block AS VARCHAR)), 1, 8) AS BIGINT), block)),
+turn AS (SELECT p.*, e.epochs, greatest(e.words - e.epochs * e.source_size - p.before, 0) AS extra FROM pos p JOIN ep e USING (k)),
+unit AS (SELECT k, CAST(unnest(generate_series(1, max(epochs * n) + count(*) FILTER (extra > 0))) AS BIGINT) AS unit FROM turn GROUP BY k),
+size_of AS (SELECT least(10, CAST(ceil(log2(greatest(1, ceil(sum(source_size) / 100000.0)))) AS INTEGER)) AS levels FROM src),
+numbered AS (SELECT k, row_number() OVER (ORDER BY CAST('0x' || substr(md5('7/tree:' || k || ':' || CAST(unit AS VARCHAR)), 1, 8) AS BIGINT), k, unit) - 1 AS rank,
+                    levels, 0 AS node, CAST(0 AS BIGINT) AS low, count(*) OVER () AS high FROM unit, size_of),
+TREE
+shard AS (SELECT k, node, row_number() OVER (PARTITION BY k ORDER BY node) AS unit FROM tree10),
+taken_row AS (SELECT d.*, t.spot, t.n, row_number() OVER () AS id,
+               greatest(least(greatest(d.rest - t.before, 0) - coalesce(sum(d.size) OVER (
+                   PARTITION BY d.k, d.block ORDER BY d.place, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), d.size), 0) AS final
+        FROM doc d JOIN turn t USING (k, block)),
+part AS (SELECT id, k, epoch, CASE WHEN epoch < epochs THEN size ELSE final END AS words, epoch * n + spot AS unit
+         FROM (SELECT *, CAST(unnest(generate_series(0, epochs)) AS BIGINT) AS epoch FROM taken_row)),
+drawn AS (SELECT id, sum(words) AS taken, string_agg(CAST(node AS VARCHAR), ',' ORDER BY epoch) AS shards FROM part JOIN shard USING (k, unit) WHERE words > 0 GROUP BY id)
+SELECT doc_id, size, source_size, round(target, 4) AS target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, coalesce(shards, '') AS shards
+FROM taken_row LEFT JOIN drawn USING (id)
+""".replace("TREE", "\n".join(map(_halving, range(10))))
