@@ -198,3 +198,44 @@ def test_keys_and_parameters_match_without_case(visits):
 
 def test_empty_star():
     assert StarSchema().ancestors("x") == []
+
+
+def test_colliding_surrogate_keys_are_an_error(visits):
+    spec = {"mapper": {"tables": [{"name": "T", "fields": [{"dimension": {"name": "D", "fields": [{"visit": {"type": "dimension"}}]}}, "count"]}]}}
+    fine = extract(visits, spec)["D"]
+    assert fine.count() == 1000
+    with pytest.raises(Exception, match="stands for several rows"):
+        extract(visits, spec, key_factory=lambda values: F.pmod(F.xxhash64(*values), F.lit(500)))["D"].collect()
+
+
+def test_a_key_with_several_labels_has_the_smallest(spark):
+    from visitmart.operators.aggregate import label_field, with_labels
+
+    names = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, "c"), (None, "z")], "k int, l string")
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    got = {r["k"]: r["L"] for r in with_labels(df, [label_field("L", "k", names)]).collect()}
+    assert got == {1: "a", 2: "c", 3: "Unknown (3)", None: None}
+
+
+def test_gaps_between_dates_are_filled(spark, data):
+    from visitmart.queries import orders
+
+    mondays = orders(spark, data).where(F.dayofweek("start_ts") == 2)
+    star = extract(mondays, {"mapper": {"tables": [{"name": "Visits", "fields": [{"date": "Date"}, {"facts": ["Visits"]}]}]}})
+    days = [r["Date"] for r in star["Date"].orderBy("Date").collect()]
+    assert (days[-1] - days[0]).days + 1 == len(days) and star["Visits"].count() <= len(days) // 7 + 1
+
+
+def test_deferred_values_follow_merged_parts(spark):
+    from visitmart.plans.builder import Table
+
+    df = spark.createDataFrame([(1, "a", 2), (2, "a", 6), (3, "b", 1)], "visit_id long, k string, v int")
+    table = Table("T").key("K", "k").fact("V", "v").count().deferred("Mean", lambda d: F.col("V") / F.col("Count"))
+    assert {r["K"]: r["Mean"] for r in table.run(df)["T"].collect()} == {"a": 4.0, "b": 1.0}
+
+
+def test_definitions_of_one_name_keep_the_first_items_attributes(spark):
+    visits = spark.createDataFrame([(1, "a", "z"), (2, "a", "x"), (3, "b", "y")], "visit_id long, k string, v string").withColumn("start_ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    field = lambda where: {"name": "T", "fields": [{"visit": {"select": "k", "name": "K", "type": "key"}}, {"visit": {"select": "v", "name": "V"}}, "count"]}
+    star = extract(visits.withColumn("pages", F.lit(None).cast("array<struct<events:array<struct<x:int>>>>")), {"mapper": {"tables": [field(0), field(1)]}})
+    assert sorted((r["K"], r["V"], r["Count"]) for r in star["T"].collect()) == [("a", "z", 4), ("b", "y", 2)]

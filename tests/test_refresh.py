@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from visitmart.operators import incremental
 from visitmart.plans.spec import extract
 from visitmart.queries import CUT, PARTITIONED, orders
-from visitmart.sources.files import VersionedStore, read_text, write_text
+from visitmart.sources.files import Conflict, VersionedStore, read_text, write_text
 from visitmart.sources.shared import shared_path
 from visitmart.streaming.refresh import windowed_facts
 
@@ -74,6 +74,54 @@ def test_store_applies_a_batch_once(spark, visits):
     assert store.read().relations == star.relations
 
 
+def files_of(spark, path):
+    return {r[0] for r in spark.read.format("binaryFile").load(path, recursiveFileLookup=True, pathGlobFilter="*.parquet").select("path").collect()}
+
+
+def test_closed_partitions_are_only_named_again(spark, visits):
+    """A refresh through the store gives what a refresh of whole tables gives, and rewrites no closed partition."""
+    path = shared_path(spark, "store")
+    store, since = VersionedStore(spark, path), incremental.cutoff(datetime.datetime.fromisoformat(CUT), timedelta(days=7))
+    moment = F.col("save_ts")
+    some = visits.withColumn("save_ts", F.when(F.col("visit_id") % 5 != 0, moment))
+    before, now = some.where(F.col("start_ts") < CUT), some.where((moment >= F.lit(since).cast("timestamp_ntz")) & (F.col("visit_id") % 7 != 0))
+    store.replace(extract(before, SPEC), since, "1")
+    first = files_of(spark, f"{path}/data")
+    for batch in ("2", "2"):
+        store.replace(extract(now, SPEC), since, batch)
+    later = datetime.datetime(2001, 6, 4)
+    newest = some.where(moment >= F.lit(later).cast("timestamp_ntz"))
+    store.replace(extract(newest, SPEC), later, "3")
+    want = incremental.refresh(incremental.refresh(extract(before, SPEC), extract(now, SPEC), since), extract(newest, SPEC), later)
+    got = store.read()
+    for name in ("Visits", "Goals", "Geo"):
+        assert rows(got[name]) == rows(want[name])
+    assert store.manifest()["version"] == 3 and first <= files_of(spark, f"{path}/data")
+    for name in ("Visits", "Goals"):
+        assert [x[0] for x in store.manifest()["tables"][name]][0] == store.commits()[0]["tables"][name][0][0]
+    assert rows(store.read(store.commits()[0])["Visits"]) == rows(extract(before, SPEC)["Visits"])
+
+
+def test_of_two_racing_writers_one_begins_again(spark, visits):
+    one, two = (VersionedStore(spark, p) for p in [shared_path(spark, "store")] * 2)
+    counted = {"mapper": {"tables": [{"name": "Visits", "fields": ["count"]}]}}
+    part = lambda n: extract(visits.where(F.col("visit_id") % 3 == n), counted)
+    add = lambda old, n: part(n) if old is None else type(old)({"Visits": incremental.upsert(old["Visits"], part(n)["Visits"])}, old.relations)
+    one.update(lambda old: add(old, 0))
+    calls = []
+
+    def slow(old):
+        calls.append(1)
+        if len(calls) == 1:
+            two.update(lambda now: add(now, 1), "other")
+        return add(old, 2)
+
+    assert one.update(slow) == 3 and len(calls) == 2
+    assert one.read()["Visits"].first()["Count"] == visits.count()
+    with pytest.raises(Conflict):
+        one._commit(one.commits()[0], part(0), {}, None, None)
+
+
 def test_text_keeps_nulls_tabs_and_quotes(spark):
     from visitmart.plans.builder import Table
 

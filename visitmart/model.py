@@ -33,9 +33,16 @@ class Field:
     provider: DataFrame | None = None
     label_of: str | None = None
     unknown: str | None = None
+    #: labels only: a value computed from the finished row's columns
+    deferred: Callable[[DataFrame], Column] | None = None
     #: foreign keys only: the dimension table and the key column that this one refers to
     lookup: tuple[str, str] | None = None
 
+    @property
+    def late(self) -> bool:
+        """Filled in after aggregation."""
+        return self.provider is not None or self.deferred is not None
+
     def affix(self, prefix: str = "", postfix: str = "") -> Field:
         name = self.name if prefix and self.name.startswith(prefix) else prefix + self.name
         of = self.label_of and (self.label_of if prefix and self.label_of.startswith(prefix) else prefix + self.label_of) + postfix
@@ -69,10 +76,11 @@ class Measure:
     kind: str | None = None
 
 
-def with_roles(df: DataFrame, fields: list[Field]) -> DataFrame:
-    """Columns in table order (keys, dimensions and labels as declared, facts) with their roles in the metadata."""
+def with_roles(df: DataFrame, fields: list[Field], more: list[str] = ()) -> DataFrame:
+    """Columns in table order (keys, dimensions and labels as declared, facts) with their roles in the metadata;
+    ``more``: columns that come along as they are."""
     ordered = [f for f in fields if f.role == KEY] + [f for f in fields if f.role in (DIMENSION, LABEL)] + [f for f in fields if f.role == FACT]
-    return df.select(*[df[f"`{f.name}`"].alias(f.name, metadata=f.metadata()) for f in ordered])
+    return df.select(*[df[f"`{f.name}`"].alias(f.name, metadata=f.metadata()) for f in ordered], *more)
 
 
 def role_of(column: T.StructField) -> str | None:

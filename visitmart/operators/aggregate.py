@@ -24,8 +24,13 @@ def _number(x: Column) -> Column:
     return F.coalesce(x, F.lit(0))
 
 
-def aggregate(df: DataFrame, fields: list[Field]) -> DataFrame:
-    """One row for each group; columns by field name.
+#: The column that carries a row's place in :data:`ORDER` until parts are merged.
+PLACE = "__place"
+_KINDS = dict(zip(ORDER, ("timestamp_ntz", "bigint", "int", "int"), strict=True))
+
+
+def aggregate(df: DataFrame, fields: list[Field], place: bool = False) -> DataFrame:
+    """One row for each group; columns by field name, and with ``place`` where its first row stood (:data:`PLACE`).
 
     Facts are summed with null as 0. A fact that counts once per page or visit is first reduced to one value for
     each (group, page) and (group, visit): nested aggregates, no join and no distinct expansion. Where the rows of
@@ -33,7 +38,7 @@ def aggregate(df: DataFrame, fields: list[Field]) -> DataFrame:
     """
     group = grouping(fields)
     facts = [f for f in fields if f.role == FACT]
-    rest = [f for f in fields if f not in group and f.role != FACT and f.provider is None]
+    rest = [f for f in fields if f not in group and f.role != FACT and not f.late]
     if not facts and (shown := [f for f in group + rest if f.lookup or f.role != KEY or len(group) == 1]):
         # a row without any value isn't emitted; facts always have one
         df = df.where(F.coalesce(*[f.expr.cast("string") for f in shown]).isNotNull())
@@ -42,6 +47,9 @@ def aggregate(df: DataFrame, fields: list[Field]) -> DataFrame:
     inner = [n for n, level in (("__page", PAGE), ("__visit", VISIT)) if any(f.once == level for f in facts)]
     names = [f.name for f in group]
     picked = [value(f).alias(f.name) for f in group + facts]
+    if place:
+        at = F.struct(*[(F.col(c) if c in order else F.lit(None)).cast(_KINDS[c]).alias(c) for c in ORDER])
+        picked.append(at.alias(PLACE))
     if rest:
         picked.append(F.struct(*[F.col(c) for c in order], *[value(f).alias(f"__v{i}") for i, f in enumerate(rest)]).alias("__rest"))
     if inner:
@@ -56,6 +64,8 @@ def aggregate(df: DataFrame, fields: list[Field]) -> DataFrame:
         aggs = [(F.sum(_number(F.col(f"`{f.name}`"))) if f.name in done else F.max(f"`{f.name}`")).alias(f.name) for f in facts]
         if rest:
             aggs.append(F.min("__rest").alias("__rest"))
+        if place:
+            aggs.append(F.min(PLACE).alias(PLACE))
         aggs = aggs or [F.count(F.lit(1)).alias("__n")]
         return rows.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*aggs)
 
@@ -67,32 +77,46 @@ def aggregate(df: DataFrame, fields: list[Field]) -> DataFrame:
         done |= {f.name for f in facts if f.once == VISIT}
     rows = level(names)
     out = [F.col(f"`{n}`") for n in names] + [F.col(f"__rest.__v{i}").alias(f.name) for i, f in enumerate(rest)]
-    return rows.select(*out, *[_number(F.col(f"`{f.name}`")).alias(f.name) for f in facts])
+    return rows.select(*out, *[_number(F.col(f"`{f.name}`")).alias(f.name) for f in facts], *[F.col(PLACE)] * place)
 
 
 def with_labels(df: DataFrame, fields: list[Field]) -> DataFrame:
-    """Fills label columns from their (key, label) tables, after aggregation. A null key has a null label; a key
-    without a label gets the field's text for unknown ones, with the key in it, or null."""
+    """Fills label columns from their (key, label) tables, and then deferred ones, after aggregation. A null key has a null label; a key
+    without a label gets the field's text for unknown ones, with the key in it, or null; one with several the smallest."""
     for i, f in enumerate(f for f in fields if f.provider is not None):
         of = F.col(f"`{f.label_of}`").cast("string")
         known = f.provider.select(F.col(f.provider.columns[0]).cast("string").alias(f"__k{i}"), F.col(f.provider.columns[1]).alias(f"__l{i}"))
         unknown = F.lit(None) if f.unknown is None else F.when(of.isNotNull(), F.replace(F.lit(f.unknown), F.lit("{key}"), of))
-        df = df.join(known.dropDuplicates([f"__k{i}"]), of == F.col(f"__k{i}"), "left")
+        df = df.join(known.groupBy(f"__k{i}").agg(F.min(f"__l{i}").alias(f"__l{i}")), of == F.col(f"__k{i}"), "left")
         df = df.withColumn(f.name, F.coalesce(f"__l{i}", unknown)).drop(f"__k{i}", f"__l{i}")
-    return df
+    return with_deferred(df, fields)
+
+
+def with_deferred(df: DataFrame, fields: list[Field]) -> DataFrame:
+    """Columns that are computed from a finished row; also from one that was merged from parts."""
+    late = {f.name: f.deferred(df) for f in fields if f.deferred is not None}
+    return df.withColumns(late) if late else df
 
 
 def merge_tables(*tables: DataFrame) -> DataFrame:
-    """Partial tables of one schema as one: equal keys meet, facts add up, other columns keep the smallest value."""
-    all_rows = tables[0]
-    for t in tables[1:]:
+    """Partial tables of one schema as one: equal keys meet, facts add up, and the other columns are those of one
+    row: the one that stood first (:data:`PLACE`, where all tables have it), else that of the first table."""
+    placed = all(PLACE in t.columns for t in tables)
+    shown = [c for c in tables[0].columns if c != PLACE]
+    parts = [t.select(*[F.col(f"`{c}`") for c in shown], *[F.col(PLACE)] * placed, F.lit(i).alias("__part")) for i, t in enumerate(tables)]
+    all_rows = parts[0]
+    for t in parts[1:]:
         all_rows = all_rows.unionByName(t)
     by, facts = group_columns(tables[0]), set(columns_of(tables[0], FACT))
-    others = [c for c in tables[0].columns if c not in by]
-    aggs = [(F.sum(_number(F.col(f"`{c}`"))) if c in facts else F.min(f"`{c}`")).alias(c) for c in others]
-    merged = all_rows.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*aggs) if aggs else all_rows.distinct()
+    rest = [c for c in shown if c not in by and c not in facts]
+    aggs = [F.sum(_number(F.col(f"`{c}`"))).alias(c) for c in shown if c in facts]
+    if rest:
+        whole = F.struct(*[F.col(PLACE)] * placed, "__part", *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(rest)])
+        aggs.append(F.min(whole).alias("__first"))
+    merged = all_rows.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*aggs or [F.count(F.lit(1)).alias("__n")])
+    value = {c: F.col(f"__first.__v{i}") for i, c in enumerate(rest)}
     kinds = {c.name: c for c in tables[0].schema.fields}
-    return merged.select(*[F.col(f"`{c}`").cast(kinds[c].dataType).alias(c, metadata=kinds[c].metadata) for c in tables[0].columns])
+    return merged.select(*[value.get(c, F.col(f"`{c}`")).cast(kinds[c].dataType).alias(c, metadata=kinds[c].metadata) for c in shown])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

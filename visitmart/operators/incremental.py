@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.model import DIMENSION, FACT, KEY, StarSchema, columns_of, group_columns, role_of
@@ -28,9 +28,15 @@ def partition_field(df: DataFrame) -> str | None:
     return next((c.name for c in df.schema.fields if c.metadata.get("kind") == "Partition"), None)
 
 
+def closed(since: Any, field: str) -> Column:
+    """True for rows that a refresh leaves alone: those of partitions before ``since``, and those of no partition, as
+    only partitions from ``since`` on are read again."""
+    return ~F.coalesce(F.col(f"`{field}`") >= F.lit(since).cast("timestamp_ntz"), F.lit(False))
+
+
 def replace_stale(old: DataFrame, fresh: DataFrame, since: Any, field: str) -> DataFrame:
     """Rows of closed partitions stay; all others come from the fresh load, also where it has none."""
-    return old.where(F.col(f"`{field}`") < F.lit(since).cast("timestamp_ntz")).unionByName(fresh)
+    return old.where(closed(since, field)).unionByName(fresh)
 
 
 def replace_stale_children(old: DataFrame, fresh: DataFrame, fields: tuple[str, ...], kept_parents: DataFrame, parent_fields: tuple[str, ...]) -> DataFrame:
@@ -86,7 +92,7 @@ def refresh(old: StarSchema | None, fresh: StarSchema, since: Any = None, clear:
         elif not chain:
             out.tables[name] = replace_stale(old[name], df, since, field)
         else:
-            kept = old[center].where(F.col(f"`{field}`") < F.lit(since).cast("timestamp_ntz"))
+            kept = old[center].where(closed(since, field))
             for relation in reversed(chain[1:]):
                 child = old[relation.table]
                 kept = child.join(kept, same(child, relation.fields, kept, relation.to_fields), "left_semi")
@@ -120,4 +126,4 @@ def check_schema(old: StarSchema, fresh: StarSchema) -> None:
         raise ValueError(f"the target's tables differ from the job's in {differ}")
 
 
-__all__ = ["DIMENSION", "KEY", "check_schema", "cutoff", "period_start", "refresh", "replace_stale", "replace_stale_children", "stable_rows", "transient_rows", "upsert"]
+__all__ = ["DIMENSION", "KEY", "check_schema", "closed", "cutoff", "period_start", "refresh", "replace_stale", "replace_stale_children", "stable_rows", "transient_rows", "upsert"]

@@ -57,3 +57,8 @@ def with_related(star: StarSchema, name: str, columns: list[str]) -> DataFrame:
             on &= df[f"`{c}`"].eqNullSafe(to[f"__k{i}"])
         df = df.join(to, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
     return df
+
+
+def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two tables of one row each, side by side."""
+    return left.withColumn("__one", F.lit(1)).join(right.withColumn("__one", F.lit(1)), "__one").drop("__one")

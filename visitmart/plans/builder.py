@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.functions.keys import KeyFactory, hash_key
-from visitmart.model import DIMENSION, FACT, KEY, Field, StarSchema
+from visitmart.model import DIMENSION, FACT, KEY, LABEL, Field, StarSchema
 from visitmart.operators.aggregate import count_fact
 from visitmart.operators.scopes import Scope, with_index
 from visitmart.plans.extract import Context, FieldMaker, TableDef, extract_tables
@@ -51,6 +51,10 @@ class Table:
     def count_distinct(self, name: str, up: int) -> Table:
         return self.map(lambda ctx, s: (s, [count_fact(s, up, name)]))
 
+    def deferred(self, name: str, value: Callable[[DataFrame], Column]) -> Table:
+        """A value computed from the finished row: ``value`` gets the table, with all other columns."""
+        return self.map(lambda ctx, s: (s, [Field(name, LABEL, F.lit(None), deferred=value)]))
+
     def index(self, name: str, up: int = 1) -> Table:
         def make(ctx: Context, s: Scope):
             s, index = with_index(s, up, ctx.fresh("index"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from visitmart.functions import dates
 from visitmart.functions.keys import KeyFactory, hash_key
 from visitmart.model import DIMENSION, FACT, KEY, LABEL, Field, Measure, Relation, StarSchema, columns_of, with_roles
-from visitmart.operators.aggregate import aggregate, grouping, merge_tables, with_labels
+from visitmart.operators.aggregate import PLACE, aggregate, grouping, merge_tables, with_deferred, with_labels
 from visitmart.operators.scopes import Scope
 
 #: Fields at a scope; what they need may be joined to the scope's rows on the way.
@@ -46,6 +46,9 @@ class Context:
     lookups: dict[str, Lookup] = field(default_factory=dict)
     star: StarSchema = field(default_factory=StarSchema)
     serial: int = 0
+    #: names that more than one definition has; their parts are merged at the end
+    repeated: set[str] = field(default_factory=set)
+    parts: dict[str, list[tuple[list[Field], DataFrame]]] = field(default_factory=dict)
 
     def fresh(self, name: str) -> str:
         self.serial += 1
@@ -62,7 +65,7 @@ class Context:
 
     def lookup(self, scope: Scope, name: str, fields: list[Field], key: bool = False, prefix: str = "", finish=None) -> list[Field]:
         """Adds the fields' values at the scope to dimension table ``name``; the foreign keys that stand for them."""
-        shown = [f for f in fields if f.role != FACT and f.provider is None]
+        shown = [f for f in fields if f.role != FACT and not f.late]
         explicit = [f for f in fields if f.role == KEY]
         id_name = None if explicit else surrogate_name(name, [f.name for f in fields])
         shape = [(f.name, f.role) for f in fields]
@@ -80,23 +83,29 @@ class Context:
         return [replace(f, lookup=old.lookup) for f, old in zip(made, made, strict=True)]
 
     def finish(self) -> StarSchema:
+        for name, parts in self.parts.items():
+            out, merged = parts[0][0], merge_tables(*[df for _, df in parts])
+            self.star.tables[name] = with_roles(with_deferred(merged, out), out)
         for name, entry in self.lookups.items():
             fields = entry.parts[0][1]
             out: list[Field] = fields if entry.key is None else [Field(entry.key, KEY, F.lit(None)), *fields]
             made = []
+            several = len(entry.parts) > 1
             for df, own in entry.parts:
-                part = aggregate(df, own)
+                part = aggregate(df, own, place=several)
                 if entry.key is not None:
                     part = part.withColumn(entry.key, self.key_factory([F.col(f"`{f.name}`") for f in grouping(own)]))
                 for f in own:
-                    if f.provider is not None:
+                    if f.late:
                         part = part.withColumn(f.name, F.lit(None).cast("string"))
-                made.append(with_roles(part, out))
-            whole = merge_tables(*made) if len(made) > 1 else made[0]
+                made.append(with_roles(part, out, [PLACE] * several))
+            whole = merge_tables(*made) if several else made[0]
+            if entry.key is not None:
+                whole = unique_keys(whole, entry.key)
             if entry.finish is not None:
                 whole = entry.finish(whole, out)
-            if any(f.provider is not None for f in out):
-                whole = with_labels(whole.drop(*[f.name for f in out if f.provider is not None]), out)
+            if any(f.late for f in out):
+                whole = with_labels(whole.drop(*[f.name for f in out if f.late]), out)
             self.star.tables[name] = with_roles(whole, out)
             for f in fields:
                 if f.lookup:
@@ -128,21 +137,27 @@ class Context:
             links = [Field(key, role, F.col(column)) for key, column in (parent[1] if parent else [])]
             own = [f for f in fields if f.name not in {x.name for x in links}]
             every = links + own
-            shown = [f for f in own if f.role != FACT and f.provider is None]
+            shown = [f for f in own if f.role != FACT and not f.late]
             if not any(f.role == FACT for f in own) and shown:
                 inner = replace(inner, df=inner.df.where(F.coalesce(*[f.expr.cast("string") for f in shown]).isNotNull()))
             group = grouping(every)
-            df = aggregate(inner.df, every)
+            again = name in self.repeated
+            df = aggregate(inner.df, every, place=again)
             out = every
             keys: list[tuple[str, Column]] = [(f.name, f.expr) for f in group if f.role == KEY]
             if definition.tables and not keys:
                 key = surrogate_name(name, [f.name for f in every])
                 # a table of facts alone has one row, so any constant names it
                 df = df.withColumn(key, self.key_factory([F.col(f"`{f.name}`") for f in group] or [F.lit(0)]))
+                df = df if again else unique_keys(df, key)
                 keys = [(key, self.key_factory([f.expr for f in group] or [F.lit(0)]))]
                 out = [Field(key, KEY, F.lit(None)), *every]
-            df = with_roles(with_labels(df, every), out)
-            self.star.tables[name] = merge_tables(self.star.tables[name], df) if name in self.star.tables else df
+            df = with_roles(with_labels(df, every), out, [PLACE] * again)
+            if again:
+                self.parts.setdefault(name, []).append((out, df))
+            elif name in self.star.tables:
+                raise RepeatedName(name)
+            self.star.tables[name] = df
             self.relate(name, every)
             if parent:
                 self.star.relations.append(Relation("parent", name, tuple(x.name for x in links), parent[0], tuple(k for k, _ in parent[1])))
@@ -153,6 +168,22 @@ class Context:
                     self.run(child, below, (name, carried))
 
 
+def unique_keys(df: DataFrame, key: str) -> DataFrame:
+    """``df``, whose rows differ in what identifies them, unless two of them got one surrogate key: then reading it
+    raises an error. Rows meet by key in one aggregate, before anything is joined by it."""
+    rest = [c for c in df.columns if c != key]
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(rest)])
+    met = df.groupBy(F.col(f"`{key}`").alias(key)).agg(F.any_value(whole).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    clash = F.concat(F.lit(f"surrogate key {key} stands for several rows: "), F.col(f"`{key}`").cast("string"))
+    met = met.where(F.when(F.col("__n") > 1, F.raise_error(clash).cast("boolean")).otherwise(True))
+    value = {c: F.col(f"__row.v{i}").alias(c) for i, c in enumerate(rest)}
+    return met.select(*[value.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+class RepeatedName(Exception):
+    """A second definition of a table: its parts have to tell where their rows stood."""
+
+
 def surrogate_name(table: str, taken: list[str]) -> str:
     name, n = f"{table}Id", 1
     while name in taken:
@@ -162,10 +193,15 @@ def surrogate_name(table: str, taken: list[str]) -> str:
 
 
 def extract_tables(scope: Scope, definitions: list[TableDef], context: Context | None = None) -> StarSchema:
+    """Definitions of one name make one table."""
     context = context or Context()
-    for definition in definitions:
-        context.run(definition, scope)
-    return context.finish()
+    while True:
+        try:
+            for definition in definitions:
+                context.run(definition, scope)
+            return context.finish()
+        except RepeatedName as name:  # plans are lazy: nothing was read yet
+            context = replace(context, lookups={}, star=StarSchema(), serial=0, parts={}, repeated=context.repeated | {str(name)})
 
 
 # dimensions of dates and times

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.model import FACT, Measure, StarSchema, role_of
-from visitmart.operators.joins import same, with_related
+from visitmart.operators.joins import meet, same, with_related
 
 
 def field_of(df: DataFrame, name: str) -> str | None:
@@ -65,7 +65,7 @@ def measure_query(star: StarSchema, names: list[str], by: list[str]) -> DataFram
 
 def _meet(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     if not by:  # one row each
-        return left.withColumn("__one", F.lit(1)).join(right.withColumn("__one", F.lit(1)), "__one").drop("__one")
+        return meet(left, right)
     keys = {b: f"__r{i}" for i, b in enumerate(by)}
     right = right.withColumnsRenamed(keys)
     on = F.lit(True)
@@ -110,11 +110,17 @@ def presentation(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c.name}`").alias(c.metadata.get("friendly") or c.name) for c in shown])
 
 
-def table_order(df: DataFrame) -> DataFrame:
-    """Sorted fields first, in field order, then the keys; nulls first in both directions."""
+def order_columns(df: DataFrame) -> list[Column]:
+    """Sorted fields first, in field order, then the keys (dimensions, where nothing else orders); nulls first in
+    both directions."""
     fields = df.schema.fields
     by = [(c.name, c.metadata["sort"]) for c in fields if c.metadata.get("sort")]
     by += [(c.name, "asc") for c in fields if role_of(c) == "key" and not c.metadata.get("sort")]
     if not by:
         by = [(c.name, "asc") for c in fields if role_of(c) == "dimension"]
-    return df.orderBy(*[F.col(f"`{n}`").desc_nulls_first() if d == "desc" else F.col(f"`{n}`").asc_nulls_first() for n, d in by])
+    return [F.col(f"`{n}`").desc_nulls_first() if d == "desc" else F.col(f"`{n}`").asc_nulls_first() for n, d in by]
+
+
+def table_order(df: DataFrame) -> DataFrame:
+    """The table in the order of :func:`order_columns`."""
+    return df.orderBy(*order_columns(df))

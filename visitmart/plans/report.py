@@ -12,7 +12,8 @@ from visitmart.model import StarSchema
 
 def run_report(star: StarSchema, write: Callable[[str, DataFrame], None], visits: DataFrame | None = None, size_limit: int | None = None) -> DataFrame:
     """Writes each table by ``write(name, df)`` and returns (table, rows, over_limit), with the items read under
-    the name "(items)". Rows are counted on the way, at no extra pass."""
+    the name "(items)". Tables' rows are counted on the way; items by a pass that reads no column, as a star's tables
+    may leave rows of the source unread."""
     seen: list[tuple[str, int]] = []
     spark = next(iter(star.tables.values())).sparkSession
     if visits is not None:

@@ -22,7 +22,7 @@ from visitmart.operators import filters as flt
 from visitmart.operators import splits
 from visitmart.operators.aggregate import count_fact, label_field, visit_facts
 from visitmart.operators.scopes import Scope, funnel_rows, items_of, pairs, to_copies, to_events, to_pages, to_parts, with_index
-from visitmart.plans.extract import Context, FieldMaker, TableDef, date_fields, fill_dates, fill_times, time_fields
+from visitmart.plans.extract import Context, FieldMaker, TableDef, date_fields, extract_tables, fill_dates, fill_times, time_fields
 from visitmart.sources.visits import normalise
 
 
@@ -386,6 +386,13 @@ def _xafacts(e: Element, p: Parser) -> FieldMaker:
     return make
 
 
+@register(FIELDS, "deferred")
+def _deferred(e: Element, p: Parser) -> FieldMaker:
+    """``ratio``: two columns of the finished row, divided; null where the second is 0."""
+    part, whole = e.need("ratio")
+    return lambda ctx, s: (s, [Field(e.get("name", "Ratio"), LABEL, F.lit(None), deferred=lambda df: F.try_divide(F.col(f"`{part}`").cast("double"), F.col(f"`{whole}`").cast("double")))])
+
+
 @register(FIELDS, "fact")
 def _fact(e: Element, p: Parser) -> FieldMaker:
     """A number to sum; ``once``: "visit" or "page" adds it once for each of these in a row."""
@@ -695,9 +702,7 @@ class Job:
         context = Context(key_factory, quarter_mode, sources or {})
         kept = flt.incremental(self.filters, cutoff) if cutoff is not None else self.filters
         scope = Scope(flt.apply_all(normalise(visits), kept))
-        for definition in self.definitions:
-            context.run(definition, scope)
-        star = context.finish()
+        star = extract_tables(scope, self.definitions, context)
         for step in self.finishing:
             if hasattr(step, "validate"):
                 step.validate(star)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,13 @@ from visitmart.model import DIMENSION, KEY, StarSchema
 from visitmart.operators import filters, incremental, joins, scopes
 from visitmart.operators.aggregate import first_per_key, merge_tables
 from visitmart.plans.builder import Table
-from visitmart.plans.measures import measure_query, presentation, table_order
+from visitmart.plans.measures import measure_query, order_columns, presentation
 from visitmart.plans.report import run_report
 from visitmart.plans.spec import custom_expander, custom_field, custom_filter, custom_splitter, default_spec, extract
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
 from visitmart.sources.shared import shared_path
 from visitmart.sources.visits import normalise, visits_by_session, visits_by_week, visits_from_orders
-from visitmart.streaming.refresh import refresh_stream
+from visitmart.streaming.refresh import refresh_stream, windowed_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -480,11 +481,11 @@ for _level, _n, _step in (("year", 2, "1 YEAR"), ("quarter", 6, "3 MONTH"), ("mo
     _dates(_level, _n, _step)
 
 
-@query("""WITH h AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders WHERE dayofweek(o_orderdate) = 1 GROUP BY 1), s AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM h)
+@query("""WITH h AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1), s AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM h)
 SELECT s.day AS "Date", CAST(coalesce(n, 0) AS BIGINT) AS "Visits" FROM s LEFT JOIN h USING (day)""")
 def date_gap_fill(spark, d):
-    """Mondays only: the other days are the gaps."""
-    star = extract(orders(spark, d).where(F.dayofweek("start_ts") == 2), tables({"name": "Visits", "fields": [{"date": "Date"}, {"facts": ["Visits"]}]}))
+    """Days without an order are in the dimension, with no visit."""
+    star = extract(orders(spark, d), tables({"name": "Visits", "fields": [{"date": "Date"}, {"facts": ["Visits"]}]}))
     visits = star["Visits"].select(F.col("DateId").alias("day"), "Visits")
     return star["Date"].join(visits, F.col("Date") == F.col("day"), "left").select("Date", F.coalesce("Visits", F.lit(0)).alias("Visits"))
 
@@ -540,6 +541,49 @@ def incremental_replace(spark, d):
     return incremental.refresh(extract(first, spec), extract(second, spec), since)["Visits"]
 
 
+@query(PARTITION_SQL.replace("CAST(date_trunc('week', start_ts) AS TIMESTAMP)", "CASE WHEN visit_id % 7 <> 0 THEN CAST(date_trunc('week', start_ts) AS TIMESTAMP) END").replace("FROM ov", f"FROM ov WHERE visit_id % 7 <> 0 OR start_ts < TIMESTAMP '{CUT}'"))
+def refresh_null_partition(spark, d):
+    """Rows of no partition, from visits that were never saved, are not read again and stay."""
+    visits = orders(spark, d).withColumn("save_ts", F.when(F.col("visit_id") % 7 != 0, F.col("save_ts")))
+    since, spec = incremental.cutoff(datetime.fromisoformat(CUT), timedelta(days=7)), tables(PARTITIONED)
+    old, new = visits.where(F.col("start_ts") < CUT), visits.where(F.col("save_ts") >= F.lit(since).cast("timestamp_ntz"))
+    return incremental.refresh(extract(old, spec), extract(new, spec), since)["Visits"]
+
+
+@query(f"""WITH {ORDERS}, a AS (SELECT * FROM ov WHERE start_ts < TIMESTAMP '{CUT}'), b AS (SELECT * FROM ov WHERE start_ts >= TIMESTAMP '{CUT}' AND country > 'G'),
+n AS (SELECT (SELECT count(*) FROM a) AS old_visits, (SELECT count(*) FROM b) AS new_visits, (SELECT count(DISTINCT country) FROM b) AS new_geo, (SELECT count(DISTINCT country) FROM (SELECT country FROM a UNION ALL SELECT country FROM b)) AS all_geo)
+SELECT clear, CAST(CASE WHEN clear IN ('none', 'dimensions') THEN old_visits + new_visits ELSE new_visits END AS BIGINT) AS visits, CAST(CASE WHEN clear IN ('none', 'facts') THEN all_geo ELSE new_geo END AS BIGINT) AS countries
+FROM n, (SELECT unnest(['none', 'dimensions', 'facts', 'all']) AS clear)""")
+def clear_options(spark, d):
+    """What is left of the tables after a refresh that empties some of them first."""
+    visits, spec = orders(spark, d), tables({"name": "Visits", "fields": [{"dimension": {"name": "Geo", "fields": GEO[:1]}}, {"facts": ["Visits"]}]})
+    old, new = extract(visits.where(F.col("start_ts") < CUT), spec), extract(visits.where((F.col("start_ts") >= CUT) & (F.col("geo.country") > "G")), spec)
+    out = []
+    for clear in incremental.CLEAR:
+        star = incremental.refresh(old, new, CUT, clear)
+        count = star["Geo"].agg(F.count(F.lit(1)).alias("countries"))
+        out.append(joins.meet(star["Visits"].agg(F.sum("Visits").alias("visits")), count).select(F.lit(clear).alias("clear"), "visits", "countries"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(f"WITH {ORDERS} SELECT 'same' AS job, true AS accepted, CAST(count(*) AS BIGINT) AS visits FROM ov UNION ALL SELECT 'field added', false, CAST(count(*) AS BIGINT) FROM ov UNION ALL SELECT 'sort changed', false, CAST(count(*) AS BIGINT) FROM ov")
+def schema_check(spark, d):
+    """Whether a job's tables fit those that were exported."""
+    visits, country = orders(spark, d), {"select": "geo.country", "name": "Country"}
+    target = extract(visits, tables({"name": "Visits", "fields": [{"visit": country}, {"facts": ["Visits"]}]}))
+    jobs = {"same": [{"visit": country}, {"facts": ["Visits"]}], "field added": [{"visit": country}, {"facts": ["Visits", "Value"]}], "sort changed": [{"visit": country | {"sort": "desc"}}, {"facts": ["Visits"]}]}
+    out = []
+    for name, fields in jobs.items():
+        star = extract(visits, tables({"name": "Visits", "fields": fields}))
+        try:
+            incremental.check_schema(target, star)
+            accepted = True
+        except ValueError:
+            accepted = False
+        out.append(star["Visits"].agg(F.sum("Visits").alias("visits")).select(F.lit(name).alias("job"), F.lit(accepted).alias("accepted"), "visits"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query(f"WITH {ORDERS} SELECT country AS \"Country\", {VISIT_FACTS} FROM ov GROUP BY 1")
 def incremental_upsert(spark, d):
     """Two loads that share no visit add up to the whole."""
@@ -580,6 +624,24 @@ def first_wins(spark, d):
     return Table("Customers").key("ContactId", "contact_id").dimension("Status", "o_orderstatus").count().run(df)["Customers"]
 
 
+@query("SELECT o_custkey AS \"ContactId\", arg_min(o_orderstatus, (p, o_orderdate, o_orderkey)) AS \"Status\", arg_min(o_orderpriority, (p, o_orderdate, o_orderkey)) AS \"Priority\", CAST(count(*) AS BIGINT) AS \"Count\" FROM (SELECT *, o_orderkey % 3 AS p FROM orders) GROUP BY 1")
+def merge_first_wins(spark, d):
+    """Parts of one table: attributes are those of one row, of the first part that has the key."""
+    df = read(spark, d, "orders").select(F.col("o_custkey").alias("contact_id"), F.col("o_orderkey").alias("visit_id"), F.col("o_orderdate").alias("start_ts"), "o_orderstatus", "o_orderpriority")
+    table = Table("Customers").key("ContactId", "contact_id").dimension("Status", "o_orderstatus").dimension("Priority", "o_orderpriority").count()
+    return merge_tables(*(table.run(df.where(F.col("visit_id") % 3 == r))["Customers"] for r in range(3)))
+
+
+@query(f"""WITH {ORDERS}, x AS (SELECT CAST(pages AS BIGINT) AS n, country, region, start_ts, visit_id, 0 AS p FROM ov UNION ALL SELECT page_pos, country, region, start_ts, ol.visit_id, page_pos FROM ol JOIN ov USING (visit_id))
+SELECT n AS "Number", arg_min(country, (start_ts, visit_id, p)) AS "Country", arg_min(region, (start_ts, visit_id, p)) AS "Region" FROM x GROUP BY 1""")
+def dim_shared_attributes(spark, d):
+    """Two references to one dimension table whose attributes are those of the first item, wherever it was met."""
+    place = lambda path: {"dimension": {"name": "Number", "fieldprefix": "Of", "fields": [{path[0]: {"select": path[1], "name": "Number", "type": "key"}}, *GEO]}}
+    child = {"pages": {"name": "Pages", "fields": [place(("page", "pos")), "count"]}}
+    star = extract(orders(spark, d), tables({"name": "Visits", "fields": [place(("visit", "page_count")), "count"], "tables": [child]}))
+    return star["Number"].select(F.col("Number").cast("long").alias("Number"), "Country", "Region")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1")
 def drop_duplicate_keys(spark, d):
     return first_per_key(read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey")
@@ -677,7 +739,7 @@ def staged_switch(spark, d):
     spec, store = tables(PARTITIONED), VersionedStore(spark, shared_path(spark, "store"))
     store.update(lambda old: extract(first, spec), "1", since)
     for _ in range(2):
-        store.update(lambda old: incremental.refresh(old, extract(second, spec), since), "2")
+        store.replace(extract(second, spec), since, "2")
     return store.read()["Visits"]
 
 
@@ -700,6 +762,34 @@ def stream_refresh(spark, d):
     return store.read()["Visits"]
 
 
+@query(f"""WITH {WEEK}, b AS (SELECT *, visit_id % 2 AS part FROM wv), a AS (SELECT contact_id, max(part) AS last FROM b GROUP BY 1)
+SELECT contact_id AS "ContactId", CAST((SELECT arg_min(pages, (start_ts, visit_id)) FROM b WHERE b.contact_id = a.contact_id AND b.part = a.last) AS BIGINT) AS "Pages", CAST((SELECT count(*) FROM b WHERE b.contact_id = a.contact_id) AS BIGINT) AS "Visits" FROM a""")
+def stream_attributes(spark, d):
+    """Two runs of one stream: facts add up, and attributes are those of the later run's batch."""
+    path = shared_path(spark, "stream")
+    visits = week(spark, d)
+    store = VersionedStore(spark, f"{path}/store")
+    fields = [{"contactid": {"type": "key"}}, {"visit": {"select": "page_count", "name": "Pages", "type": "label"}}, {"facts": ["Visits"]}]
+    for part in range(2):
+        visits.where(F.col("visit_id") % 2 == part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(visits.schema).parquet(f"{path}/in")
+        refresh_stream(stream, lambda batch: extract(batch, tables({"name": "Visits", "fields": fields})), store, f"{path}/checkpoint").awaitTermination()
+    return store.read()["Visits"].withColumn("Pages", F.col("Pages").cast("long"))
+
+
+@query(f"""WITH {ORDERS}, w AS (SELECT CAST(date_trunc('day', start_ts) AS TIMESTAMP) AS day, country, count(*) AS visits, sum(duration) AS value, sum(pages) AS views FROM ov GROUP BY 1, 2)
+SELECT CAST(day AS DATE) AS day, country AS "Country", CAST(visits AS BIGINT) AS "Visits", CAST(value AS BIGINT) AS "Value", CAST(views AS BIGINT) AS "PageViews" FROM w WHERE day + INTERVAL 1 DAY <= (SELECT max(start_ts) FROM ov) - INTERVAL 7 DAY""")
+def stream_windows(spark, d):
+    """Facts by day and country of a stream of visits; days that the watermark has passed are closed."""
+    path = shared_path(spark, "windows")
+    visits = orders(spark, d)
+    visits.write.parquet(f"{path}/in")
+    stream = windowed_facts(spark.readStream.schema(visits.schema).parquet(f"{path}/in"))
+    stream.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{path}/checkpoint").format("parquet").start(f"{path}/out").awaitTermination()
+    out = spark.read.schema(stream.schema).parquet(f"{path}/out")
+    return out.select(F.to_date("PeriodStart").alias("day"), "Country", "Visits", "Value", "PageViews")
+
+
 @query(f"WITH {WEEK} SELECT max(value) AS \"Best\", CAST(visit_id AS BIGINT) AS \"VisitId\" FROM we WHERE name = 'purchase' GROUP BY visit_id HAVING max(value) IS NOT NULL")
 def empty_rows_suppressed(spark, d):
     """A row needs one value at least."""
@@ -715,10 +805,12 @@ def typed_defaults(spark, d):
     return one(df, {"name": "Visits", "fields": [{"visit": {"select": "signup", "name": "Signup", "default": "type"}}, "count"]}, "Visits")
 
 
-@query(f"WITH {ORDERS} SELECT country AS \"Country\", CAST(count(*) AS BIGINT) AS \"Visits\" FROM ov GROUP BY 1")
+@query(f"WITH {ORDERS} SELECT region AS \"Region\", country AS \"Country\", CAST(count(*) AS BIGINT) AS \"Visits\", row_number() OVER (ORDER BY region DESC, country) AS \"Place\" FROM ov GROUP BY 1, 2")
 def table_order_rows(spark, d):
-    fields = [{"visit": {"select": "geo.country", "name": "Country", "sort": "desc"}}, {"facts": ["Visits"]}]
-    return table_order(one(orders(spark, d), {"name": "Visits", "fields": fields}, "Visits"))
+    """Each row with its place in the table's order."""
+    fields = [{"visit": {"select": "geo.region", "name": "Region", "sort": "desc"}}, {"visit": {"select": "geo.country", "name": "Country", "sort": "asc"}}, {"facts": ["Visits"]}]
+    df = one(orders(spark, d), {"name": "Visits", "fields": fields}, "Visits")
+    return scopes.global_index(df, order_columns(df), "Place").withColumn("Place", F.col("Place").cast("long"))
 
 
 @query(f"WITH {WEEK} SELECT pages % 2 = 0 AS even, CAST(count(*) AS BIGINT) AS \"Count\" FROM wv GROUP BY 1")
@@ -742,9 +834,10 @@ def custom_expander_rows(spark, d):
 
 @query(f"WITH {ORDERS} SELECT country AS \"Country\", CAST(avg_len AS DOUBLE) AS mean_pages FROM (SELECT country, round(avg(pages), 6) AS avg_len FROM ov GROUP BY 1)")
 def deferred_value(spark, d):
-    """A value computed from a finished row."""
-    df = one(orders(spark, d), {"name": "Visits", "fields": [{"visit": {"select": "geo.country", "name": "Country"}}, {"facts": ["PageViews", "Count"]}]}, "Visits")
-    return df.select("Country", F.round(F.col("PageViews") / F.col("Count"), 6).alias("mean_pages"))
+    """A field whose value is computed from the finished row."""
+    fields = [{"visit": {"select": "geo.country", "name": "Country"}}, {"facts": ["PageViews", "Count"]}, {"deferred": {"name": "MeanPages", "ratio": ["PageViews", "Count"]}}]
+    df = one(orders(spark, d), {"name": "Visits", "fields": fields}, "Visits")
+    return df.select("Country", F.round("MeanPages", 6).alias("mean_pages"))
 
 
 __all__ = ["DIMENSION", "KEY", "QUERIES", "SQL", "filters", "partition_start"]

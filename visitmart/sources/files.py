@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmart.model import Relation, StarSchema
+from visitmart.operators.incremental import check_schema, closed, partition_field, upsert
+from visitmart.operators.joins import same
 from visitmart.plans.measures import table_order
 
 #: Fixed formats of delimited output.
@@ -53,10 +58,14 @@ def _read_schema(spark: SparkSession, path: str) -> dict[str, Any]:
     return json.loads("".join(r[0] for r in spark.read.text(f"{path}/schema", wholetext=True).collect()))
 
 
+def _relations(described: dict[str, Any]) -> StarSchema:
+    return StarSchema(relations=[Relation(k, t, tuple(f), to, tuple(g)) for k, t, f, to, g in described["relations"]])
+
+
 def read_text(spark: SparkSession, path: str) -> StarSchema:
     """What :func:`write_text` wrote, with types, roles and relations."""
     described = _read_schema(spark, path)
-    star = StarSchema(relations=[Relation(k, t, tuple(f), to, tuple(g)) for k, t, f, to, g in described["relations"]])
+    star = _relations(described)
     for name, value in described["tables"].items():
         schema = T.StructType.fromJson(value)
         text = T.StructType([T.StructField(c.name, T.StringType()) for c in schema.fields])
@@ -78,7 +87,7 @@ def write_parquet(star: StarSchema, path: str, partition_by: str | None = None,
 
 def read_parquet(spark: SparkSession, path: str) -> StarSchema:
     described = _read_schema(spark, path)
-    star = StarSchema(relations=[Relation(k, t, tuple(f), to, tuple(g)) for k, t, f, to, g in described["relations"]])
+    star = _relations(described)
     for name, value in described["tables"].items():
         schema = T.StructType.fromJson(value)
         df = spark.read.parquet(f"{path}/{name}")
@@ -86,50 +95,165 @@ def read_parquet(spark: SparkSession, path: str) -> StarSchema:
     return star
 
 
+class Conflict(Exception):
+    """Another writer has committed the version that this one was about to."""
+
+
 class VersionedStore:
-    """Tables in numbered versions. A version shows only once it is committed: all its tables are staged first,
-    then one small file, which Spark's committer renames into place, makes it the current one. Readers keep what
-    they have; earlier versions stay until removed. Any store that Spark writes to will do."""
+    """Tables in numbered versions.
+
+    A version is a small manifest that names, for each table, the folders that hold its rows, and from which
+    partition on a folder's rows count no more. Each attempt to write has folders of its own; a version shows only
+    once its manifest exists, which the file system creates for one writer alone. So of two writers that began from
+    the same version one has to begin again from the other's, readers keep what they have, and a refresh writes what
+    it has read: folders of closed partitions are only named again. Any file system that can create a file
+    exclusively will do. Earlier versions stay until removed.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("version long, batch string, cutoff timestamp_ntz").json(f"{self.path}/commits/*")
-        except Exception as missing:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return None
+    # manifests: {version, batch, cutoff, schema, tables: {name: [[folder, until], ...]}, partitions: {name: column}}
+
+    def _folder(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def commits(self) -> list[dict[str, Any]]:
+        """The manifests, in order; one that a dying writer left unfinished doesn't count."""
+        path, store = self._folder("commits")
+        if not store.exists(path) or not len(store.listStatus(path)):
+            return []
+        rows = self.spark.read.text(f"{self.path}/commits", wholetext=True).collect()  # one for each version
+        done = []
+        for r in rows:
+            try:
+                done.append(json.loads(r["value"]))
+            except ValueError:
+                continue
+        return sorted(done, key=lambda m: m["version"])
+
+    def manifest(self) -> dict[str, Any] | None:
+        return next(iter(self.commits()[-1:]), None)
 
     def state(self) -> dict[str, Any] | None:
         """The last commit: version, batch and cut-off."""
-        done = self.commits()
-        row = done.orderBy(F.desc("version")).first() if done is not None else None
-        return row.asDict() if row else None
+        last = self.manifest()
+        if last is None:
+            return None
+        at = last["cutoff"]
+        return {"version": last["version"], "batch": last["batch"], "cutoff": datetime.fromisoformat(at) if at else None}
 
     def applied(self, batch: str) -> bool:
-        done = self.commits()
-        return done is not None and not done.where(F.col("batch") == batch).isEmpty()
-
-    def read(self) -> StarSchema | None:
-        state = self.state()
-        return read_parquet(self.spark, f"{self.path}/v{state['version']}") if state else None
-
-    def commit(self, star: StarSchema, batch: str | None = None, cutoff: Any = None) -> int:
-        state = self.state()
-        version = state["version"] + 1 if state else 1
-        # a version that was staged and never committed is written over
-        write_parquet(star, f"{self.path}/v{version}", mode="overwrite")
-        row = self.spark.createDataFrame([(version, batch, cutoff)], "version long, batch string, cutoff timestamp_ntz")
-        row.coalesce(1).write.json(f"{self.path}/commits/{version}")
+        return any(m["batch"] == batch for m in self.commits())
+
+    def read(self, manifest: dict[str, Any] | None = None) -> StarSchema | None:
+        """The star schema of a manifest, the last one's if none is given."""
+        manifest = manifest or self.manifest()
+        if manifest is None:
+            return None
+        star = _relations(manifest["schema"])
+        for name, value in manifest["schema"]["tables"].items():
+            schema, parts = T.StructType.fromJson(value), []
+            for folder, until in manifest["tables"][name]:
+                df = self.spark.read.parquet(f"{self.path}/{folder}")
+                if until is not None:
+                    df = df.where(closed(until, PARTITION))
+                parts.append(df.select(*[F.col(f"`{c.name}`").cast(c.dataType).alias(c.name, metadata=c.metadata) for c in schema.fields]))
+            star.tables[name] = reduce(DataFrame.unionByName, parts)
+        return star
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        folder = f"data/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _commit(self, last: dict[str, Any] | None, star: StarSchema, tables: dict[str, list], batch: str | None, cutoff: Any) -> int:
+        version = last["version"] + 1 if last else 1
+        made = {"version": version, "batch": batch, "cutoff": None if cutoff is None else str(cutoff), "schema": describe(star), "tables": tables}
+        path, store = self._folder(f"commits/{version:08d}")
+        store.mkdirs(path.getParent())
+        try:
+            out = store.create(path, False)
+        except Exception as taken:
+            if "AlreadyExists" in str(taken):
+                raise Conflict(f"version {version} of {self.path}") from None
+            raise
+        out.write(bytearray(json.dumps(made).encode()))
+        out.close()
         return version
 
+    def _again(self, attempt: Callable[[dict[str, Any] | None], int], batch: str | None, tries: int = 10) -> int:
+        for left in range(tries, 0, -1):
+            last = self.manifest()
+            if batch is not None and self.applied(batch):
+                return last["version"]
+            try:
+                return attempt(last)
+            except Conflict:
+                if left == 1:
+                    raise
+        raise AssertionError
+
     def update(self, change: Callable[[StarSchema | None], StarSchema], batch: str | None = None, cutoff: Any = None) -> int:
-        """The next version from the current one; a batch that was applied before changes nothing."""
-        if batch is not None and self.applied(batch):
-            return self.state()["version"]
-        return self.commit(change(self.read()), batch, cutoff)
+        """The next version from the current one, all of its tables written; a batch that was applied before changes
+        nothing. ``change`` is called again if another writer comes first."""
+
+        def attempt(last: dict[str, Any] | None) -> int:
+            star = change(self.read(last) if last else None)
+            return self._commit(last, star, {n: [[self._write(n, with_partition(star, n)), None]] for n in star.tables}, batch, cutoff)
+
+        return self._again(attempt, batch)
+
+    def replace(self, fresh: StarSchema, since: Any, batch: str | None = None, cutoff: Any = None) -> int:
+        """What :func:`visitmart.operators.incremental.refresh` does from ``since`` on, but of tables with partitions
+        (center tables with a partition field, and those below them) only the fresh rows are written."""
+
+        def attempt(last: dict[str, Any] | None) -> int:
+            old = self.read(last) if last else None
+            if old is not None:
+                check_schema(old, fresh)
+            tables = {}
+            for name in fresh.tables:
+                if partition_column(fresh, name) is None or old is None:
+                    whole = fresh[name] if old is None else upsert(old[name], fresh[name])
+                    tables[name] = [[self._write(name, with_partition(fresh, name) if old is None else whole), None]]
+                    continue
+                kept = [[folder, str(since) if until is None or until > str(since) else until] for folder, until in last["tables"][name]]
+                tables[name] = [*kept, [self._write(name, with_partition(fresh, name)), None]]
+            return self._commit(last, fresh, tables, batch, cutoff)
+
+        return self._again(attempt, batch)
+
+
+#: The column of a stored table that says which partition a row belongs to.
+PARTITION = "__partition"
+
+
+def partition_column(star: StarSchema, name: str) -> str | None:
+    """The partition field of the table's center, where it hangs on one."""
+    if star.is_dimension(name) and not star.is_center(name):
+        return None
+    chain = star.ancestors(name)
+    return partition_field(star[chain[-1].to if chain else name])
+
+
+def with_partition(star: StarSchema, name: str) -> DataFrame:
+    """The table with its rows' partition, which rows below a center take from their ancestor there."""
+    field, df = partition_column(star, name), star[name]
+    if field is None:
+        return df
+    chain = star.ancestors(name)
+    if not chain:
+        return df.withColumn(PARTITION, F.col(f"`{field}`"))
+    above = star[chain[-1].to].withColumn(PARTITION, F.col(f"`{field}`"))
+    for i, relation in enumerate(reversed(chain)):
+        child = star[relation.table]
+        keys = above.select(*[F.col(f"`{k}`").alias(f"__up{i}_{n}") for n, k in enumerate(relation.to_fields)], PARTITION)
+        above = child.join(keys, same(child, relation.fields, keys, tuple(f"__up{i}_{n}" for n in range(len(relation.fields)))))
+        above = above.select(*[F.col(f"`{c}`") for c in child.columns], PARTITION)
+    return above
 
 
 def write_jdbc(star: StarSchema, url: str, properties: dict[str, str], mode: str = "append") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from typing import Any
 
@@ -9,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.model import StarSchema
-from visitmart.operators.incremental import refresh
-from visitmart.operators.aggregate import merge_tables
+from visitmart.operators.incremental import upsert
 from visitmart.sources.files import VersionedStore
 
 
@@ -20,23 +20,31 @@ def refresh_stream(
 ):
     """Starts a query that runs ``job`` on each batch of new visits and brings the result into the store.
 
-    Without ``since`` batches add up (facts are summed, attributes overwritten); with it, the partitions from that
-    moment on are replaced. Each batch is applied once: the store knows the batches that it has. The trigger takes
-    what is there and stops, so a periodic run is a restart.
+    Without ``since`` batches add up (facts are summed, attributes overwritten by the later batch); with it, the
+    partitions from that moment on are replaced. Each batch is applied once: the store knows the batches that it
+    has, by the query's id, which its checkpoint keeps, and their number. The trigger takes what is there and stops,
+    so a periodic run is a restart.
     """
+    started, query = threading.Event(), []
 
     def apply(batch: DataFrame, number: int) -> None:
+        started.wait()
+        known_as = f"{query[0].id}/{number}"
+        if since is not None:
+            store.replace(job(batch), since(), known_as)
+            return
+
         def change(old: StarSchema | None) -> StarSchema:
             fresh = job(batch)
             if old is None:
                 return fresh
-            if since is not None:
-                return refresh(old, fresh, since())
-            return StarSchema({n: merge_tables(old[n], df) for n, df in fresh.tables.items()}, fresh.relations, fresh.measures)
+            return StarSchema({n: upsert(old[n], df) for n, df in fresh.tables.items()}, fresh.relations, fresh.measures)
 
-        store.update(change, batch=f"{name}/{number}")
+        store.update(change, batch=known_as)
 
-    return visits.writeStream.queryName(name).trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(apply).start()
+    query.append(visits.writeStream.queryName(name).trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(apply).start())
+    started.set()
+    return query[0]
 
 
 def windowed_facts(visits: DataFrame, period: str = "1 day", late: str = "7 days") -> DataFrame:
