@@ -239,3 +239,30 @@ def test_definitions_of_one_name_keep_the_first_items_attributes(spark):
     field = lambda where: {"name": "T", "fields": [{"visit": {"select": "k", "name": "K", "type": "key"}}, {"visit": {"select": "v", "name": "V"}}, "count"]}
     star = extract(visits.withColumn("pages", F.lit(None).cast("array<struct<events:array<struct<x:int>>>>")), {"mapper": {"tables": [field(0), field(1)]}})
     assert sorted((r["K"], r["V"], r["Count"]) for r in star["T"].collect()) == [("a", "z", 4), ("b", "y", 2)]
+
+
+def test_sessions_over_midnight_and_long_histories_equal_plain_ones(spark):
+    import random
+
+    from visitmart.sources.visits import visits_by_session
+
+    rng, rows, at = random.Random(1), [], {u: datetime.datetime(1969, 12, 30) for u in (1, 2, 3)}
+    for i in range(900):
+        user = rng.choice((1, 1, 1, 2, 3))
+        at[user] += datetime.timedelta(minutes=rng.choice((1, 30, 300, 479, 480, 481, 2000)))
+        rows.append((i, user, at[user], rng.choice(("view", "click")), '{"k": 1}', 1.0))
+    rows += [(10_000, None, at[1], "view", None, None), (10_001, 3, None, "view", None, None)]
+    want, last = {}, {}
+    for i, user, ts, *_ in sorted((r for r in rows if r[1] and r[2]), key=lambda r: (r[1], r[2], r[0])):
+        if user not in last or ts > last[user][0] + datetime.timedelta(hours=8):
+            last[user] = (ts, i)
+        want.setdefault((user, last[user][1]), []).append(i)
+        last[user] = (ts, last[user][1])
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, props string, value double")
+    got = visits_by_session(df).select("contact_id", F.transform(F.flatten(F.transform("pages", lambda p: p["events"])), lambda e: e["event_id"]).alias("e")).collect()
+    found = sorted(sorted(r["e"]) for r in got if r["contact_id"] and 10_001 not in r["e"])
+    assert found == sorted(map(sorted, want.values())) and len(got) == len(want) + 2
+    ids = [r[0] for r in visits_by_session(df).where("contact_id is not null").select("visit_id").collect()]
+    assert len(ids) == len(set(ids))
+    with pytest.raises(Exception, match="no room"):
+        visits_by_session(df.withColumn("user_id", F.lit(1 << 40))).collect()

@@ -36,7 +36,7 @@ we AS (SELECT *, row_number() OVER (PARTITION BY visit_id, day ORDER BY ts, even
               first_value(k) OVER (PARTITION BY visit_id, day ORDER BY ts, event_id) AS item_id
        FROM (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k, event_type AS name,
                     CAST(round(value) AS INTEGER) AS value, event_type IN ('purchase', 'signup') AS is_goal,
-                    user_id * 100000 + CAST(date_diff('day', DATE '1970-01-05', CAST(date_trunc('week', ts) AS DATE)) // 7 AS BIGINT) AS visit_id FROM events)),
+                    user_id * 1048576 + 524288 + CAST(date_diff('day', DATE '1970-01-05', CAST(date_trunc('week', ts) AS DATE)) // 7 AS BIGINT) AS visit_id FROM events)),
 wp AS (SELECT visit_id, page_pos, any_value(user_id) AS user_id, any_value(item_id) AS item_id, min(ts) AS ts, date_sub('second', min(ts), max(ts)) AS duration,
               sum(CASE WHEN is_goal THEN value ELSE 0 END) AS gvalue, count(*) FILTER (is_goal) AS goals, sum(value) AS value, list(name) AS names FROM we GROUP BY 1, 2),
 wv AS (SELECT visit_id, any_value(user_id) AS contact_id, sum(gvalue) AS gvalue, sum(goals) AS goals, sum(duration) AS duration, count(*) AS pages, min(ts) AS start_ts, sum(value) AS value,
@@ -45,7 +45,7 @@ wv AS (SELECT visit_id, any_value(user_id) AS contact_id, sum(gvalue) AS gvalue,
 SESSION = """
 s0 AS (SELECT event_id, user_id, ts, event_type AS name, CAST(round(value) AS INTEGER) AS value, event_type IN ('purchase', 'signup') AS is_goal,
               CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 8 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL THEN 1 ELSE 0 END AS fresh FROM events),
-s1 AS (SELECT *, user_id * 100000 + sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit_id FROM s0),
+s1 AS (SELECT *, user_id * 4294967296 + sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit_id FROM s0),
 se AS (SELECT *, row_number() OVER (PARTITION BY visit_id ORDER BY ts, event_id) AS n,
               greatest(sum(CASE WHEN name = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY visit_id ORDER BY ts, event_id), 1) AS page_pos FROM s1)
 """

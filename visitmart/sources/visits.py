@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EVENT_TYPE = "struct<pos:int,event_id:bigint,definition_id:string,name:string,value:int,is_goal:boolean,ts:timestamp_ntz>"
@@ -73,22 +73,39 @@ def _visits(rows: DataFrame) -> DataFrame:
     )
 
 
+def _number_of(user: Column, width: int, n: Column) -> Column:
+    """A visit's id from its user and its number there (of ``width`` bits): no two visits share one. An error where
+    a user's id leaves no room."""
+    room = F.abs(user) < F.lit(1 << (63 - width))
+    return F.when(room | user.isNull(), user * (1 << width) + n).otherwise(F.raise_error(F.concat(F.lit("no room for visits of user "), user.cast("string"))).cast("bigint"))
+
+
 def visits_by_week(events: DataFrame) -> DataFrame:
     """A visit is a user's week, a page a day of it. One shuffle, by visit."""
     week = F.datediff(F.date_trunc("week", "ts").cast("date"), F.lit("1970-01-05").cast("date")) / 7
-    rows = _events(events).withColumn("visit_id", F.col("user_id") * 100000 + week.cast("long"))
-    return _visits(rows.withColumn("page", F.to_date("ts")).repartition("visit_id"))
+    rows = _events(events).withColumn("visit_id", _number_of(F.col("user_id"), 20, week.cast("long") + (1 << 19)))
+    return _visits(rows.withColumn("page", F.to_date("ts")).repartition("user_id", "visit_id"))
 
 
 def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "view") -> DataFrame:
     """A visit ends where a user has been away for longer than ``gap``; each ``new_page`` event begins a page, and
-    what comes before the first belongs to page 1. Shuffled once, by user."""
-    rows = _events(events)
-    by_user = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    so_far = by_user.rowsBetween(Window.unboundedPreceding, 0)
-    away = F.col("ts") > F.lag("ts").over(by_user) + F.expr(f"interval {gap}")
-    rows = rows.withColumn("__new", F.coalesce(away, F.lit(True)).cast("int"))
-    rows = rows.withColumn("visit_id", F.col("user_id") * 100000 + F.sum("__new").over(so_far))
+    what comes before the first belongs to page 1.
+
+    A user's days are looked at on their own, and what follows from one to the next is decided from a row for each
+    day, so that a user with very many events is not one task; a visit is.
+    """
+    rows = _events(events).withColumn("__day", F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date"))).repartition("user_id", "__day")
+    away = lambda ts, before: F.coalesce(ts > before + F.expr(f"interval {gap}"), F.lit(True)).cast("int")
+    in_day = Window.partitionBy("user_id", "__day").orderBy("ts", "event_id")
+    rows = rows.withColumn("__new", F.when(F.row_number().over(in_day) == 1, 0).otherwise(away(F.col("ts"), F.lag("ts").over(in_day))))
+    days = rows.groupBy("user_id", "__day").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("__new").alias("inside"))
+    by_user = Window.partitionBy("user_id").orderBy("__day")
+    days = days.withColumn("head", away(F.col("first"), F.lag("last").over(by_user)))
+    begun = F.sum(F.col("head") + F.col("inside")).over(by_user) - F.col("inside")
+    days = days.select(F.col("user_id").alias("__user"), F.col("__day").alias("__of"), begun.alias("__begun"))
+    rows = rows.join(days, F.col("user_id").eqNullSafe(F.col("__user")) & (F.col("__day") == F.col("__of")))
+    n = F.col("__begun") + F.sum("__new").over(in_day.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("visit_id", _number_of(F.col("user_id"), 32, n))
     in_visit = Window.partitionBy("user_id", "visit_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     views = F.sum((F.col("name") == new_page).cast("int")).over(in_visit)
     return _visits(rows.withColumn("page", F.greatest(views, F.lit(1))))
