@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from visitmart.llm.packing import best_fit_decreasing, pack, position_ids, tokens
-from visitmart.llm.token_counts import count_tokens, token_counts
+from visitmart.llm.token_counts import CountTransducer, byte_bpe, count_tokens, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -29,6 +29,34 @@ def test_special_strings_runs_and_cuts():
     assert count_tokens(texts, PATH, batch_chars=1000).tolist() == library(texts)
 
 
+def test_long_words_through_composed_chunks():
+    rng = random.Random(9)
+    texts = ["x" * n for n in (63, 64, 65, 127, 128, 129, 1000, 4097)] + ["ab" * 700, "abc" * 501, "=-" * 400 + "=", "!" * 777, "0" * 300, "é" * 400, "中文" * 300, "\u0301" * 200]
+    texts += ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(60, 900))) for _ in range(60)]
+    texts += ["".join(rng.choice(["aaa", "the", "ing", "qqqq", "tion", "x"]) for _ in range(rng.randrange(20, 400))) for _ in range(60)]
+    want = library(texts)
+    assert count_tokens(texts, PATH).tolist() == want
+    ranks, _ = byte_bpe(PATH)
+    for chunk in (1, 3, 16):
+        small = CountTransducer(ranks, chunk=chunk)
+        data = np.frombuffer("".join(texts[:40]).encode(), np.uint8)
+        ends = np.cumsum([len(t.encode()) for t in texts[:40]])
+        starts = np.concatenate([[0], ends[:-1]])
+        assert small.counts(data, starts, ends).tolist() == CountTransducer(ranks, chunk=10**6).counts(data, starts, ends).tolist()
+
+
+def test_states_are_bounded_in_bytes():
+    ranks, _ = byte_bpe(PATH)
+    t = CountTransducer(ranks, max_bytes=3 << 20)
+    words = [w for w in ("".join(random.Random(i).choices("etaoinshrdlu", k=9)) for i in range(6000))]
+    for at in range(0, len(words), 500):
+        data = np.frombuffer("".join(words[at : at + 500]).encode(), np.uint8)
+        ends = np.arange(1, 501) * 9
+        got = t.counts(data, ends - 9, ends)
+        assert got.tolist() == library(words[at : at + 500])
+    assert t.size() < 20 << 20
+
+
 def test_every_character_class():
     rng = random.Random(1)
     chars = [chr(c) for c in rng.sample([c for c in range(0x20000) if not 0xD800 <= c < 0xE000], 6000)]

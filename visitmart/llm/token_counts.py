@@ -8,7 +8,8 @@ Two deterministic transducers do the work of the byte-level BPE tokenizer:
 * :class:`CountTransducer` reads the bytes of a word. A state is the set of ways in which the bytes read so
   far may still be the start of a longer token, each with the token before it; a transition carries by how
   much the number of tokens changes. A word's count is the sum along its path. The states are compiled on
-  first use (a few hundred thousand for natural text) and all words of a batch advance in step.
+  first use (a few hundred thousand for natural text) and all words of a batch advance in step; of long words
+  the chunks do, whose maps from entry state to exit state and count are composed by a prefix scan as well.
 
 That this is exact rests on a property of merge-ranked BPE: every prefix of an encoding, cut between two
 tokens, is the encoding of the prefix, and a sequence of tokens is an encoding if each neighbouring pair is.
@@ -160,19 +161,65 @@ def byte_bpe(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return ranks, special
 
 
+class Pairs:
+    """Whether two tokens may stand next to each other: whether merging their bytes by rank gives them back."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.traces: dict[bytes, list[tuple[int, bytes, bytes]] | None] = {}
+
+    def trace(self, token: bytes) -> list[tuple[int, bytes, bytes]] | None:
+        """How a token comes about: before each merge its rank, the first and the last part; None if merging its
+        bytes by rank ends elsewhere."""
+        if token not in self.traces:
+            parts, out = [token[k : k + 1] for k in range(len(token))], []
+            while True:
+                found = [(r, k) for k in range(len(parts) - 1) if (r := self.ranks.get(parts[k] + parts[k + 1])) is not None]
+                if not found:
+                    break
+                rank, k = min(found)
+                out.append((rank, parts[0], parts[-1]))
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            self.traces[token] = out if len(parts) == 1 else None
+        return self.traces[token]
+
+    def fit(self, left: bytes, right: bytes) -> bool:
+        """Both come about side by side, lowest rank first, and no merge over the border comes before its time."""
+        a, b = self.trace(left), self.trace(right)
+        if a is None or b is None:
+            return False
+        i = j = 0
+        while True:
+            one, two = (a[i][0] if i < len(a) else None), (b[j][0] if j < len(b) else None)
+            over = self.ranks.get((a[i][2] if i < len(a) else left) + (b[j][1] if j < len(b) else right))
+            # of equal ranks the leftmost is merged first
+            if over is not None and (one is None or over < one) and (two is None or over <= two):
+                return False
+            if one is None and two is None:
+                return True
+            if two is None or (one is not None and one <= two):
+                i += 1
+            else:
+                j += 1
+
+
 class CountTransducer:
-    """Number of tokens of a word, by a transducer whose transitions carry changes of that number."""
+    """Number of tokens of a word, by a transducer whose transitions carry changes of that number.
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000):
-        import tiktoken
+    Words of more than ``chunk`` bytes are cut into chunks. Each chunk is turned into a map from entry state to exit
+    state and count, over the entry states that may matter: that of a word's beginning, and the one that the chunk
+    before leads to from there, as what a state knows seldom reaches back further. The maps are composed by a
+    parallel prefix scan. Where the true entry state is neither, the chunk is walked from it.
+    """
 
-        self.ranks, self.max_states = ranks, max_states
-        self.encode = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    def __init__(self, ranks: dict[bytes, int], max_bytes: int = 256 << 20, chunk: int = 64):
+        self.ranks, self.max_bytes, self.chunk = ranks, max_bytes, chunk
+        self.pairs = Pairs(ranks)
         self.open = {t[:k] for t in ranks for k in range(1, len(t))}
         self.reset()
 
     def reset(self) -> None:
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.known: dict[tuple[bytes, bytes], bool] = {}
         self.keys: list[tuple] = []
         self.ids: dict[tuple, int] = {}
         self.column = np.full(256, -1, np.int32)
@@ -181,22 +228,26 @@ class CountTransducer:
         self.next = np.full((1024, 64), -1, np.int32)
         self._state(((b"", None, 0),))
 
+    def size(self) -> int:
+        """About how many bytes the compiled states take: their rows, and 500 for what each one stands for."""
+        return self.next.nbytes + 500 * len(self.keys) + 200 * len(self.known)
+
     def _state(self, key: tuple) -> int:
         found = self.ids.get(key)
         if found is None:
             found = self.ids[key] = len(self.keys)
             self.keys.append(key)
             if found >= len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
+                more = np.full((max(1024, len(self.next) // 4), self.next.shape[1]), -1, np.int32)
+                self.next = np.concatenate([self.next, more])
         return found
 
     def _fits(self, before: bytes | None, token: bytes) -> bool:
         if before is None:
-            return True
-        known = self.pairs.get((before, token))
+            return self.pairs.trace(token) is not None
+        known = self.known.get((before, token))
         if known is None:
-            known = self.encode(before + token) == [self.ranks[before], self.ranks[token]]
-            self.pairs[before, token] = known
+            known = self.known[before, token] = self.pairs.fit(before, token)
         return known
 
     def compile(self, state: int, byte: int) -> int:
@@ -205,7 +256,7 @@ class CountTransducer:
             self.column[byte] = self.n_columns
             self.n_columns += 1
             if self.n_columns > self.next.shape[1]:
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)], axis=1)
+                self.next = np.concatenate([self.next, np.full((len(self.next), 64), -1, np.int32)], axis=1)
         alive, last, count = [], None, 0
         for started, before, behind in self.keys[state]:
             piece = started + bytes((byte,))
@@ -213,47 +264,88 @@ class CountTransducer:
                 last, count = piece, behind + 1
             if piece in self.open:
                 alive.append((piece, before, behind))
+        if not -32 <= count < 32:
+            raise OverflowError("a transition changes the number of tokens by more than its code holds")
         key = (*((p, b, c - count) for p, b, c in alive), (b"", last, 0))
         code = self._state(key) * 64 + count + 32
         self.next[state, self.column[byte]] = code
         return code
 
-    def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Tokens of each word data[start:end]; all words advance one byte at a time, together."""
-        if len(self.keys) > self.max_states:
-            self.reset()  # bounds the memory; what is needed is compiled again
-        lengths = ends - starts
+    def walk(self, data: np.ndarray, begin: np.ndarray, lengths: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(exit state, tokens) of each run of bytes from its entry state; all advance one byte at a time, together."""
         order = np.argsort(-lengths, kind="stable")
-        begin, lengths = starts[order], lengths[order]
-        state, total = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-        longest = int(lengths[0]) if len(lengths) else 0
-        live = np.searchsorted(-lengths, -np.arange(longest), side="left")
+        begin, sorted_lengths = begin[order], lengths[order]
+        at, total = state[order].astype(np.int64), np.zeros(len(order), np.int64)
+        longest = int(sorted_lengths[0]) if len(order) else 0
+        live = np.searchsorted(-sorted_lengths, -np.arange(longest), side="left")
         for k in range(longest):
             n = live[k]
-            if n < 4:
-                break
             byte = data[begin[:n] + k]
             column = self.column[byte]
-            code = np.where(column >= 0, self.next[state[:n], column], -1)
+            code = np.where(column >= 0, self.next[at[:n], column], -1)
             if (missing := np.flatnonzero(code < 0)).size:
-                for key in np.unique(state[missing] * 256 + byte[missing]):
+                for key in np.unique(at[missing] * 256 + byte[missing]):
                     self.compile(int(key) >> 8, int(key) & 255)
-                code[missing] = self.next[state[missing], self.column[byte[missing]]]
-            state[:n] = code >> 6
+                code[missing] = self.next[at[missing], self.column[byte[missing]]]
+            at[:n] = code >> 6
             total[:n] += (code & 63) - 32
-        else:
-            k = longest
-        for i in range(int(live[k]) if k < longest else 0):  # the few longest words, one by one
-            s, t = int(state[i]), int(total[i])
-            for byte in data[begin[i] + k : begin[i] + lengths[i]].tolist():
-                c = self.column[byte]
-                code = int(self.next[s, c]) if c >= 0 else -1
-                if code < 0:
-                    code = self.compile(s, byte)
-                s, t = code >> 6, t + (code & 63) - 32
-            total[i] = t
-        out = np.empty(len(order), np.int64)
-        out[order] = total
+        out, counts = np.empty_like(at), np.empty_like(total)
+        out[order], counts[order] = at, total
+        return out, counts
+
+    def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of each word data[start:end]."""
+        if self.size() > self.max_bytes:
+            self.reset()  # what is needed is compiled again
+        lengths = ends - starts
+        out = np.zeros(len(starts), np.int64)
+        short = np.flatnonzero(lengths <= self.chunk)
+        out[short] = self.walk(data, starts[short], lengths[short], np.zeros(len(short), np.int64))[1]
+        long = np.flatnonzero(lengths > self.chunk)
+        # bounded numbers of chunks at a time
+        for part in np.split(long, np.flatnonzero(np.diff(np.cumsum(lengths[long]) // (1 << 22))) + 1):
+            if len(part):
+                out[part] = self._scan(data, starts[part], lengths[part])
+        return out
+
+    def _scan(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        n = -(-lengths // self.chunk)
+        last = np.cumsum(n) - 1
+        place = np.arange(n.sum()) - np.repeat(last - n + 1, n)  # of a chunk in its word
+        begin = np.repeat(starts, n) + place * self.chunk
+        size = np.minimum(self.chunk, np.repeat(starts + lengths, n) - begin)
+        entry = np.zeros((len(begin), 2), np.int64)
+        leaves, tokens = entry.copy(), entry.copy()
+        leaves[:, 0], tokens[:, 0] = self.walk(data, begin, size, entry[:, 0])
+        inner = np.flatnonzero(place > 0)
+        entry[inner, 1] = leaves[inner - 1, 0]
+        leaves[:, 1], tokens[:, 1] = leaves[:, 0], tokens[:, 0]
+        leaves[inner, 1], tokens[inner, 1] = self.walk(data, begin[inner], size[inner], entry[inner, 1])
+        # each chunk as a map: from its entry states to those of the next one, -1 where it is neither
+        to = np.zeros((len(begin), 2), np.int64)
+        before_last = np.flatnonzero(np.repeat(n, n) - 1 > place)
+        first, second = (leaves[before_last] == entry[before_last + 1, c][:, None] for c in (0, 1))
+        to[before_last] = np.where(second, 1, np.where(first, 0, -1))
+        sums, reach = tokens.copy(), 1
+        while reach <= place.max():  # inclusive prefix scan under composition, within words
+            at = np.flatnonzero(place >= reach)
+            earlier, so_far = to[at - reach], sums[at - reach]
+            on, index = earlier >= 0, earlier.clip(0)
+            to_next = np.where(on, np.take_along_axis(to[at], index, 1), -1)
+            sums_next = so_far + np.take_along_axis(sums[at], index, 1)
+            to[at], sums[at] = to_next, sums_next
+            reach *= 2
+        out = sums[last, 0]
+        for w in np.flatnonzero(to[last, 0] < 0).tolist():  # from where the maps don't reach on, chunk by chunk
+            state = total = 0
+            for c in range(last[w] - n[w] + 1, last[w] + 1):
+                hit = np.flatnonzero(entry[c] == state)
+                if hit.size:
+                    state, more = leaves[c, hit[0]], tokens[c, hit[0]]
+                else:
+                    (state,), (more,) = self.walk(data, begin[c : c + 1], size[c : c + 1], np.array([state]))
+                total += int(more)
+            out[w] = total
         return out
 
 
