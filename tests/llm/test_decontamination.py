@@ -2,20 +2,28 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import regex
 
-from visitmart.llm.decontamination import ItemIndex, _items, contaminated, drop_contaminated, shingle_hashes, similarity
+from visitmart.llm.decontamination import BLOCKS, ItemIndex, Table, _items, bag, contaminated, drop_contaminated, fingerprint, radius_of, shingle_hashes, shingles_of, similarity, word_hashes
+
+
+def weighted(a, b):
+    both = sum((a & b).values())
+    return both / (sum(a.values()) + sum(b.values()) - both)
 
 
 def brute(text, items, least=0.8):
-    h = shingle_hashes(text).tolist()
+    w = word_hashes(text)
     out = {}
     for i, t in items:
-        own = shingle_hashes(t).tolist()
-        if not own or not h:
+        words = word_hashes(t)
+        own = shingles_of(words).tolist()
+        h = shingles_of(w, min(5, len(words))).tolist() if len(words) else []
+        if not own or not h or len(w) < 5 <= len(words):
             continue
         n = min(len(own), len(h))
-        best = max(similarity(Counter(h[a : a + n]), Counter(own)) for a in range(len(h) - n + 1))
+        best = max(weighted(Counter(h[a : a + n]), Counter(own)) for a in range(len(h) - n + 1))
         if best >= least:
             out[i] = round(best, 9)
     return out
@@ -60,7 +68,7 @@ def test_equals_brute_force(spark, data, odd, nothing):
 
 
 def test_repeated_shingles_count_with_their_number():
-    index = ItemIndex(0.8, 23).build([(1, "a b c d e " * 8)])
+    index = ItemIndex(0.8).build([(1, "a b c d e " * 8)])
     assert index.matches("a b c d e " * 8) and not index.matches("a b c d e f")
     assert [m[0] for m in index.matches("x y " + "a b c d e " * 8 + "z")] == [1]
 
@@ -72,3 +80,61 @@ def test_items_come_in_blocks_bounded_by_number_and_characters(spark):
         got = list(_items(table, block, chars))
         assert [r for part in got for r in part] == items
         assert all(len(p) <= block and (len(p) == 1 or sum(len(t) for _, t in p) <= chars) for p in got)
+
+
+def test_items_of_every_size_are_found_anywhere(spark):
+    rng = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(100 * n + k, " ".join(rng.choice(vocabulary) for _ in range(n))) for n in range(1, 30) for k in range(3)]
+    items += [(9000, "one " * 12), (9001, "x y x y x y x y z"), (9002, "a b c d e f g h i j " * 3)]
+    docs = []
+    for k, (_, text) in enumerate(items):
+        words = text.split()
+        for change in range(k % 3):
+            words[rng.randrange(len(words))] = "changed" if change else rng.choice(vocabulary)
+        around = [rng.choice(vocabulary) for _ in range(40)]
+        docs.append((k, " ".join(around[:20] + words + around[20:])))
+        docs.append((1000 + k, " ".join(words)))
+        docs.append((2000 + k, " ".join(words[: len(words) - k % 4])))
+    want = {(d, i): s for d, t in docs for i, s in brute(t, items).items()}
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    got = contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in got} == want and len(want) > 200
+
+
+def test_blocks_return_all_within_the_radius_and_few_others():
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 256, (2000, BLOCKS), np.uint8)
+    radius = radius_of(np.ones(100, np.int64), 0.8)
+    table = Table.of(list(range(2000)), list(prints), [radius] * 2000)
+    seen = 0
+    for flips in (0, 20, radius - 1, radius, radius + 1):
+        for row in range(0, 60):
+            bits = np.unpackbits(prints[row])
+            bits[rng.choice(8 * BLOCKS, flips, replace=False)] ^= 1
+            seen += (got := table.within(np.packbits(bits))).tolist().count(row)
+            assert (row in got) == (flips <= radius)
+    assert seen == 240
+    # what the blocks return of random fingerprints, before complete distances
+    loose = Table.of(list(range(2000)), list(prints), [radius] * 2000)
+    returned = []
+    for _ in range(50):
+        values = rng.integers(0, 256, BLOCKS, np.uint8)
+        near = np.bitwise_count(prints ^ values) <= 2
+        returned.append((near.sum(1) >= BLOCKS - radius // 3).mean())
+        assert len(loose.within(values)) == 0
+    assert np.mean(returned) < 0.05
+
+
+def test_radius_covers_similar_bags():
+    rng = np.random.default_rng(4)
+    missed = 0
+    for n in (5, 9, 12, 20, 60, 300):
+        for _ in range(200):
+            a = rng.integers(0, 1 << 63, n, np.uint64)
+            b = a.copy()
+            other = int(n - np.ceil(1.6 / 1.8 * n - 1e-9))
+            b[rng.choice(n, other, replace=False)] = rng.integers(0, 1 << 63, other, np.uint64)
+            assert similarity(bag(a), bag(b)) >= 0.8
+            missed += np.bitwise_count(fingerprint(a) ^ fingerprint(b)).sum() > radius_of(bag(a)[1], 0.8)
+    assert missed == 0

@@ -8,7 +8,8 @@ of its shingles occur in any item, is not fingerprinted: that bound loses nothin
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -22,9 +23,14 @@ from pyspark.sql import functions as F
 
 from visitmart.llm.common import filter_rows, materialize
 
-SHINGLE, BLOCKS = 5, 8
+SHINGLE = 5
+#: A fingerprint has 64 bits for each lane; a block is a byte of it, looked up with balls of so many bits.
+LANES, BALL = 4, 2
+BLOCKS = 8 * LANES
 WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+SALTS = np.random.default_rng(23).integers(0, 1 << 63, LANES, np.uint64)
+MASKS = np.array([sum(1 << c for c in chosen) for r in range(BALL + 1) for chosen in combinations(range(8), r)], np.uint8)
 #: A random odd number for each place in a word; longer words use them again.
 PLACES = np.random.default_rng(17).integers(0, 1 << 63, 257, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -72,14 +78,78 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return shingles_of(word_hashes(text))
 
 
-def bits_of(hashes: np.ndarray) -> np.ndarray:
-    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+def fingerprint(h: np.ndarray) -> np.ndarray:
+    """The SimHash of a bag of shingles, as ``BLOCKS`` bytes: ``LANES`` words of 64 bits, each with hashes of its own."""
+    ones = np.zeros(64 * LANES, np.int64)
+    for at in range(0, len(h), 16384):
+        x = (h[at : at + 16384, None] ^ SALTS) * MIX
+        x = (x ^ (x >> np.uint64(32))) * MIX
+        ones += np.unpackbits((x ^ (x >> np.uint64(29))).view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(h))
 
 
-def similarity(a: Counter, b: Counter) -> float:
+def bag(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles and how often each occurs."""
+    return np.unique(h, return_counts=True)
+
+
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity: shingles count as often as they occur."""
-    both = sum((a & b).values())
-    return both / (sum(a.values()) + sum(b.values()) - both)
+    place = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = int(np.minimum(a[1], np.where(b[0][place] == a[0], b[1][place], 0)).sum())
+    return both / (int(a[1].sum()) + int(b[1].sum()) - both)
+
+
+def radius_of(counts: np.ndarray, least: float, deviations: float = 5.0) -> int:
+    """How many bits the fingerprint of a window that is just similar enough to an item may differ in: so many standard
+    deviations above the expected number. A window of the item's size may hold some other shingles in place of the
+    item's; it is reckoned that these are the item's most frequent ones, which turn the most bits."""
+    size = int(counts.sum())
+    other = size - math.ceil(2 * least / (1 + least) * size - 1e-9)
+    heavy = np.sort(counts)[::-1]
+    gone = heavy[: max(1, int(np.searchsorted(np.cumsum(heavy), other, side="right")) + (0 if heavy.max() == 1 else 1))] if other else heavy[:0]
+    whole = float((heavy.astype(np.float64) ** 2).sum())
+    # documents shorter than the item may lack a shingle without having another, hence one at least
+    share = max(float((gone.astype(np.float64) ** 2).sum()), 1.0) / whole
+    p = math.acos(max(0.0, 1 - share)) / math.pi
+    if size < 16:
+        p *= 1.25  # sums of few shingles are often even, and turn more easily
+    bits = 64 * LANES
+    return min(bits, math.ceil(bits * p + deviations * math.sqrt(bits * p * (1 - p))))
+
+
+@dataclass
+class Table:
+    """Items of one size, under the value of each block of their fingerprints."""
+
+    rows: np.ndarray  # their numbers
+    prints: np.ndarray  # n, BLOCKS
+    radius: np.ndarray
+    order: np.ndarray  # BLOCKS * n: items by block value
+    start: np.ndarray  # BLOCKS, 257: where a value's items start in it
+
+    @classmethod
+    def of(cls, rows: list[int], prints: list[np.ndarray], radius: list[int]) -> Table:
+        p = np.stack(prints)
+        order = np.argsort(p, axis=0, kind="stable").T
+        start = np.stack([np.searchsorted(p[o, b], np.arange(257)) + b * len(p) for b, o in enumerate(order)])
+        return cls(np.asarray(rows), p, np.asarray(radius), order.ravel().astype(np.int32), start)
+
+    def within(self, block_values: np.ndarray) -> np.ndarray:
+        """Items within their radius of a fingerprint.
+
+        Balls of ``BALL`` bits around each block's value are looked up. Were fewer than ``BLOCKS - radius // (BALL + 1)``
+        blocks within their ball, the others would add up to more than the radius: so items that are found in so
+        many blocks are all that need a complete distance.
+        """
+        values = block_values[:, None] ^ MASKS
+        first = np.take_along_axis(self.start, values.astype(np.intp), 1).ravel()
+        size = np.take_along_axis(self.start, values.astype(np.intp) + 1, 1).ravel() - first
+        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        hits = np.bincount(self.order[at], minlength=len(self.rows))
+        found = np.flatnonzero(hits >= BLOCKS - self.radius // (BALL + 1))
+        d = np.bitwise_count(self.prints[found] ^ block_values).sum(1, dtype=np.int64)
+        return found[d <= self.radius[found]]
 
 
 @dataclass
@@ -87,18 +157,15 @@ class ItemIndex:
     """A block of benchmark items, ready for look-ups."""
 
     similarity: float
-    radius: int
     ids: list[int] = field(default_factory=list)
-    bags: list[Counter] = field(default_factory=list)
-    prints: list[np.ndarray] = field(default_factory=list)
-    #: shingles in an item -> block number -> block value -> items
-    tables: dict[int, list[dict[int, list[int]]]] = field(default_factory=dict)
-
+    bags: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    #: shingles in an item -> its table
+    tables: dict[int, Table] = field(default_factory=dict)
     #: words in an item of less than a shingle -> its hash -> items
     short: dict[int, dict[int, list[int]]] = field(default_factory=dict)
 
     def build(self, items: list[tuple[int, str]]) -> ItemIndex:
-        every = []
+        by_size: dict[int, list[tuple[int, np.ndarray, int]]] = defaultdict(list)
         for item, text in items:
             w = word_hashes(text)
             h = shingles_of(w)
@@ -106,19 +173,13 @@ class ItemIndex:
                 continue
             row = len(self.ids)
             self.ids.append(item)
-            self.bags.append(Counter(h.tolist()))
+            self.bags.append(bag(h))
             if len(w) < SHINGLE:  # windows of its own length either equal it or have nothing in common with it
                 self.short.setdefault(len(w), defaultdict(list))[int(h[0])].append(row)
-                self.prints.append(np.zeros(0, np.uint8))
-                continue
-            every.append(h)
-            blocks = np.packbits(bits_of(h).sum(0, dtype=np.int64) * 2 > len(h))
-            self.prints.append(blocks)
-            tables = self.tables.setdefault(len(h), [defaultdict(list) for _ in range(BLOCKS)])
-            for k, value in enumerate(blocks.tolist()):
-                for r in range(self.radius // BLOCKS + 1):
-                    for chosen in combinations(range(8), r):
-                        tables[k][value ^ sum(1 << c for c in chosen)].append(row)
+            else:
+                by_size[len(h)].append((row, fingerprint(h), radius_of(self.bags[row][1], self.similarity)))
+        self.tables = {size: Table.of(*map(list, zip(*found, strict=True))) for size, found in by_size.items()}
+        every = [self.bags[row][0] for table in self.tables.values() for row in table.rows.tolist()]
         self.shingles = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.shingles >> np.uint64(48)).astype(np.int64)] = True
@@ -152,21 +213,17 @@ class ItemIndex:
         if not hit.any():
             return
         reach = np.concatenate([[0], np.cumsum(hit)])
-        for size, tables in self.tables.items():
+        for size, table in self.tables.items():
             n = min(size, len(h))
             inside = reach[n:] - reach[:-n]
             # similarity s of bags of w and i shingles needs (w + i) * s / (1 + s) common ones
             least = (n + size) * self.similarity / (1 + self.similarity) - 1e-9
             for at in np.flatnonzero(inside >= least).tolist():
                 window = h[at : at + n]
-                blocks = np.packbits(bits_of(window).sum(0, dtype=np.int64) * 2 > n)
-                candidates = {row for k, value in enumerate(blocks.tolist()) for row in tables[k].get(value, ())}
-                bag = None
-                for row in candidates:
-                    if np.bitwise_count(blocks ^ self.prints[row]).sum() > self.radius:
-                        continue
-                    bag = bag or Counter(window.tolist())
-                    s = similarity(bag, self.bags[row])
+                own = None
+                for row in table.rows[table.within(fingerprint(window))].tolist():
+                    own = own or bag(window)
+                    s = similarity(own, self.bags[row])
                     if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
                         best[row] = (s, at)
 
@@ -187,13 +244,12 @@ def _items(benchmark: DataFrame, block: int, block_chars: int = 20_000_000) -> I
 
 
 def contaminated(
-    documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, radius: int = 23, block: int = 20_000,
+    documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, block: int = 20_000,
 ) -> DataFrame:
     """(doc_id, item_id, similarity, first_word): each document row with each item that some window of it matches.
 
     The items are the stated query set; they go to the workers in blocks of ``block`` items, one pass over
-    the documents for each, so what is broadcast stays bounded. ``radius`` is 4 standard deviations above
-    the expected distance of fingerprints whose shingles are just similar enough. Items and documents that
+    the documents for each, so what is broadcast stays bounded; :func:`radius_of` has the fingerprints' radius. Items and documents that
     are null or have no word match nothing; a document shorter than an item is one window. Repeated rows
     give repeated results; items with equal texts all match; null doc_ids stay. Columns other than doc_id
     and text (item_id and text) are not read. Empty tables give an empty result.
@@ -206,7 +262,7 @@ def contaminated(
         if part is not None:  # written before the next block is built
             part = materialize(part, "matches")
             found = part if found is None else found.unionByName(part)
-        shared = spark.sparkContext.broadcast(ItemIndex(min_similarity, radius).build(items))
+        shared = spark.sparkContext.broadcast(ItemIndex(min_similarity).build(items))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -223,14 +279,14 @@ def contaminated(
     return part if found is None else found.unionByName(part)
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, radius: int = 23, block: int = 20_000) -> DataFrame:
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, block: int = 20_000) -> DataFrame:
     """The rows of ``documents``, with all their columns, in which no benchmark item was found. The decision
     is made where the row lies: no join, no shuffle, and null or repeated ids are safe."""
     kept = documents
     for number, items in enumerate(_items(benchmark, block)):
         if number:  # one block's index in a pass
             kept = materialize(kept, "clean")
-        shared = documents.sparkSession.sparkContext.broadcast(ItemIndex(min_similarity, radius).build(items))
+        shared = documents.sparkSession.sparkContext.broadcast(ItemIndex(min_similarity).build(items))
 
         def clean(texts: list[str | None], shared=shared) -> np.ndarray:
             return np.array([not shared.value.matches(t) for t in texts], bool)
