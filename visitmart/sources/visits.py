@@ -113,31 +113,33 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
 
 def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
     """A visit is an order, a page a line of it with one event; orders without lines have no pages."""
-    quantity = F.col("l_quantity").cast("int")
-    event = F.struct(
-        F.lit(1).alias("pos"), F.col("l_partkey").alias("event_id"), F.col("l_returnflag").alias("definition_id"), F.col("l_returnflag").alias("name"),
-        F.round("l_quantity").cast("int").alias("value"), (F.col("l_returnflag") == "R").alias("is_goal"), F.col("l_shipdate").alias("ts"),
-    )
-    test = F.when(
-        F.col("l_linestatus") == "O",
-        F.struct(F.lit("T1").alias("id"), F.array((F.col("l_linenumber") % 3).cast("int"), (F.col("l_partkey") % 2).cast("int")).alias("combination")),
-    )
-    page = F.struct(
-        F.lit(0).alias("pos"), F.col("l_shipdate").alias("ts"), F.col("l_partkey").alias("item_id"),
-        F.concat(F.lit("/part/"), F.col("l_partkey").cast("string")).alias("url_path"), quantity.alias("duration"), test.alias("mv_test"), F.array(event).alias("events"),
-    )
-    sort = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    lines = lineitem.groupBy(F.col("l_orderkey").alias("visit_id")).agg(F.array_sort(F.collect_list(F.struct(sort.alias("sort"), page.alias("page")))).alias("__lines"))
-    pages = F.transform("__lines", lambda x, i: x["page"].withField("pos", (i + 1).cast("int")))
-    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts")).join(lines, "visit_id", "left")
+    # what is gathered are the lines' own columns, which order them too; pages are made of them afterwards
+    own = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+    lines = lineitem.groupBy(F.col("l_orderkey").alias("visit_id")).agg(F.sort_array(F.collect_list(F.struct(*own))).alias("__lines"))
+    no_test = F.lit(None).cast("struct<id:string,combination:array<int>>")
+
+    def page(x: Column, i: Column) -> Column:
+        event = F.struct(
+            F.lit(1).alias("pos"), x["l_partkey"].alias("event_id"), x["l_returnflag"].alias("definition_id"), x["l_returnflag"].alias("name"),
+            F.round(x["l_quantity"]).cast("int").alias("value"), (x["l_returnflag"] == "R").alias("is_goal"), x["l_shipdate"].alias("ts"),
+        )
+        test = F.struct(F.lit("T1").alias("id"), F.array((x["l_linenumber"] % 3).cast("int"), (x["l_partkey"] % 2).cast("int")).alias("combination"))
+        return F.struct(
+            (i + 1).cast("int").alias("pos"), x["l_shipdate"].alias("ts"), x["l_partkey"].alias("item_id"), F.concat(F.lit("/part/"), x["l_partkey"].cast("string")).alias("url_path"),
+            x["l_quantity"].cast("int").alias("duration"), F.when(x["l_linestatus"] == "O", test).otherwise(no_test).alias("mv_test"), F.array(event).alias("events"),
+        )
+
+    # pages are made where the lines lie, on all tasks; orders come to them by the same key
+    value = F.aggregate("__lines", F.lit(0), lambda a, x: a + F.coalesce(x["l_quantity"].cast("int"), F.lit(0)))
+    lines = lines.select("visit_id", F.transform("__lines", page).alias("pages"), value.alias("value"), F.size("__lines").alias("page_count"))
+    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts")).join(lines.hint("merge"), "visit_id", "left")
     if customer is not None:
         place = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
         place = place.select("c_custkey", F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("region"), F.lit(None).cast("string").alias("city")).alias("geo"))
         visits = visits.join(place, visits["contact_id"] == place["c_custkey"], "left").drop("c_custkey")
     else:
         visits = visits.withColumn("geo", F.lit(None).cast("struct<country:string,region:string,city:string>"))
-    value = F.aggregate(F.coalesce(pages, F.array()), F.lit(0), lambda a, p: a + p["duration"])
     return visits.select(
-        "visit_id", "contact_id", "start_ts", F.col("start_ts").alias("end_ts"), F.col("start_ts").alias("save_ts"), value.alias("value"),
-        F.coalesce(F.size("__lines"), F.lit(0)).alias("page_count"), "geo", pages.alias("pages"),
+        "visit_id", "contact_id", "start_ts", F.col("start_ts").alias("end_ts"), F.col("start_ts").alias("save_ts"), F.coalesce("value", F.lit(0)).alias("value"),
+        F.coalesce("page_count", F.lit(0)).alias("page_count"), "geo", "pages",
     )
