@@ -209,6 +209,7 @@ class VersionedStore:
     def replace(self, fresh: StarSchema, since: Any, batch: str | None = None, cutoff: Any = None) -> int:
         """What :func:`visitmart.operators.incremental.refresh` does from ``since`` on, but of tables with partitions
         (center tables with a partition field, and those below them) only the fresh rows are written."""
+        start = (since if isinstance(since, datetime) else datetime.fromisoformat(str(since))).isoformat(" ", "microseconds")
 
         def attempt(last: dict[str, Any] | None) -> int:
             old = self.read(last) if last else None
@@ -220,7 +221,7 @@ class VersionedStore:
                     whole = fresh[name] if old is None else upsert(old[name], fresh[name])
                     tables[name] = [[self._write(name, with_partition(fresh, name) if old is None else whole), None]]
                     continue
-                kept = [[folder, str(since) if until is None or until > str(since) else until] for folder, until in last["tables"][name]]
+                kept = [[folder, start if until is None else min(until, start)] for folder, until in last["tables"][name]]
                 tables[name] = [*kept, [self._write(name, with_partition(fresh, name)), None]]
             return self._commit(last, fresh, tables, batch, cutoff)
 
