@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 
-from visitmart.llm.similar import BALL, BITS, FINE, LANES, MIX, Candidates, bit_chance, segment_bits, similar_rows, table_plan, wide_fingerprint
+from visitmart.llm.similar import BALL, BITS, FINE, LANES, MIX, Candidates, bit_chance, common_shingles, segment_bits, similar_rows, table_plan, wide_fingerprint
 from visitmart.llm.simhash import keep_one
 
 
@@ -45,7 +45,7 @@ def test_groups_of_edited_copies_equal_brute_force(spark):
     texts += ["a b", "A  b", "a c", "", None, "one two three four five six", "one two three four five seven"]
     want = plain_groups(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for settings in ({}, {"block": 24, "open_block": 12}):
+    for settings in ({}, {"block": 24, "set_block": 12}, {"block": 24, "set_shingles": 2000, "max_broadcast": 0}):
         got = {r["doc_id"]: r["root"] for r in similar_rows(docs, **settings).collect()}
         assert len(got) == len(texts) and len(set(want)) == len(set(got.values()))
         assert len(set(zip(want, (got[i] for i in range(len(texts))), strict=True))) == len(set(want))
@@ -95,6 +95,16 @@ def test_candidates_are_all_pairs_within_balls_and_distance():
         assert len(got) == len(set(got)) and set(got) == want and len(want) > 5
 
 
+def test_common_shingles_are_counted_exactly():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200), np.uint64)) for _ in range(90)]
+    sets += [np.unique(rng.integers(0, 10**6, 50, np.uint64)) for _ in range(20)]
+    sets += [sets[0], sets[95]]
+    got = common_shingles(sets, columns=37)
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    assert (got == want)[~np.eye(len(sets), dtype=bool)].all()
+
+
 def test_plan_finds_the_threshold_pair():
     for nodes in (1, 10_000, 10**6, 10**9):
         coarse, tables = table_plan(nodes, 0.8, 1e-6)

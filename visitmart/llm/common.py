@@ -161,6 +161,18 @@ def filter_rows(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray]) -
     return safe.mapInArrow(run, safe.schema).toDF(*df.columns)
 
 
+def unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root`` (for each node the smallest of its group, itself where it has no other) after links i - j were added."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while not (root[root] == root).all():
+            root = root[root]
+
+
 def pieces(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows with about ``chars`` characters each, one row at least."""
     start, size = 0, 0

@@ -5,7 +5,10 @@ similarity s differ in each bit with a chance of acos(2s / (1 + s)) / pi, 15 % a
 useful width is surely equal; the number of segments is chosen such that a pair at the threshold is missed by all
 of them with a chance of ``miss`` at most. A segment's first bits say which table entries meet in a task; around
 the value of its last ``FINE`` bits a small Hamming ball is enumerated and looked up there, and complete distances
-verify what the look-up returns. What passes is compared exactly, shingle by shingle, in a join.
+verify what the look-up returns.
+
+Texts that candidates connect form clusters. A cluster's sets of shingles meet in a task, or in pairs of blocks where
+they are many, and are compared there exactly; what leaves a task is one row for each text, never pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import in_blocks, join_spread, materialize
+from visitmart.llm.common import in_blocks, join_spread, materialize, unite
 from visitmart.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -101,8 +104,8 @@ class Candidates:
         #: where two blocks are compared: whether an entry is of the second
         self.two, self.similarity = two, similarity
         p = bit_chance(similarity)
-        # five standard deviations above the expected distance; bits of sets of a few shingles differ more often
-        self.radius = BITS * p + 5 * math.sqrt(BITS * p * (1 - p))
+        # four standard deviations above the expected distance; bits of sets of a few shingles differ more often
+        self.radius = BITS * p + 4 * math.sqrt(BITS * p * (1 - p))
         self.first_radius = 128 * 1.25 * p + 5 * math.sqrt(128 * 1.25 * p)
 
     def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -134,38 +137,57 @@ class Candidates:
                 yield i[keep], j[keep], d[keep]
 
 
-def _nearest(group: pd.DataFrame, two: np.ndarray | None, table: int, similarity: float) -> pd.DataFrame:
-    """Of each entry's partners the nearest one and the next one in an order that differs by table, and whether
-    it has others: two pairs an entry at most, however dense the group is."""
-    key = group["key"].to_numpy()
-    m = len(key)
-    place = np.empty(m, np.int64)
-    place[np.argsort((key.view(np.uint64) ^ np.uint64(table)) * MIX)] = np.arange(m)
-    at_place = np.argsort(place)
-    none = np.iinfo(np.int64).max
-    near, after, count = np.full(m, none), np.full(m, none), np.zeros(m, np.int64)
-    for i, j, d in Candidates(group, two, similarity):
-        np.minimum.at(near, i, (d << 32) | j)
-        np.minimum.at(near, j, (d << 32) | i)
-        low, high = np.where(place[i] < place[j], i, j), np.where(place[i] < place[j], j, i)
-        np.minimum.at(after, low, place[high])
-        count += np.bincount(i, minlength=m) + np.bincount(j, minlength=m)
-    one = np.flatnonzero(near < none)
-    other = np.flatnonzero(after < none)
-    a = np.concatenate([one, other])
-    b = np.concatenate([near[one] & 0xFFFFFFFF, at_place[after[other]]])
-    return pd.DataFrame({"a": np.minimum(key[a], key[b]), "b": np.maximum(key[a], key[b]), "own": key[a], "more": count[a] > 1})
-
-
-def _apart(group: pd.DataFrame, two: np.ndarray | None, similarity: float) -> pd.DataFrame:
-    """All pairs that aren't in one group yet."""
-    key, root = group["key"].to_numpy(), group["root"].to_numpy()
-    found = [np.zeros((2, 0), np.int64)]
+def _forest(key: np.ndarray, root: np.ndarray) -> pd.DataFrame:
+    hung = np.flatnonzero(root != np.arange(len(root)))
+    return pd.DataFrame({"a": key[hung], "b": key[root[hung]]})
+
+
+def _connected(group: pd.DataFrame, two: np.ndarray | None, similarity: float) -> pd.DataFrame:
+    """What candidates connect in a group: each entry with the first of its cluster there."""
+    root = np.arange(len(group))
     for i, j, _ in Candidates(group, two, similarity):
-        keep = root[i] != root[j]
-        found.append(np.stack([key[i[keep]], key[j[keep]]]))
-    a, b = np.concatenate(found, axis=1)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        root = unite(root, i, j)
+    return _forest(group["key"].to_numpy(), root)
+
+
+def common_shingles(sets: list[np.ndarray], rare: int = 32, columns: int = 2048) -> np.ndarray:
+    """How many shingles each two of the sets have in common. Shingles of few sets count pair by pair, those of
+    many as columns of a matrix."""
+    m = len(sets)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(m), [len(x) for x in sets])
+    by = np.argsort(flat, kind="stable")
+    flat, owner = flat[by], owner[by]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    size = np.diff(first, append=len(flat))
+    number = np.repeat(np.arange(len(size)), size)
+    few = size[number] <= rare
+    inter = np.zeros((m, m), np.float32)
+    place = np.arange(len(flat)) - first[number]
+    for k in range(1, rare):
+        at = np.flatnonzero(few & (place + k < size[number]))
+        np.add.at(inter, (owner[at], owner[at + k]), 1)
+    inter += inter.T
+    many = np.flatnonzero(size > rare)
+    for at in range(0, len(many), columns):
+        part = many[at : at + columns]
+        x = np.zeros((m, len(part)), np.float32)
+        for c, s in enumerate(part):
+            x[owner[first[s] : first[s] + size[s]], c] = 1
+        inter += x @ x.T
+    return inter
+
+
+def _similar(group: pd.DataFrame, two: np.ndarray | None, similarity: float) -> pd.DataFrame:
+    """What similar sets connect in a group: each text with the first that it is connected with there."""
+    sets = [x.view(np.uint64) for x in group["shingles"]]
+    n = np.array([len(x) for x in sets])
+    inter = common_shingles(sets)
+    near = inter >= similarity * (n[:, None] + n - inter) - 1e-6
+    if two is not None:
+        near &= two[:, None] != two
+    i, j = np.nonzero(np.triu(near, 1))
+    return _forest(group["key"].to_numpy(), unite(np.arange(len(n)), i, j))
 
 
 def row_hash():
@@ -198,14 +220,15 @@ def _tables(nodes: DataFrame, plan: tuple[int, int], seed: int, block: int) -> D
 
 
 def similar_rows(
-    documents: DataFrame, words: int = 5, similarity: float = 0.8, miss: float = 1e-6, seed: int = 42, block: int = 16384, open_block: int = 2048
+    documents: DataFrame, words: int = 5, similarity: float = 0.8, miss: float = 1e-6, seed: int = 42, block: int = 16384,
+    set_block: int = 1024, set_shingles: int = 500_000, max_broadcast: int = 500_000,
 ) -> DataFrame:
     """(doc_id, row, root): each row with the number of its group of near copies.
 
     Texts of the same words are one node; two nodes are linked where the Jaccard similarity of their sets of
     ``words``-word shingles is ``similarity`` or more, and groups are what links connect. Texts without a word
-    are one node. Of the candidates that a node finds in a table, two are compared first; of the others only
-    those that aren't in one group by then. Null ids and repeated rows stay; an empty table gives an empty result.
+    are one node. A task compares two blocks of ``set_block`` texts and ``set_shingles`` shingles each at most, but
+    for a single longer text. Null ids and repeated rows stay; an empty table gives an empty result.
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,56 +244,48 @@ def similar_rows(
                 {"doc_id": batch["doc_id"], "row": batch["row"], "key": np.array(keys, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "print": prints}
             )
 
+    def second(group: pd.DataFrame) -> np.ndarray | None:
+        one, two = int(group["one"].iat[0]), int(group["two"].iat[0])
+        return None if one == two else group["own"].to_numpy() == two
+
     kind = documents.schema["doc_id"].dataType.simpleString()
     numbered = documents.select("doc_id", row_hash().alias("row"), "text")
     rows = materialize(numbered.mapInPandas(describe, f"doc_id {kind}, row long, key long, n long, print binary"), "rows")
     nodes = rows.groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row"), F.min("print").alias("print"))
     nodes = materialize(nodes.where("n > 0"), "nodes")
-    plan = table_plan(nodes.count(), similarity, miss)
-
-    def halves(group: pd.DataFrame) -> np.ndarray | None:
-        one, two = int(group["one"].iat[0]), int(group["two"].iat[0])
-        return None if one == two else group["own"].to_numpy() == two
-
-    def nearest(group: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(group, halves(group), int(group["t"].iat[0]), similarity)
-
-    def apart(group: pd.DataFrame) -> pd.DataFrame:
-        return _apart(group, halves(group), similarity)
-
-    entries = _tables(nodes.select("key", "n", "print"), plan, seed, block)
-    near = materialize(entries.groupBy("t", "value", "one", "two").applyInPandas(nearest, "a long, b long, own long, more boolean"), "near")
+    entries = _tables(nodes.select("key", "n", "print"), table_plan(nodes.count(), similarity, miss), seed, block)
+    near = entries.groupBy("t", "value", "one", "two").applyInPandas(lambda g: _connected(g, second(g), similarity), "a long, b long")
+    clusters = materialize(connected_components(near).select(F.col("node").alias("key"), F.col("component").alias("cluster")), "clusters")
+
+    members = materialize(clusters.join(nodes.select("key", "n", "row"), "key"), "clustered")
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("shingles"))
+    # small clusters share tasks; sets of two clusters may be compared without harm
+    shares = max(1, members.count() // 256)
+    blocks = F.greatest(F.ceil(F.col("texts") / set_block), F.ceil(F.col("shingles") / set_shingles)).cast("long")
+    small = (F.col("texts") <= 256) & (F.col("shingles") <= set_shingles // 4)
+    task = F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(shares))).otherwise(F.col("cluster"))
+    dealt = join_spread(members, sizes.select("cluster", small.alias("small"), task.alias("task"), blocks.alias("blocks")), ["cluster"], "key")
+    dealt = materialize(dealt.select("row", "key", "small", "task", "blocks", F.pmod(F.xxhash64("key"), "blocks").alias("own")), "dealt")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()  # rows of one number have one text: any of them will do
         for batch in batches:
+            batch = batch[~batch["key"].duplicated() & ~batch["key"].isin(seen)]
+            seen.update(batch["key"].tolist())
             found = [shingle_set(words_of(t if isinstance(t, str) else None), words).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "shingles": found})
-
-    wanted = near.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("row").alias("wanted")), "key")
-    # rows of one number have one text: any of them will do
-    texts = numbered.join(wanted, F.col("row") == F.col("wanted")).select("key", "text")
-    shingles = texts.mapInPandas(sets, "key long, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles"))
-    shingles = materialize(shingles, "shingles")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """A text may be near to very many others: no task gets all pairs of one."""
-        one = shingles.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
-        two = shingles.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        least = F.lit(similarity) * (F.size("sa") + F.size("sb") - both) - F.lit(1e-9)
-        pairs = materialize(pairs, "pairs")
-        first = join_spread(pairs, one, ["a"], "b")
-        return materialize(join_spread(first, two, ["b"], "a", keys=pairs).where(both >= least).select("a", "b"), "links")
-
-    links = verified(near.select("a", "b").distinct())
-    groups = connected_components(links)
-    left = near.where("more").select(F.col("own").alias("key")).distinct().join(nodes.select("key", "n", "print"), "key")
-    left = left.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "print", F.coalesce("component", "key").alias("root"))
-    left = materialize(left, "open")
-    entries = _tables(left, plan, seed, open_block)
-    others = entries.groupBy("t", "value", "one", "two").applyInPandas(apart, "a long, b long").distinct()
-    more = verified(others)
-    if not more.isEmpty():
-        groups = connected_components(links.union(more))
-    named = materialize(groups.withColumnRenamed("node", "key"), "named")
-    return join_spread(rows.select("doc_id", "row", "key"), named, ["key"], "row", "left").select("doc_id", "row", F.coalesce("component", "key").alias("root"))
+            yield batch.drop(columns="text").assign(shingles=found)
+
+    small_enough = F.broadcast if dealt.count() <= max_broadcast else (lambda df: df)
+    texts = numbered.select("row", "text").join(small_enough(dealt), "row").select("key", "small", "task", "blocks", "own", "text")
+    texts = texts.mapInPandas(sets, "key long, small boolean, task long, blocks long, own long, shingles array<long>")
+    texts = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    texts = texts.select("small", "task", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "key", "shingles")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group[~group["key"].duplicated()]
+        return _similar(group, second(group), similarity)
+
+    links = texts.groupBy("small", "task", "one", "two").applyInPandas(compare, "a long, b long")
+    groups = connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("root"))
+    named = materialize(groups, "named")
+    return join_spread(rows.select("doc_id", "row", "key"), named, ["key"], "row", "left").select("doc_id", "row", F.coalesce("root", "key").alias("root"))
