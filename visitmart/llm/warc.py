@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import materialize
+from visitmart.llm.common import join_spread, materialize
 
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -131,7 +131,7 @@ def read_frame(bundle: bytes, frame: int) -> bytes:
 
 def archive(
     pages: DataFrame, min_revisit_bytes: int = 0, frame_bytes: int = 1 << 18, bundle_bytes: int = 8 << 20,
-    level: int = 3, date: str = "1970-01-01T00:00:00Z",
+    level: int = 3, date: str = "1970-01-01T00:00:00Z", max_broadcast: int = 500_000,
 ) -> DataFrame:
     """The bundles of ``pages`` (page_id, url, html), in the schema ``BUNDLES``, not yet written.
 
@@ -139,11 +139,16 @@ def archive(
     response and the others revisit it; rows that share that id are responses. Null html is an empty payload; a
     null page_id is never the smallest unless there is no other, and then all its records are responses.
     """
-    # a payload's key is its digest and length; pages meet their group's smallest id in a join by it
+    # a payload's key is its digest; only digests are shuffled to find those that several pages have
     keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    keyed = keyed.withColumn("key", F.sha1(F.col("html").cast("binary")))
-    first = keyed.groupBy("key").agg(F.min("page_id").alias("first"))
-    rows = keyed.join(first, "key").select("page_id", "url", "html", "first")
+    keyed = keyed.withColumn("key", F.unhex(F.sha1(F.col("html").cast("binary"))))
+    copies = keyed.groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
+    copies = materialize(copies, "copies")
+    if copies.count() <= max_broadcast:
+        rows = keyed.join(F.broadcast(copies), "key", "left")
+    else:
+        rows = join_spread(keyed, copies, ["key"], "page_id", "left", keys=keyed.select("key", "page_id"))
+    rows = rows.select("page_id", "url", "html", "first")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, n, out = TaskContext.get().partitionId(), 0, BundleWriter(frame_bytes, level)
