@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,12 +136,19 @@ def _share(known: DataFrame, per_class: int, max_classes: int) -> tuple[Column,
 def _chosen(documents: DataFrame, rows: DataFrame, per_class: int, class_bytes: int) -> list[tuple[str, str]]:
     """The first rows of each class in the order of the ids' hashes, while they fit; first ids and sizes, then texts."""
     slim = rows.where(F.col("__bytes") <= class_bytes).groupBy("__id", "__hash").agg(F.min("__class").alias("__class"), F.min("__bytes").alias("__bytes"))
-    order = Window.partitionBy("__class").orderBy(F.xxhash64("__id"), "__id", "__hash")  # of few candidates
-    so_far = F.sum("__bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    picked = slim.withColumn("__rank", F.row_number().over(order)).withColumn("__sum", so_far)
-    picked = picked.where((F.col("__rank") <= per_class) & (F.col("__sum") <= class_bytes)).select("__id", "__hash", "__class")
-    picked = materialize(picked, "sample")
-    found = _texts(documents).withColumn("__hash", F.xxhash64("__text")).join(F.broadcast(picked), ["__id", "__hash"])  # bounded above
+    slim = slim.select("*", F.xxhash64("__id").alias("__order"))
+    number, size, picked = Counter(), Counter(), []
+    for r in sorted(slim.collect(), key=lambda r: (r["__order"], str(r["__id"]), r["__hash"])):  # about twice what is wanted
+        c = r["__class"]
+        if number[c] < per_class and size[c] + r["__bytes"] <= class_bytes:
+            picked.append((r["__id"], r["__hash"], c))
+        number[c] += 1
+        size[c] += r["__bytes"]
+    if not picked:
+        return []
+    schema = StructType([slim.schema["__id"], slim.schema["__hash"], StructField("__class", StringType())])
+    chosen = F.broadcast(documents.sparkSession.createDataFrame(picked, schema))  # bounded above
+    found = _texts(documents).withColumn("__hash", F.xxhash64("__text")).join(chosen, ["__id", "__hash"])
     got = found.groupBy("__id", "__hash").agg(F.first("__class").alias("c"), F.first("__text").alias("t")).collect()
     out = sorted((str(r["__id"]), r["c"], r["t"]) for r in got)
     return [out[i][1:] for i in np.random.default_rng(7).permutation(len(out))]
