@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import regex
 
-from visitmart.llm.decontamination import BLOCKS, ItemIndex, Table, _items, bag, contaminated, drop_contaminated, fingerprint, radius_of, shingle_hashes, shingles_of, similarity, word_hashes
+from visitmart.llm.decontamination import BLOCKS, ItemIndex, Table, _items, bag, contaminated, drop_contaminated, fingerprint, radius_of, shingle_hashes, shingles_of, similarity, window_fingerprints, word_hashes
 
 
 def weighted(a, b):
@@ -112,7 +112,8 @@ def test_blocks_return_all_within_the_radius_and_few_others():
         for row in range(0, 60):
             bits = np.unpackbits(prints[row])
             bits[rng.choice(8 * BLOCKS, flips, replace=False)] ^= 1
-            seen += (got := table.within(np.packbits(bits))).tolist().count(row)
+            got = table.within(np.packbits(bits)[None])[1].tolist()
+            seen += got.count(row)
             assert (row in got) == (flips <= radius)
     assert seen == 240
     # what the blocks return of random fingerprints, before complete distances
@@ -122,10 +123,18 @@ def test_blocks_return_all_within_the_radius_and_few_others():
         values = rng.integers(0, 256, BLOCKS, np.uint8)
         near = np.bitwise_count(prints ^ values) <= 2
         returned.append((near.sum(1) >= BLOCKS - radius // 3).mean())
-        assert len(loose.within(values)) == 0
+        assert len(loose.within(values[None])[1]) == 0
     assert np.mean(returned) < 0.05
 
 
+def test_windows_fingerprints_are_those_of_their_shingles():
+    h = np.random.default_rng(5).integers(0, 1 << 63, 9000, np.uint64)
+    for size, starts in ((1, [0, 5, 8999]), (40, [0, 1, 2, 41, 42, 300, 341, 382, 8960]), (3, list(range(8000)))):
+        got = window_fingerprints(h, np.asarray(starts), size)
+        for k in list(range(min(9, len(starts)))) + [len(starts) - 1]:
+            assert (got[k] == fingerprint(h[starts[k] : starts[k] + size])).all()
+
+
 def test_radius_covers_similar_bags():
     rng = np.random.default_rng(4)
     missed = 0

@@ -78,16 +78,33 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return shingles_of(word_hashes(text))
 
 
+def lane_bits(h: np.ndarray) -> np.ndarray:
+    """The bits that each shingle votes with: ``LANES`` words of 64 bits, each with hashes of its own."""
+    x = (h[:, None] ^ SALTS) * MIX
+    x = (x ^ (x >> np.uint64(32))) * MIX
+    return np.unpackbits((x ^ (x >> np.uint64(29))).view(np.uint8), axis=1)
+
+
 def fingerprint(h: np.ndarray) -> np.ndarray:
-    """The SimHash of a bag of shingles, as ``BLOCKS`` bytes: ``LANES`` words of 64 bits, each with hashes of its own."""
-    ones = np.zeros(64 * LANES, np.int64)
-    for at in range(0, len(h), 16384):
-        x = (h[at : at + 16384, None] ^ SALTS) * MIX
-        x = (x ^ (x >> np.uint64(32))) * MIX
-        ones += np.unpackbits((x ^ (x >> np.uint64(29))).view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    """The SimHash of a bag of shingles, as ``BLOCKS`` bytes."""
+    ones = sum(lane_bits(h[at : at + 16384]).sum(0, dtype=np.int64) for at in range(0, len(h), 16384))
     return np.packbits(ones * 2 > len(h))
 
 
+def window_fingerprints(h: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The fingerprints of windows of ``size`` shingles, from running sums over each run of overlapping windows."""
+    out = np.empty((len(starts), BLOCKS), np.uint8)
+    runs = np.flatnonzero(np.diff(starts, prepend=-1 - size) > size)
+    for a, b in zip(runs, np.append(runs[1:], len(starts)), strict=True):
+        for at in range(a, b, 4096):  # bounded memory
+            own = starts[at : min(b, at + 4096)]
+            ones = np.zeros((own[-1] + size - own[0] + 1, 64 * LANES), np.int32)
+            np.cumsum(lane_bits(h[own[0] : own[-1] + size]), axis=0, out=ones[1:])
+            place = own - own[0]
+            out[at : at + len(own)] = np.packbits((ones[place + size] - ones[place]) * 2 > size, axis=1)
+    return out
+
+
 def bag(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles and how often each occurs."""
     return np.unique(h, return_counts=True)
@@ -120,36 +137,46 @@ def radius_of(counts: np.ndarray, least: float, deviations: float = 5.0) -> int:
 
 @dataclass
 class Table:
-    """Items of one size, under the value of each block of their fingerprints."""
+    """Items of one size, under the values of the blocks of their fingerprints."""
 
     rows: np.ndarray  # their numbers
     prints: np.ndarray  # n, BLOCKS
     radius: np.ndarray
-    order: np.ndarray  # BLOCKS * n: items by block value
-    start: np.ndarray  # BLOCKS, 257: where a value's items start in it
+    #: BLOCKS, 256, n: which items a block value returns, balls of ``BALL`` bits around theirs; made on first use
+    near: np.ndarray | None = None
 
     @classmethod
     def of(cls, rows: list[int], prints: list[np.ndarray], radius: list[int]) -> Table:
-        p = np.stack(prints)
-        order = np.argsort(p, axis=0, kind="stable").T
-        start = np.stack([np.searchsorted(p[o, b], np.arange(257)) + b * len(p) for b, o in enumerate(order)])
-        return cls(np.asarray(rows), p, np.asarray(radius), order.ravel().astype(np.int32), start)
-
-    def within(self, block_values: np.ndarray) -> np.ndarray:
-        """Items within their radius of a fingerprint.
-
-        Balls of ``BALL`` bits around each block's value are looked up. Were fewer than ``BLOCKS - radius // (BALL + 1)``
-        blocks within their ball, the others would add up to more than the radius: so items that are found in so
-        many blocks are all that need a complete distance.
+        return cls(np.asarray(rows), np.stack(prints), np.asarray(radius))
+
+    def balls(self) -> np.ndarray:
+        if self.near is None:
+            near = np.zeros((BLOCKS, 256, len(self.rows)), np.uint8)
+            items, block = np.arange(len(self.rows)), np.arange(BLOCKS)[:, None]
+            for mask in MASKS:
+                near[block, self.prints.T ^ mask, items] = 1
+            self.near = near
+        return self.near
+
+    def within(self, prints: np.ndarray, cells: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprint, item) of those that are within the item's radius.
+
+        The balls around each block's values are looked up. Were fewer than ``BLOCKS - radius // (BALL + 1)`` blocks
+        within their ball, the others would add up to more than the radius: so items that are found in so many
+        blocks are all that need a complete distance.
         """
-        values = block_values[:, None] ^ MASKS
-        first = np.take_along_axis(self.start, values.astype(np.intp), 1).ravel()
-        size = np.take_along_axis(self.start, values.astype(np.intp) + 1, 1).ravel() - first
-        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-        hits = np.bincount(self.order[at], minlength=len(self.rows))
-        found = np.flatnonzero(hits >= BLOCKS - self.radius // (BALL + 1))
-        d = np.bitwise_count(self.prints[found] ^ block_values).sum(1, dtype=np.int64)
-        return found[d <= self.radius[found]]
+        near, needed = self.balls(), BLOCKS - self.radius // (BALL + 1)
+        step, found = max(1, cells // len(self.rows)), []
+        for at in range(0, len(prints), step):
+            part = prints[at : at + step]
+            hits = np.zeros((len(part), len(self.rows)), np.uint8)
+            for b in range(BLOCKS):
+                hits += near[b, part[:, b]]
+            x, item = np.nonzero(hits >= needed)
+            d = np.bitwise_count(part[x] ^ self.prints[item]).sum(1, dtype=np.int64)
+            fine = d <= self.radius[item]
+            found.append(np.stack([x[fine] + at, item[fine]]))
+        return tuple(np.concatenate(found, axis=1))
 
 
 @dataclass
@@ -218,14 +245,17 @@ class ItemIndex:
             inside = reach[n:] - reach[:-n]
             # similarity s of bags of w and i shingles needs (w + i) * s / (1 + s) common ones
             least = (n + size) * self.similarity / (1 + self.similarity) - 1e-9
-            for at in np.flatnonzero(inside >= least).tolist():
-                window = h[at : at + n]
-                own = None
-                for row in table.rows[table.within(fingerprint(window))].tolist():
-                    own = own or bag(window)
-                    s = similarity(own, self.bags[row])
-                    if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
-                        best[row] = (s, at)
+            starts = np.flatnonzero(inside >= least)
+            if not len(starts):
+                continue
+            last, own = -1, None
+            for x, item in zip(*(found.tolist() for found in table.within(window_fingerprints(h, starts, n))), strict=True):
+                at, row = int(starts[x]), int(table.rows[item])
+                if at != last:
+                    last, own = at, bag(h[at : at + n])
+                s = similarity(own, self.bags[row])
+                if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
+                    best[row] = (s, at)
 
 
 def _items(benchmark: DataFrame, block: int, block_chars: int = 20_000_000) -> Iterator[list[tuple[int, str]]]:
