@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by randomised-rotation binary codes.
 
-A vector is turned by a random rotation and kept as the signs of its coordinates (its code), together with the
-inner product of the unit vector and the unit vector that the signs stand for (its correction factor). Codes and
+A vector is turned by random rotations and kept as the signs of its coordinates (its code), together with the
+inner product of the unit vector and the unit vector that the first rotation's signs stand for (its correction factor). Codes and
 factors are computed and written once; what follows works on them until a pair is undecided:
 
 1. Slices of the sign bits of several rotations are hash tables. What travels to a table is a code, not a vector.
@@ -32,9 +32,11 @@ from visitmart.llm.components import connected_components
 #: Width of the confidence bounds: of estimates, in the units of the error bound above; of codes' distances, in
 #: standard deviations.
 EPS = 6.0
+#: Bits of a code, at least.
+CODE_BITS = 128
 
 
-@lru_cache(64)
+@lru_cache(256)
 def rotation(dim: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix; the same for the same arguments."""
     q, r = np.linalg.qr(np.random.default_rng((seed, dim)).standard_normal((dim, dim)))
@@ -49,35 +51,35 @@ def units(vectors: list[np.ndarray]) -> np.ndarray:
 
 
 class Codes:
-    """Signs, correction factors and table keys of unit vectors of one length."""
+    """Signs, correction factors and table keys of unit vectors of one length. A code holds the signs of as many
+    rotations as give ``CODE_BITS`` bits; the factor is that of the first."""
 
     def __init__(self, dim: int, bits: int, tables: int, seed: int):
         # slices never span two rotations
         self.per_rotation, self.bits, self.tables, self.dim, self.seed = max(1, dim // bits), min(bits, dim), tables, dim, seed
+        self.coded = -(-CODE_BITS // dim)
+        self.tables_coded = min(tables, self.coded * self.per_rotation)
 
     def slices(self, signs: np.ndarray, number: int) -> np.ndarray:
+        """The slice of each of the first tables, from the signs of one rotation after the other."""
         powers = 1 << np.arange(self.bits)
-        return np.stack([signs[:, k * self.bits : (k + 1) * self.bits] @ powers for k in range(number)], axis=1)
+        first = [t // self.per_rotation * self.dim + t % self.per_rotation * self.bits for t in range(number)]
+        return np.stack([signs[:, a : a + self.bits] @ powers for a in first], axis=1)
 
     def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(code as packed bits, correction factor, slice of each table), one row for each vector."""
-        keys, left = [], self.tables
-        for i in range(-(-self.tables // self.per_rotation)):
-            turned = unit @ rotation(self.dim, self.seed + i)
-            signs = turned >= 0
-            if i == 0:
-                code, factor = np.packbits(signs, axis=1), np.abs(turned).sum(1) / math.sqrt(self.dim)
-            keys.append(self.slices(signs, min(left, self.per_rotation)))
-            left -= self.per_rotation
-        return code, factor, np.concatenate(keys, axis=1).astype(np.int64)
+        rotations = max(self.coded, -(-self.tables // self.per_rotation))
+        signs = np.concatenate([unit @ rotation(self.dim, self.seed + i) >= 0 for i in range(rotations)], axis=1)
+        factor = np.abs(unit @ rotation(self.dim, self.seed)).sum(1) / math.sqrt(self.dim)
+        return np.packbits(signs[:, : self.coded * self.dim], axis=1), factor, self.slices(signs, self.tables).astype(np.int64)
 
     def signs(self, codes: list[bytes]) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1, count=self.dim)
+        return np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1, count=self.coded * self.dim)
 
     def estimates(self, signs: np.ndarray, factor: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """Unbiased estimates of the cosines: a row for each code, a column for each vector."""
         turned = unit @ rotation(self.dim, self.seed)
-        return ((signs * 2.0 - 1.0) @ turned.T) / math.sqrt(self.dim) / factor[:, None]
+        return ((signs[:, : self.dim] * 2.0 - 1.0) @ turned.T) / math.sqrt(self.dim) / factor[:, None]
 
     def slack(self, factor: np.ndarray) -> np.ndarray:
         return np.sqrt((1 - factor**2).clip(0)) / factor * EPS / math.sqrt(max(1, self.dim - 1))
@@ -85,7 +87,8 @@ class Codes:
     def farthest(self, threshold: float) -> float:
         """The largest distance of two codes that leaves it open whether their vectors' cosine reaches the threshold."""
         p = math.acos(max(-1.0, min(1.0, threshold))) / math.pi
-        return self.dim * p + EPS * math.sqrt(self.dim * p * (1 - p))
+        bits = self.coded * self.dim
+        return bits * p + EPS * math.sqrt(bits * p * (1 - p))
 
 
 def table_plan(rows: int, dim: int, threshold: float, bucket: int, miss: float) -> tuple[int, int]:
@@ -103,7 +106,7 @@ def _screen(group: pd.DataFrame, second: np.ndarray | None, table: int, codes: C
     words = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
     words[:, : packed.shape[1]] = packed
     words = words.view(np.uint64)
-    seen = codes.slices(signs, min(table, codes.per_rotation)) if table else None
+    seen = codes.slices(signs, min(table, codes.tables_coded)) if table else None
     limit, m = codes.farthest(threshold), len(group)
     open_ = np.zeros(m, bool)
     left = np.arange(m) if second is None else np.flatnonzero(~second)
