@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitmart.llm.common import table
 from visitmart.llm.decontamination import contaminated
@@ -17,6 +18,7 @@ from visitmart.llm.simhash import simhash_groups
 from visitmart.llm.token_counts import token_counts
 from visitmart.llm.toxicity import toxicity
 from visitmart.llm.warc import DIGESTS_SQL, archive_digests
+from visitmart.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +63,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it exceeds a long."""
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_packing, op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op8_warc, op9_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op8_warc, op9_toxicity, op10_decontamination, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
