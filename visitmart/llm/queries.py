@@ -15,6 +15,7 @@ from visitmart.llm.minhash import EDITED_SQL, edited_likeness
 from visitmart.llm.mixing import MIXTURE_SQL, mixture
 from visitmart.llm.packing import pack
 from visitmart.llm.quality import quality
+from visitmart.llm.repair import REPAIRED_SQL, damaged, repair
 from visitmart.llm.simhash import simhash_groups
 from visitmart.llm.token_counts import token_counts
 from visitmart.llm.toxicity import toxicity
@@ -68,14 +69,18 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations")), gone="gone")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``deviation`` is null where it exceeds a long."""
     return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_packing, op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op8_warc, op9_toxicity, op10_decontamination, op11_minhash, op13_whitening)}
+    return {f.__name__: f for f in (op1_packing, op2_embedding_dedup, op3_language_id, op4_token_counts, op5_simhash, op6_quality, op7_mixing, op8_warc, op9_toxicity, op10_decontamination, op11_minhash, op12_repair, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": MIXTURE_SQL, "op8_warc": DIGESTS_SQL, "op11_minhash": EDITED_SQL}
+    return {"op7_mixing": MIXTURE_SQL, "op8_warc": DIGESTS_SQL, "op11_minhash": EDITED_SQL, "op12_repair": REPAIRED_SQL}
