@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting (tests) gets a temporary folder of its own; on a cluster, where
     each machine would write to a disk that the others don't see, its absence is an error.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -91,10 +90,11 @@ def labelled_sample(
 ) -> list[tuple[str, str]]:
     """(class as text, whole text) of at most ``per_class`` documents of each class, and ``max_bytes`` in all.
 
-    Documents are chosen by a hash of the id, alike on every run, until their class's share of ``max_bytes`` is
-    filled; one that is longer than the whole share never enters, none is cut. Held-out ids, null labels and null
-    texts never enter; an id with several labels has the smallest, equal rows are one. More than ``max_classes``
-    classes are an error. Only this bounded sample reaches the driver.
+    Documents are chosen by hashes of id and text, alike on every run, until their class's share of ``max_bytes`` is
+    filled; one that is longer than what is left of the share is passed over, none is cut. Held-out ids, null labels
+    and null texts never enter; an id with several labels has the smallest, equal rows are one. More than
+    ``max_classes`` classes are an error. Only this bounded sample reaches the driver: ids and sizes of at most four times
+    ``per_class`` candidates a class, then the texts that are chosen.
     """
     known = labels.where(~held_out() & F.col(label).isNotNull()).select(F.col("doc_id").alias("__id"), F.col(label).cast("string").alias("__class"))
     share, classes = _share(known, per_class, max_classes)
@@ -134,19 +134,21 @@ def _share(known: DataFrame, per_class: int, max_classes: int) -> tuple[Column,
 
 
 def _chosen(documents: DataFrame, rows: DataFrame, per_class: int, class_bytes: int) -> list[tuple[str, str]]:
-    """The first rows of each class in the order of the ids' hashes, while they fit; first ids and sizes, then texts."""
+    """The first rows of each class in the order of their hashes, while they fit; first ids and sizes, then texts."""
     slim = rows.where(F.col("__bytes") <= class_bytes).groupBy("__id", "__hash").agg(F.min("__class").alias("__class"), F.min("__bytes").alias("__bytes"))
-    slim = slim.select("*", F.xxhash64("__id").alias("__order"))
-    number, size, picked = Counter(), Counter(), []
-    for r in sorted(slim.collect(), key=lambda r: (r["__order"], str(r["__id"]), r["__hash"])):  # about twice what is wanted
+    slim = slim.withColumn("__order", F.xxhash64("__id"))
+    first = Window.partitionBy("__class").orderBy("__order", "__hash")  # limited in each task before the shuffle
+    slim = slim.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= 4 * per_class)
+    number, size, picked = {}, {}, []
+    for r in slim.orderBy("__class", "__n").collect():
         c = r["__class"]
-        if number[c] < per_class and size[c] + r["__bytes"] <= class_bytes:
+        if number.get(c, 0) < per_class and size.get(c, 0) + r["__bytes"] <= class_bytes:
             picked.append((r["__id"], r["__hash"], c))
-        number[c] += 1
-        size[c] += r["__bytes"]
+            number[c] = number.get(c, 0) + 1
+            size[c] = size.get(c, 0) + r["__bytes"]
     if not picked:
         return []
-    schema = StructType([slim.schema["__id"], slim.schema["__hash"], StructField("__class", StringType())])
+    schema = StructType([slim.schema["__id"], slim.schema["__hash"], slim.schema["__class"]])
     chosen = F.broadcast(documents.sparkSession.createDataFrame(picked, schema))  # bounded above
     found = _texts(documents).withColumn("__hash", F.xxhash64("__text")).join(chosen, ["__id", "__hash"])
     got = found.groupBy("__id", "__hash").agg(F.first("__class").alias("c"), F.first("__text").alias("t")).collect()
@@ -154,6 +156,29 @@ def _chosen(documents: DataFrame, rows: DataFrame, per_class: int, class_bytes:
     return [out[i][1:] for i in np.random.default_rng(7).permutation(len(out))]
 
 
+def map_texts(rows: DataFrame, new: str, compute: Callable[[list[str | None]], tuple[np.ndarray | None, list]], text: str = "text") -> DataFrame:
+    """``rows`` less the column ``text``, with the columns ``new`` that ``compute`` makes of a batch's texts.
+
+    ``compute`` gives (which rows to repeat, or None for each once; a list or an array for each new column). All other columns
+    pass through Arrow as they are: 64-bit numbers stay exact beside nulls, and names may hold dots."""
+    kept = [c for c in rows.columns if c != text]
+    safe = rows.select(*[rows[f"`{c}`"] for c in [*kept, text]]).toDF(*[f"c{i}" for i in range(len(kept) + 1)])
+    fields = ", ".join([f"{c.name} {c.dataType.simpleString()}" for c in safe.schema.fields[:-1]] + [new])
+    names = [c.split()[0] for c in new.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            take, columns = compute(batch.column(len(kept)).to_pylist())
+            own = [batch.column(i) for i in range(len(kept))]
+            if take is not None:
+                own = [c.take(pa.array(take, pa.int64())) for c in own]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.array(c) for c in columns]], [*[f"c{i}" for i in range(len(kept))], *names])
+
+    return safe.mapInArrow(run, fields).toDF(*kept, *names)
+
+
 def filter_rows(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray]) -> DataFrame:
     """The rows of ``df``, all columns, for whose ``text`` values ``keep`` says True; rows stay where they lie.
 

@@ -16,12 +16,12 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import filter_rows, materialize
+from visitmart.llm.common import filter_rows, map_texts, materialize
 
 SHINGLE = 5
 #: A fingerprint has 64 bits for each lane; a block is a byte of it, looked up with balls of so many bits.
@@ -282,7 +282,7 @@ def contaminated(
     the documents for each, so what is broadcast stays bounded; :func:`radius_of` has the fingerprints' radius. Items and documents that
     are null or have no word match nothing; a document shorter than an item is one window. Repeated rows
     give repeated results; items with equal texts all match; null doc_ids stay. Columns other than doc_id
-    and text (item_id and text) are not read. Empty tables give an empty result.
+    and text (item_id, a whole number, and text) are not read. Empty tables give an empty result.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, similarity double, first_word long"
@@ -294,16 +294,12 @@ def contaminated(
             found = part if found is None else found.unionByName(part)
         shared = spark.sparkContext.broadcast(ItemIndex(min_similarity).build(items))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = [
-                    (d, *m)
-                    for d, t in zip(batch["doc_id"], batch["text"], strict=True)
-                    for m in shared.value.matches(t if isinstance(t, str) else None)
-                ]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "similarity", "first_word"])
+        def find(texts: list[str | None], shared=shared) -> tuple[np.ndarray, list]:
+            out = [(i, *m) for i, t in enumerate(texts) for m in shared.value.matches(t)]
+            rows, ids, similarities, firsts = zip(*out, strict=True) if out else ((),) * 4
+            return np.asarray(rows, np.int64), [pa.array(ids, pa.int64()), pa.array(similarities, pa.float64()), pa.array(firsts, pa.int64())]
 
-        part = documents.select("doc_id", "text").mapInPandas(run, schema)
+        part = map_texts(documents.select("doc_id", "text"), "item_id long, similarity double, first_word long", find)
     if part is None:
         return spark.createDataFrame([], schema)
     return part if found is None else found.unionByName(part)

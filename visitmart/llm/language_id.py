@@ -6,10 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from visitmart.llm.common import held_out, pieces, text_sample
+from visitmart.llm.common import held_out, map_texts, pieces, text_sample
 from visitmart.llm.ngrams import code_parts, distinct_by_text, hashed, true_letters, word_codes
 
 UNKNOWN = "und"
@@ -140,23 +140,17 @@ def language_id(
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)  # a fixed number of rows for each language
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for batch in batches:
-            n = len(batch)
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            lang, score, sure = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
-            if m is not None and n:
-                p, known = m.probabilities(texts)
-                best = p.argmax(1)
-                lang[known] = np.array(m.languages, object)[best[known]]
-                score[known] = p[np.arange(n), best][known]
-                sure = known & (score >= m.reject_below)
-                if reject:
-                    lang[~sure] = UNKNOWN
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": lang, "score": score, "confident": sure})
-
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(
-        run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, confident boolean"
-    )
+    def predict(texts: list[str | None]) -> tuple[None, list]:
+        m, n = shared.value, len(texts)
+        lang, score, sure = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
+        if m is not None and n:
+            p, known = m.probabilities([t or "" for t in texts])
+            best = p.argmax(1)
+            lang[known] = np.array(m.languages, object)[best[known]]
+            score[known] = p[np.arange(n), best][known]
+            sure = known & (score >= m.reject_below)
+            if reject:
+                lang[~sure] = UNKNOWN
+        return None, [pa.array(lang.tolist(), pa.string()), score, sure]
+
+    return map_texts(documents.select("doc_id", held_out().alias("held_out"), "text"), "lang_pred string, score double, confident boolean", predict)

@@ -33,11 +33,11 @@ def _hash32(*parts: Column) -> Column:
 
 
 def _keyed(documents: DataFrame, seed: int) -> DataFrame:
-    """Documents with a source key that orders null last, their size and their place in the source."""
+    """Documents, each as one struct, with their id, a source key that orders null last, their size and their place in the source."""
     source = F.col("source").cast("string")
     name = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     return documents.select(
-        "*",
+        F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("__doc"), "doc_id",
         F.when(source.isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), source)).alias("__key"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"),
         _hash32(name, F.lit(str(seed))).alias("__place"),
@@ -153,9 +153,9 @@ def plan(
     documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_docs: int = 64,
     max_blocks: int = 512, words_per_shard: int = 100_000, max_shards: int = 1024, max_broadcast: int = 100_000,
 ) -> DataFrame:
-    """``documents`` with the columns __size, __source_size, __target, __draws (epoch, shard and words of each time the
-    document is drawn by a shard), __taken (the words of its draws) and __pieces (how many tasks a shard is worth), for
-    :func:`mixture` and :func:`draw`."""
+    """(__doc, the document as a struct, so that its columns may have any names), __size, __source_size, __target, __draws (epoch, shard and words of each time the
+    document is drawn by a shard), __taken (the words of its draws) and __pieces (how many tasks a shard is worth): one row
+    for each document, for :func:`mixture` and :func:`draw`."""
     rows = _keyed(documents, seed)
     slim = materialize(rows.select("__key", "__size", "__place", "doc_id"), "sizes")
     by_source = materialize(targets(slim, weights, cap, block_docs, max_blocks), "targets")
@@ -207,7 +207,7 @@ def plan(
         ),
         lambda d: (d["words"] > 0) & d["shard"].isNotNull(),
     )
-    full = full.select(*[F.col(f"`{c}`") for c in documents.columns], "__size", "__source_size", "__target", draws.alias("__draws"))
+    full = full.select("__doc", "doc_id", "__size", "__source_size", "__target", draws.alias("__draws"))
     taken = F.aggregate("__draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
     return full.select("*", taken.alias("__taken"), F.lit(pieces).alias("__pieces"))
 
@@ -223,7 +223,7 @@ def mixture(documents: DataFrame, **settings) -> DataFrame:
     """
     p = plan(documents.select("doc_id", "text", "source"), **settings)
     return p.select(
-        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+        F.col("__doc.doc_id").alias("doc_id"), F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.round("__target", 4).alias("target"), F.col("__taken").alias("taken"),
         F.array_join(F.transform("__draws", lambda d: d["shard"].cast("string")), ",").alias("shards"),
     )
@@ -234,18 +234,19 @@ def draw(documents: DataFrame, seed: int = 7, **settings) -> DataFrame:
     shards and shuffled within. The document that only a part is left for (one for each source at most) is
     cut after that many words. Rows of size 0 hold no words to take."""
     p = plan(documents, seed=seed, **settings)
-    columns = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
-    taken = p.select("*", F.explode("__draws").alias("__draw"))
+    taken = p.select("__doc", "__size", "__pieces", F.explode("__draws").alias("__draw"))
+    text = F.col("__doc.text")
     gaps = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
-    pieces = F.split("text", gaps)  # words with the blanks that follow them; what comes before the first word
-    leading = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
+    pieces = F.split(text, gaps)  # words with the blanks that follow them; what comes before the first word
+    leading = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     part = F.array_join(F.slice(pieces, 1, (F.col("__draw.words") + leading).cast("int")), "")
-    text = F.when(F.col("__draw.words") < F.col("__size"), part).otherwise(F.col("text")).alias("text")
-    out = taken.select(*columns, text, F.col("__draw.shard").alias("__shard"), F.xxhash64(F.lit(seed), "__draw.epoch", "doc_id", "text").alias("__order"), "__pieces")
+    text = F.when(F.col("__draw.words") < F.col("__size"), part).otherwise(text)
+    order = F.xxhash64(F.lit(seed), "__draw.epoch", "__doc.doc_id", "__doc.text")
+    out = taken.select(F.col("__doc").withField("text", text).alias("__doc"), F.col("__draw.shard").alias("__shard"), order.alias("__order"), "__pieces")
     # a shard's order is uniform, so that equal pieces of it go to tasks however large a shard is
     piece = F.pmod(F.shiftright("__order", 40), F.col("__pieces"))
     dealt = out.repartition("__shard", piece).sortWithinPartitions("__shard", piece, "__order")
-    return dealt.select(*[F.col(f"`{c}`") for c in documents.columns])
+    return dealt.select(*[F.col("__doc").getField(c).alias(c) for c in documents.columns])
 
 
 def _halving(level: int) -> str:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -107,14 +107,13 @@ def pack(
     kind = documents.schema["doc_id"].dataType.simpleString()
     dtype = "<u2" if max(len(_encoding(path)._mergeable_ranks), end_id or 0, pad_id) < 65536 else "<u4"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, row = TaskContext.get().partitionId(), 0
-        pieces: list[tuple[int | None, int, np.ndarray]] = []
-        held = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, row, held, id_type = TaskContext.get().partitionId(), 0, 0, pa.null()
+        pieces: list[tuple[object, int, np.ndarray]] = []
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal pieces, held, row
-            out = []
+            out: list[tuple] = []
             for items in best_fit_decreasing([len(p[2]) for p in pieces], capacity):
                 ids = np.full(capacity, pad_id, dtype)
                 cuts = np.concatenate([[0], np.cumsum([len(pieces[i][2]) for i in items])]).astype(np.int32)
@@ -123,16 +122,19 @@ def pack(
                 out.append((shard, row, int(cuts[-1]), ids.tobytes(), cuts.tolist(), cuts[:-1].tolist(), named))
                 row += 1
             pieces, held = [], 0
-            return pd.DataFrame(out, columns=["shard", "row", "n_tokens", "input_ids", "cu_seqlens", "position_resets", "segments"])
+            segment = pa.struct([("doc_id", id_type), ("first_token", pa.int64()), ("length", pa.int32())])
+            types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(segment)]
+            names = ["shard", "row", "n_tokens", "input_ids", "cu_seqlens", "position_resets", "segments"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names)
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                if not isinstance(text, str) or not text:
+            id_type = batch.column("doc_id").type
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if not text:
                     continue
                 ids = tokens(text, path).astype(dtype)
                 if end_id is not None:
                     ids = np.append(ids, np.array([end_id], dtype))
-                doc = None if pd.isna(doc) else doc
                 for at in range(0, len(ids), capacity):
                     pieces.append((doc, at, ids[at : at + capacity]))
                 held += len(ids)
@@ -141,7 +143,7 @@ def pack(
         if pieces:
             yield flush()
 
-    return documents.select("doc_id", "text").mapInPandas(run, "shard int, row int, " + PACKED.format(id=kind))
+    return documents.select("doc_id", "text").mapInArrow(run, "shard int, row int, " + PACKED.format(id=kind))
 
 
 def position_ids(cu_seqlens: list[int]) -> np.ndarray:

@@ -8,14 +8,12 @@ place: a response is a sum of table look-ups.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from visitmart.llm.common import filter_rows, held_out, labelled_sample, pieces
+from visitmart.llm.common import filter_rows, held_out, labelled_sample, map_texts, pieces
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
 
@@ -127,22 +125,13 @@ def quality(
     """
     if model is None:
         model = train(labelled_sample(documents, labels, label, per_class, sample_bytes))
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(
-        _scorer(documents, model, threshold, ["doc_id", "held_out"]), f"doc_id {kind}, held_out boolean, score double, predicted int"
-    )
-
-
-def _scorer(documents: DataFrame, model: QualityModel | None, threshold: float, keep: list[str]):
     shared = documents.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            score = shared.value.scores(texts) if shared.value is not None else np.ones(len(texts))
-            yield pd.DataFrame({c: batch[c] for c in keep} | {"score": score, "predicted": (score >= threshold).astype(np.int32)})
+    def predict(texts: list[str | None]) -> tuple[None, list]:
+        score = shared.value.scores([t or "" for t in texts]) if shared.value is not None else np.ones(len(texts))
+        return None, [np.asarray(score, np.float64), (score >= threshold).astype(np.int32)]
 
-    return run
+    return map_texts(documents.select("doc_id", held_out().alias("held_out"), "text"), "score double, predicted int", predict)
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **sample: int) -> DataFrame:

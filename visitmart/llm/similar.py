@@ -19,11 +19,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import in_blocks, join_spread, materialize, unite
+from visitmart.llm.common import in_blocks, join_spread, map_texts, materialize, unite
 from visitmart.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -231,26 +232,22 @@ def similar_rows(
     for a single longer text. Null ids and repeated rows stay; an empty table gives an empty result.
     """
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, sizes, prints = [], [], []
-            for t in batch["text"]:
-                parts = words_of(t if isinstance(t, str) else None)
-                s = shingle_set(parts, words)
-                keys.append(xxhash.xxh64_intdigest(b" ".join(parts), seed))
-                sizes.append(len(s))
-                prints.append(wide_fingerprint(s, seed))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "row": batch["row"], "key": np.array(keys, np.uint64).view(np.int64), "n": np.array(sizes, np.int64), "print": prints}
-            )
+    def describe(texts: list[str | None]) -> tuple[None, list]:
+        keys, sizes, prints = [], [], []
+        for t in texts:
+            parts = words_of(t)
+            s = shingle_set(parts, words)
+            keys.append(xxhash.xxh64_intdigest(b" ".join(parts), seed))
+            sizes.append(len(s))
+            prints.append(wide_fingerprint(s, seed))
+        return None, [np.array(keys, np.uint64).view(np.int64), np.array(sizes, np.int64), pa.array(prints, pa.binary())]
 
     def second(group: pd.DataFrame) -> np.ndarray | None:
         one, two = int(group["one"].iat[0]), int(group["two"].iat[0])
         return None if one == two else group["own"].to_numpy() == two
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
     numbered = documents.select("doc_id", row_hash().alias("row"), "text")
-    rows = materialize(numbered.mapInPandas(describe, f"doc_id {kind}, row long, key long, n long, print binary"), "rows")
+    rows = materialize(map_texts(numbered, "key long, n long, print binary", describe), "rows")
     nodes = rows.groupBy("key").agg(F.min("n").alias("n"), F.min("row").alias("row"), F.min("print").alias("print"))
     nodes = materialize(nodes.where("n > 0"), "nodes")
     entries = _tables(nodes.select("key", "n", "print"), table_plan(nodes.count(), similarity, miss), seed, block)

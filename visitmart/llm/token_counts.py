@@ -23,12 +23,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from tokenizers.pre_tokenizers import ByteLevel
 
+from visitmart.llm.common import map_texts
+
 #: What the pattern of byte-level BPE counts as white space.
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 
@@ -446,14 +447,11 @@ def token_counts(
     transducer, whose size is bounded.
     """
     path = public_tokenizers.path(tokenizer)
-    kind = documents.schema[id_column].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch["__text"]]
-            n = count_tokens(texts, path)
-            n_bytes = [len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]
-            yield pd.DataFrame({id_column: batch["__id"], "n_bytes": np.asarray(n_bytes, np.int64), "n_tokens": n, "over_limit": n > limit})
+    def count(texts: list[str | None]) -> tuple[None, list]:
+        n = np.asarray(count_tokens(texts, path), np.int64)
+        n_bytes = [len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]
+        return None, [np.asarray(n_bytes, np.int64), n, n > limit]
 
     rows = documents.select(documents[id_column].alias("__id"), documents[text_column].alias("__text"))
-    return rows.mapInPandas(run, f"`{id_column}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_texts(rows, "n_bytes long, n_tokens long, over_limit boolean", count, "__text").withColumnRenamed("__id", id_column)

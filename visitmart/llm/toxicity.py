@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from visitmart.llm.common import held_out, labelled_sample, pieces
+from visitmart.llm.common import held_out, labelled_sample, map_texts, pieces
 from visitmart.llm.ngrams import code_parts, distinct_by_text, hashed, word_codes
 
 SIZES, BITS = (3, 4, 5, 6), 20
@@ -103,13 +101,8 @@ def toxicity(
         model = train(labelled_sample(documents, labels, label, per_class, sample_bytes))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            score = shared.value.scores(texts) if shared.value is not None else np.zeros(len(texts))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": score, "predicted": (score >= threshold).astype(np.int32)})
+    def predict(texts: list[str | None]) -> tuple[None, list]:
+        score = shared.value.scores([t or "" for t in texts]) if shared.value is not None else np.zeros(len(texts))
+        return None, [np.asarray(score, np.float64), (score >= threshold).astype(np.int32)]
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(
-        run, f"doc_id {kind}, held_out boolean, score double, predicted int"
-    )
+    return map_texts(documents.select("doc_id", held_out().alias("held_out"), "text"), "score double, predicted int", predict)

@@ -16,7 +16,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -137,7 +137,8 @@ def archive(
 
     Of records with equal payloads of at least ``min_revisit_bytes`` bytes, that with the smallest page_id is a
     response and the others revisit it; rows that share that id are responses. Null html is an empty payload; a
-    null page_id is never the smallest unless there is no other, and then all its records are responses.
+    null page_id is never the smallest unless there is no other, and then all its records are responses. Ids are whole
+    numbers; rows that share one have equal record ids, as nothing else tells them apart.
     """
     # a payload's key is its digest; only digests are shuffled to find those that several pages have
     keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
@@ -150,37 +151,37 @@ def archive(
         rows = join_spread(keyed, copies, ["key"], "page_id", "left", keys=keyed.select("key", "page_id"))
     rows = rows.select("page_id", "url", "html", "first")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n, out = TaskContext.get().partitionId(), 0, BundleWriter(frame_bytes, level)
+        entry = pa.struct([("record_id", pa.string()), ("frame", pa.int32()), ("offset", pa.int32()), ("length", pa.int32())])
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal n, out
-            names = ("record_id", "frame", "offset", "length")
-            row = pd.DataFrame({"bundle": [f"{task:06d}-{n:06d}.warc.zst"], "content": [out.bundle()], "records": [[dict(zip(names, r, strict=True)) for r in out.records]]})
+            places = [[dict(zip(entry.names, r, strict=True)) for r in out.records]]
+            row = [pa.array([f"{task:06d}-{n:06d}.warc.zst"]), pa.array([out.bundle()], pa.binary()), pa.array(places, pa.list_(entry))]
             n, out = n + 1, BundleWriter(frame_bytes, level)
-            return row
+            return pa.RecordBatch.from_arrays(row, ["bundle", "content", "records"])
 
         for batch in batches:
-            for page, url, html, smallest in zip(batch["page_id"], batch["url"], batch["html"], batch["first"], strict=True):
-                page, smallest = (None if pd.isna(x) else int(x) for x in (page, smallest))
+            for page, url, html, smallest in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "html", "first")], strict=True):
                 payload = html.encode("utf-8")
                 revisit = smallest is not None and page != smallest and len(payload) >= min_revisit_bytes
-                out.add(record_id(page), record(page, url if isinstance(url, str) else None, payload, smallest, revisit, date))
+                out.add(record_id(page), record(page, url, payload, smallest, revisit, date))
                 if out.size >= bundle_bytes:
                     yield flush()
         if out.records:
             yield flush()
 
-    return rows.mapInPandas(write, BUNDLES)
+    return rows.mapInArrow(write, BUNDLES)
 
 
 def digests(bundles: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record, read from the archives.
     Each response's payload is held against its digest, and each record against its place in the index."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, records in zip(batch["content"], batch["records"], strict=True):
+            for content, records in zip(batch.column("content").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 out, now, plain = [], -1, b""
                 for r in records:
                     if r["frame"] != now:
@@ -196,10 +197,11 @@ def digests(bundles: DataFrame) -> DataFrame:
                         raise ValueError(f"damaged payload in record {r['record_id']}")
                     refers = page_of(headers["WARC-Refers-To"]) if kind == "revisit" else None
                     out.append((page_of(r["record_id"]), size, sha, kind, refers))
-                frame = pd.DataFrame(out, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names)
 
-    return bundles.mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return bundles.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def fetch(bundles: DataFrame, page_ids: list[int]) -> DataFrame:
@@ -208,17 +210,18 @@ def fetch(bundles: DataFrame, page_ids: list[int]) -> DataFrame:
     wanted = [record_id(p) for p in page_ids]
     hits = bundles.withColumn("records", F.filter("records", lambda r: r["record_id"].isin(wanted))).where(F.size("records") > 0)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, records in zip(batch["content"], batch["records"], strict=True):
-                out = []
+            for content, records in zip(batch.column("content").to_pylist(), batch.column("records").to_pylist(), strict=True):
+                pages, payloads = [], []
                 for r in records:
                     headers, block, _ = parse(read_frame(content, r["frame"]), r["offset"])
                     if headers["WARC-Type"] == "response":
-                        out.append((page_of(r["record_id"]), block.split(b"\r\n\r\n", 1)[1]))
-                yield pd.DataFrame(out, columns=["page_id", "payload"])
+                        pages.append(page_of(r["record_id"]))
+                        payloads.append(block.split(b"\r\n\r\n", 1)[1])
+                yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(payloads, pa.binary())], ["page_id", "payload"])
 
-    return hits.mapInPandas(read, "page_id long, payload binary")
+    return hits.mapInArrow(read, "page_id long, payload binary")
 
 
 def archive_digests(pages: DataFrame, **settings) -> DataFrame:
