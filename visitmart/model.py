@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 KEY, DIMENSION, LABEL, FACT = "key", "dimension", "label", "fact"
 VISIT, PAGE, EVENT = "visit", "page", "event"
+#: The column that says which partition of its center table a row belongs to, where a table doesn't show it itself.
+PARTITION = "__partition"
 
 
 @dataclass(frozen=True)
@@ -103,6 +105,9 @@ class StarSchema:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     relations: list[Relation] = field(default_factory=list)
     measures: list[Measure] = field(default_factory=list)
+    #: dimension tables with facts, of centers with partitions: what each partition gives to them, by their keys and
+    #: :data:`PARTITION`, so that a refresh can take back what stale partitions had given
+    contributions: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.model import DIMENSION, FACT, KEY, StarSchema, columns_of, group_columns, role_of
+from visitmart.model import DIMENSION, FACT, KEY, PARTITION, StarSchema, columns_of, group_columns, role_of
 from visitmart.operators.joins import same
 
 EPOCH = datetime(1, 1, 1)
@@ -62,6 +62,37 @@ def upsert(old: DataFrame, fresh: DataFrame) -> DataFrame:
     return both.select(*out)
 
 
+def retract(old: DataFrame, fresh: DataFrame, old_parts: DataFrame, fresh_parts: DataFrame, since: Any) -> DataFrame:
+    """A dimension with facts after a refresh: what its stale partitions had given is taken back, what the fresh load
+    gives is added, by signed sums of stale and fresh contributions alone. Other columns are overwritten by the fresh load. A row that nothing
+    contributes to any more goes, as it would from a rebuild."""
+    by, facts = tuple(group_columns(old)), columns_of(old, FACT)
+    keys = [F.col(f"`{c}`") for c in by]
+
+    def signed(parts: DataFrame, sign: int, is_fresh: bool) -> DataFrame:
+        return parts.select(*keys, *[(F.col(f"`{c}`") * sign).alias(c) for c in facts], F.lit(is_fresh).alias("__fresh"))
+
+    both = signed(old_parts.where(~closed(since, PARTITION)), -1, False).unionByName(signed(fresh_parts, 1, True))
+    delta = both.groupBy(*keys).agg(*[F.sum(f"`{c}`").alias(f"__d_{c}") for c in facts], F.max("__fresh").alias("__fresh"))
+    delta = delta.select(*[F.col(f"`{c}`").alias(f"__k_{c}") for c in by], *[F.col(f"`__d_{c}`") for c in facts], "__fresh")
+    shown = [c for c in fresh.columns if c not in facts]
+    new = fresh.select(*[F.col(f"`{c}`").alias(f"__f_{c}") for c in shown])
+    change = delta.join(new, same(delta, tuple(f"__k_{c}" for c in by), new, tuple(f"__f_{c}" for c in by)), "left")
+    met = old.join(change, same(old, by, change, tuple(f"__k_{c}" for c in by)), "full_outer")
+    out = []
+    for c in old.schema.fields:
+        if c.name in facts:
+            value = F.coalesce(F.col(f"`{c.name}`"), F.lit(0)) + F.coalesce(F.col(f"`__d_{c.name}`"), F.lit(0))
+        else:
+            value = F.when(F.col("__fresh"), F.col(f"`__f_{c.name}`")).otherwise(F.col(f"`{c.name}`"))
+        out.append(value.cast(c.dataType).alias(c.name, metadata=c.metadata))
+    # rows that only stale partitions had given to go, unless closed ones did too
+    gone, kept = delta.where("NOT __fresh"), old_parts.where(closed(since, PARTITION))
+    gone = gone.join(kept, same(gone, tuple(f"__k_{c}" for c in by), kept, by), "left_anti")
+    done = met.select(*out)
+    return done.join(gone, same(done, by, gone, tuple(f"__k_{c}" for c in by)), "left_anti")
+
+
 CLEAR = ("none", "dimensions", "facts", "all")
 
 
@@ -69,8 +100,8 @@ def refresh(old: StarSchema | None, fresh: StarSchema, since: Any = None, clear:
     """The next version of a star schema.
 
     Center tables with a partition field have their stale partitions replaced, and their child tables follow the
-    parents that stay (children before parents is moot here: both are computed from the old version). Other
-    tables are upserted. ``clear`` empties dimension tables, all but dimension tables, or everything first;
+    parents that stay (children before parents is moot here: both are computed from the old version). Dimensions
+    with facts lose what stale partitions had given them (:func:`retract`). Other tables are upserted. ``clear`` empties dimension tables, all but dimension tables, or everything first;
     without a cut-off everything comes from the fresh load.
     """
     if clear not in CLEAR:
@@ -83,11 +114,17 @@ def refresh(old: StarSchema | None, fresh: StarSchema, since: Any = None, clear:
         dimension = fresh.is_dimension(name) and not fresh.is_center(name)
         if clear == "dimensions" and dimension or clear == "facts" and not dimension:
             out.tables[name] = df
+            if name in fresh.contributions:
+                out.contributions[name] = fresh.contributions[name]
             continue
         chain = fresh.ancestors(name)
         center = chain[-1].to if chain else name
         field = partition_field(fresh[center])
-        if field is None or dimension:
+        if name in old.contributions and name in fresh.contributions:
+            was, new = old.contributions[name], fresh.contributions[name]
+            out.tables[name] = retract(old[name], df, was, new, since)
+            out.contributions[name] = replace_stale(was, new, since, PARTITION)
+        elif field is None or dimension:
             out.tables[name] = upsert(old[name], df)
         elif not chain:
             out.tables[name] = replace_stale(old[name], df, since, field)
@@ -126,4 +163,4 @@ def check_schema(old: StarSchema, fresh: StarSchema) -> None:
         raise ValueError(f"the target's tables differ from the job's in {differ}")
 
 
-__all__ = ["DIMENSION", "KEY", "check_schema", "closed", "cutoff", "period_start", "refresh", "replace_stale", "replace_stale_children", "stable_rows", "transient_rows", "upsert"]
+__all__ = ["DIMENSION", "KEY", "check_schema", "closed", "cutoff", "period_start", "refresh", "replace_stale", "replace_stale_children", "retract", "stable_rows", "transient_rows", "upsert"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from visitmart.functions import dates
 from visitmart.functions.keys import KeyFactory, hash_key
-from visitmart.model import DIMENSION, FACT, KEY, LABEL, Field, Measure, Relation, StarSchema, columns_of, with_roles
+from visitmart.model import DIMENSION, FACT, KEY, LABEL, PARTITION, Field, Measure, Relation, StarSchema, columns_of, group_columns, with_roles
 from visitmart.operators.aggregate import PLACE, aggregate, grouping, merge_tables, with_deferred, with_labels
 from visitmart.operators.scopes import Scope
 
@@ -27,6 +27,13 @@ class TableDef:
     tables: list[TableDef] = field(default_factory=list)
 
 
+@dataclass
+class Center:
+    """A table that hangs on no other, and its partition field, once that is known."""
+
+    partition: Field | None = None
+
+
 @dataclass
 class Lookup:
     """A dimension table in the making."""
@@ -34,6 +41,8 @@ class Lookup:
     shape: list[tuple[str, str]]
     key: str | None
     parts: list[tuple[DataFrame, list[Field]]] = field(default_factory=list)
+    #: for each part the center table that it stands below
+    centers: list[Center] = field(default_factory=list)
     finish: Callable[[DataFrame, list[Field]], DataFrame] | None = None
 
 
@@ -46,6 +55,7 @@ class Context:
     lookups: dict[str, Lookup] = field(default_factory=dict)
     star: StarSchema = field(default_factory=StarSchema)
     serial: int = 0
+    center: Center = field(default_factory=Center)
     #: names that more than one definition has; their parts are merged at the end
     repeated: set[str] = field(default_factory=set)
     parts: dict[str, list[tuple[list[Field], DataFrame]]] = field(default_factory=dict)
@@ -74,6 +84,7 @@ class Context:
             raise ValueError(f"dimension {name!r} has fields {entry.shape}, not {shape}")
         present = F.coalesce(*[f.expr.cast("string") for f in shown]).isNotNull()
         entry.parts.append((scope.df.where(present), fields))
+        entry.centers.append(self.center)
         role = KEY if key else DIMENSION
         if explicit:
             made = [Field(f.name, role, F.when(present, f.expr), lookup=(name, f.name)).affix(prefix) for f in explicit]
@@ -107,12 +118,34 @@ class Context:
             if any(f.late for f in out):
                 whole = with_labels(whole.drop(*[f.name for f in out if f.late]), out)
             self.star.tables[name] = with_roles(whole, out)
+            if any(f.role == FACT for f in fields) and all(c.partition is not None for c in entry.centers):
+                self.star.contributions[name] = self.contributions(name, entry)
             for f in fields:
                 if f.lookup:
                     self.relate(name, [f])
         self.star.measures = [m for t in self.star.tables for m in standard_measures(self.star, t)]
         return self.star
 
+    def contributions(self, name: str, entry: Lookup) -> DataFrame:
+        """What the partitions of its centers give to a dimension's facts. A visit lies in one partition, so that
+        they add up to the facts also where those count once for each visit."""
+        by, parts = group_columns(self.star[name]), []
+        for (df, own), center in zip(entry.parts, entry.centers, strict=True):
+            group = grouping(own)
+            at = Field(PARTITION, group[0].role, center.partition.expr)
+            part = aggregate(df, [*group, at, *[f for f in own if f.role == FACT]])
+            if entry.key is not None:
+                part = part.withColumn(entry.key, self.key_factory([F.col(f"`{f.name}`") for f in group]))
+            parts.append(part)
+        facts = columns_of(self.star[name], FACT)
+        columns = [F.col(f"`{c}`") for c in (*by, PARTITION)]
+        together = parts[0]
+        for part in parts[1:]:
+            together = together.unionByName(part)
+        if len(parts) > 1:
+            together = together.groupBy(*columns).agg(*[F.sum(f"`{c}`").alias(c) for c in facts])
+        return together.select(*columns, *[F.col(f"`{c}`") for c in facts])
+
     def relate(self, table: str, fields: list[Field]) -> None:
         """A relation for each dimension that some of the fields refer to."""
         todo: list[Field] = [f for f in fields if f.lookup]
@@ -127,7 +160,11 @@ class Context:
     def run(self, definition: TableDef, scope: Scope, parent: tuple[str, list[tuple[str, str]]] | None = None, prefix: str = "") -> None:
         """``parent``: its name, and its keys with the columns that carry them."""
         for postfix, inner in definition.expand(self, scope):
+            if parent is None:
+                self.center = Center()
             inner, fields = self.fields(inner, definition.fields)
+            if parent is None:
+                self.center.partition = next((f for f in fields if f.kind == "Partition"), None)
             if not fields:  # a level without fields is passed through
                 for child in definition.tables:
                     self.run(child, inner, parent)
@@ -201,7 +238,7 @@ def extract_tables(scope: Scope, definitions: list[TableDef], context: Context |
                 context.run(definition, scope)
             return context.finish()
         except RepeatedName as name:  # plans are lazy: nothing was read yet
-            context = replace(context, lookups={}, star=StarSchema(), serial=0, parts={}, repeated=context.repeated | {str(name)})
+            context = replace(context, lookups={}, star=StarSchema(), serial=0, center=Center(), parts={}, repeated=context.repeated | {str(name)})
 
 
 # dimensions of dates and times

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitmart.model import Relation, StarSchema
-from visitmart.operators.incremental import check_schema, closed, partition_field, upsert
+from visitmart.model import PARTITION, Relation, StarSchema
+from visitmart.operators.incremental import CLEAR, check_schema, closed, partition_field, retract, upsert
 from visitmart.operators.joins import same
 from visitmart.plans.measures import table_order
 
@@ -100,42 +102,62 @@ class Conflict(Exception):
 
 
 class VersionedStore:
-    """Tables in numbered versions.
-
-    A version is a small manifest that names, for each table, the folders that hold its rows, and from which
-    partition on a folder's rows count no more. Each attempt to write has folders of its own; a version shows only
-    once its manifest exists, which the file system creates for one writer alone. So of two writers that began from
-    the same version one has to begin again from the other's, readers keep what they have, and a refresh writes what
-    it has read: folders of closed partitions are only named again. Any file system that can create a file
-    exclusively will do. Earlier versions stay until removed.
+    """Tables in numbered versions: a log of manifests beside folders of rows.
+
+    A manifest is whole in itself: for each table it names the folders that hold its rows, each with the least and
+    the greatest of its partitions, its rows, and from which partition on its rows count no more. It is written aside and
+    then renamed to its number, which only one writer can do: a version is there in whole or not at all, a writer
+    that dies leaves nothing that could block others, and of two writers that began from the same version one begins
+    again from the other's. Readers keep what they have. A refresh writes what it has read; folders of closed
+    partitions are only named again, and folders of stale ones no more.
+
+    Where a table has ``fanout`` folders of about one size in a row, they become one (:meth:`compact`), so that a
+    table has some ``fanout * log(refreshes)`` folders at most and a row is written again as often as that
+    logarithm. :meth:`vacuum` removes what kept versions don't name. Local files are published by hard links, others
+    by the store's rename, which must fail where the target exists, as it does on HDFS.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, fanout: int = 8, remember: int = 10_000):
+        self.spark, self.path, self.fanout, self.remember = spark, path.rstrip("/"), fanout, remember
 
-    # manifests: {version, batch, cutoff, schema, tables: {name: [[folder, until], ...]}, partitions: {name: column}}
+    # manifests: {version, batch, applied, cutoff, schema, parts, tables: {name: [entry, ...]}, contributions: {name: [entry, ...]}}
+    # entries: [folder, until, least partition, greatest partition, rows, rows of no partition]
 
     def _folder(self, name: str):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def commits(self) -> list[dict[str, Any]]:
-        """The manifests, in order; one that a dying writer left unfinished doesn't count."""
-        path, store = self._folder("commits")
-        if not store.exists(path) or not len(store.listStatus(path)):
+    def _names(self, folder: str) -> list[tuple[str, float]]:
+        """(name, seconds since 1970 when it last changed) of what lies in a folder."""
+        path, store = self._folder(folder)
+        if not store.exists(path):
             return []
-        rows = self.spark.read.text(f"{self.path}/commits", wholetext=True).collect()  # one for each version
+        return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in store.listStatus(path)]
+
+    def _versions(self) -> list[str]:
+        return sorted((n for n, _ in self._names("commits") if n.isdigit()), key=int)
+
+    def _load(self, names: list[str]) -> list[dict[str, Any]]:
+        rows = self.spark.read.text([f"{self.path}/commits/{n}" for n in names], wholetext=True).collect() if names else []
         done = []
         for r in rows:
             try:
                 done.append(json.loads(r["value"]))
-            except ValueError:
+            except ValueError:  # no version: nothing that this class publishes is unfinished
                 continue
         return sorted(done, key=lambda m: m["version"])
 
+    def commits(self) -> list[dict[str, Any]]:
+        """The manifests that are still there, in order."""
+        return self._load(self._versions())
+
     def manifest(self) -> dict[str, Any] | None:
-        return next(iter(self.commits()[-1:]), None)
+        """The last version's; no other is read."""
+        for name in reversed(self._versions()):
+            if found := self._load([name]):
+                return found[0]
+        return None
 
     def state(self) -> dict[str, Any] | None:
         """The last commit: version, batch and cut-off."""
@@ -145,49 +167,110 @@ class VersionedStore:
         at = last["cutoff"]
         return {"version": last["version"], "batch": last["batch"], "cutoff": datetime.fromisoformat(at) if at else None}
 
-    def applied(self, batch: str) -> bool:
-        return any(m["batch"] == batch for m in self.commits())
-
-    def read(self, manifest: dict[str, Any] | None = None) -> StarSchema | None:
-        """The star schema of a manifest, the last one's if none is given."""
+    def applied(self, batch: str, last: dict[str, Any] | None = None) -> bool:
+        """Batches named "stream/number" count as applied up to the stream's highest; of others the last
+        ``remember`` names are known."""
+        last = last or self.manifest()
+        if last is None:
+            return False
+        stream, _, number = batch.rpartition("/")
+        if stream and number.isdigit():
+            return int(number) <= last["applied"]["streams"].get(stream, -1)
+        return batch in last["applied"]["named"]
+
+    def _with_batch(self, last: dict[str, Any] | None, batch: str | None) -> dict[str, Any]:
+        known = last["applied"] if last else {"streams": {}, "named": []}
+        if batch is None:
+            return known
+        stream, _, number = batch.rpartition("/")
+        if stream and number.isdigit():
+            return {"streams": known["streams"] | {stream: int(number)}, "named": known["named"]}
+        return {"streams": known["streams"], "named": [*known["named"], batch][-self.remember :]}
+
+    def read(self, manifest: dict[str, Any] | None = None, since: Any = None, until: Any = None) -> StarSchema | None:
+        """The star schema of a manifest, the last one's if none is given. With ``since`` or ``until``, tables with partitions
+        have the rows of partitions from the one to before the other, and folders without such aren't opened."""
         manifest = manifest or self.manifest()
         if manifest is None:
             return None
         star = _relations(manifest["schema"])
         for name, value in manifest["schema"]["tables"].items():
-            schema, parts = T.StructType.fromJson(value), []
-            for folder, until in manifest["tables"][name]:
-                df = self.spark.read.parquet(f"{self.path}/{folder}")
-                if until is not None:
-                    df = df.where(closed(until, PARTITION))
-                parts.append(df.select(*[F.col(f"`{c.name}`").cast(c.dataType).alias(c.name, metadata=c.metadata) for c in schema.fields]))
-            star.tables[name] = reduce(DataFrame.unionByName, parts)
+            star.tables[name] = self._table(manifest["tables"][name], T.StructType.fromJson(value), since, until)
+        for name, value in manifest["parts"].items():
+            star.contributions[name] = self._table(manifest["contributions"][name], T.StructType.fromJson(value), None, None)
         return star
 
-    def _write(self, name: str, df: DataFrame) -> str:
+    def _table(self, entries: list[list], schema: T.StructType, since: Any, until: Any, whole: bool = False) -> DataFrame:
+        low, high = (None if x is None else _moment(x) for x in (since, until))
+        bounded = low is not None or high is not None
+        shown = [F.col(f"`{c.name}`").cast(c.dataType).alias(c.name, metadata=c.metadata) for c in schema.fields]
+        parts = []
+        for folder, ends, least, greatest, _, nulls in entries:
+            apart = least is not None and ((high is not None and least >= high) or (low is not None and greatest < low))
+            if bounded and (apart or (least is None and nulls)):
+                continue
+            df = self.spark.read.parquet(f"{self.path}/{folder}")
+            has = PARTITION in df.columns
+            if ends is not None:
+                df = df.where(closed(ends, PARTITION))
+            if bounded and has:
+                at = F.col(PARTITION)
+                df = df.where((at >= F.lit(low).cast("timestamp_ntz")) if low is not None else at.isNotNull())
+                df = df.where((at < F.lit(high).cast("timestamp_ntz")) if high is not None else F.lit(True))
+            parts.append(df.select(*shown, *[F.col(PARTITION)] * (whole and PARTITION not in schema.names)))
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
+
+    def _write(self, name: str, df: DataFrame) -> list:
+        """Writes rows into a folder of their own; its entry, with what was seen of the partitions on the way."""
         folder = f"data/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
-        return folder
-
-    def _commit(self, last: dict[str, Any] | None, star: StarSchema, tables: dict[str, list], batch: str | None, cutoff: Any) -> int:
-        version = last["version"] + 1 if last else 1
-        made = {"version": version, "batch": batch, "cutoff": None if cutoff is None else str(cutoff), "schema": describe(star), "tables": tables}
+        seen = Observation()
+        at = F.col(PARTITION) if PARTITION in df.columns else F.lit(None).cast("timestamp_ntz")
+        counted = [F.count(F.lit(1)).alias("rows"), F.min(at).alias("least"), F.max(at).alias("greatest"), F.count(at).alias("placed")]
+        df.observe(seen, *counted).write.parquet(f"{self.path}/{folder}")
+        got = seen.get
+        least, greatest = (None if got[c] is None else _moment(got[c]) for c in ("least", "greatest"))
+        return [folder, None, least, greatest, got["rows"], got["rows"] - got["placed"]]
+
+    def _publish(self, version: int, text: str) -> None:
+        """The manifest under its number, if no other writer has taken that."""
+        taken = Conflict(f"version {version} of {self.path}")
         path, store = self._folder(f"commits/{version:08d}")
+        aside, _ = self._folder(f"commits/_{uuid.uuid4().hex}")
         store.mkdirs(path.getParent())
-        try:
-            out = store.create(path, False)
-        except Exception as taken:
-            if "AlreadyExists" in str(taken):
-                raise Conflict(f"version {version} of {self.path}") from None
-            raise
-        out.write(bytearray(json.dumps(made).encode()))
+        out = store.create(aside, False)
+        out.write(bytearray(text.encode()))
         out.close()
+        try:
+            if store.getScheme() == "file":  # its rename would overwrite
+                os.link(aside.toUri().getPath(), path.toUri().getPath())
+            elif store.exists(path) or not store.rename(aside, path):
+                raise taken
+        except FileExistsError:
+            raise taken from None
+        finally:
+            store.delete(aside, False)
+
+    def _commit(
+        self, last: dict[str, Any] | None, star: StarSchema, tables: dict[str, list], batch: str | None, cutoff: Any, contributions: dict[str, list] | None = None
+    ) -> int:
+        parts = {n: star.contributions[n].schema.jsonValue() for n in contributions or ()}
+        made = {
+            "batch": batch, "applied": self._with_batch(last, batch), "cutoff": None if cutoff is None else str(cutoff), "schema": describe(star),
+            "parts": parts, "tables": tables, "contributions": contributions or {},
+        }
+        return self._next(last, made)
+
+    def _next(self, last: dict[str, Any] | None, made: dict[str, Any]) -> int:
+        # a name that isn't a version, if there were one, is passed over
+        after = last["version"] if last else 0
+        version = max([after, *[int(n) for n in self._versions() if int(n) > after and not self._load([n])]]) + 1
+        self._publish(version, json.dumps(made | {"version": version}))
         return version
 
     def _again(self, attempt: Callable[[dict[str, Any] | None], int], batch: str | None, tries: int = 10) -> int:
         for left in range(tries, 0, -1):
             last = self.manifest()
-            if batch is not None and self.applied(batch):
+            if batch is not None and self.applied(batch, last):
                 return last["version"]
             try:
                 return attempt(last)
@@ -202,34 +285,125 @@ class VersionedStore:
 
         def attempt(last: dict[str, Any] | None) -> int:
             star = change(self.read(last) if last else None)
-            return self._commit(last, star, {n: [[self._write(n, with_partition(star, n)), None]] for n in star.tables}, batch, cutoff)
+            parts = {n: [self._write(n, df)] for n, df in star.contributions.items()}
+            return self._commit(last, star, {n: [self._write(n, with_partition(star, n))] for n in star.tables}, batch, cutoff, parts)
 
         return self._again(attempt, batch)
 
-    def replace(self, fresh: StarSchema, since: Any, batch: str | None = None, cutoff: Any = None) -> int:
+    def replace(self, fresh: StarSchema, since: Any, batch: str | None = None, cutoff: Any = None, clear: str = "none") -> int:
         """What :func:`visitmart.operators.incremental.refresh` does from ``since`` on, but of tables with partitions
-        (center tables with a partition field, and those below them) only the fresh rows are written."""
-        start = (since if isinstance(since, datetime) else datetime.fromisoformat(str(since))).isoformat(" ", "microseconds")
+        (center tables with a partition field, those below them, and contributions to dimensions) only the fresh rows are
+        written. Many folders are then made fewer, in a version of its own."""
+        if clear not in CLEAR:
+            raise ValueError(f"clear is one of {CLEAR}")
+        start = _moment(since)
 
         def attempt(last: dict[str, Any] | None) -> int:
-            old = self.read(last) if last else None
+            old = None if last is None or clear == "all" else self.read(last)
             if old is not None:
                 check_schema(old, fresh)
-            tables = {}
+            tables, parts = {}, {}
             for name in fresh.tables:
-                if partition_column(fresh, name) is None or old is None:
-                    whole = fresh[name] if old is None else upsert(old[name], fresh[name])
-                    tables[name] = [[self._write(name, with_partition(fresh, name) if old is None else whole), None]]
-                    continue
-                kept = [[folder, start if until is None else min(until, start)] for folder, until in last["tables"][name]]
-                tables[name] = [*kept, [self._write(name, with_partition(fresh, name)), None]]
-            return self._commit(last, fresh, tables, batch, cutoff)
-
-        return self._again(attempt, batch)
-
-
-#: The column of a stored table that says which partition a row belongs to.
-PARTITION = "__partition"
+                dimension = fresh.is_dimension(name) and not fresh.is_center(name)
+                emptied = old is None or (clear == "dimensions" and dimension) or (clear == "facts" and not dimension)
+                rows, given = with_partition(fresh, name), fresh.contributions.get(name)
+                if given is not None:
+                    before = [] if emptied or name not in old.contributions else _closed(last["contributions"][name], start)
+                    parts[name] = _joined(before, self._write(name, given))
+                if emptied:
+                    tables[name] = [self._write(name, rows)]
+                elif partition_column(fresh, name) is not None:
+                    tables[name] = _joined(_closed(last["tables"][name], start), self._write(name, rows))
+                elif given is not None and name in old.contributions:
+                    tables[name] = [self._write(name, retract(old[name], fresh[name], old.contributions[name], given, start))]
+                else:
+                    tables[name] = [self._write(name, upsert(old[name], fresh[name]))]
+            return self._commit(last, fresh, tables, batch, cutoff, parts)
+
+        version = self._again(attempt, batch)
+        try:
+            return self.compact(tries=1) or version
+        except Conflict:  # whoever came first will do it
+            return version
+
+    def compact(self, tries: int = 10) -> int | None:
+        """Makes one folder of each run of ``fanout`` folders of about one size: a version with the same rows. None where
+        there is no such run."""
+
+        def attempt(last: dict[str, Any] | None) -> int | None:
+            if last is None:
+                return None
+            changed = False
+            made = dict(last)
+            for kind, schemas in (("tables", last["schema"]["tables"]), ("contributions", last["parts"])):
+                made[kind] = {}
+                for name, entries in last[kind].items():
+                    out = []
+                    for run in _runs(entries, self.fanout):
+                        if len(run) == 1:
+                            out += run
+                            continue
+                        df = self._table(run, T.StructType.fromJson(schemas[name]), None, None, whole=True)
+                        # rows of a partition lie together, those of a large one in several files
+                        df = df.repartitionByRange(F.col(PARTITION), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).sortWithinPartitions(PARTITION)
+                        out.append(self._write(name, df))
+                        changed = True
+                    made[kind][name] = out
+            return self._next(last, made) if changed else None
+
+        return self._again(attempt, None, tries)
+
+    def vacuum(self, keep: int = 2, grace: timedelta = timedelta(days=1)) -> int:
+        """Removes all versions but the last ``keep``, and the folders that these don't name. What is younger than ``grace`` stays,
+        as a writer may be about to name it. Returns how many files and folders went."""
+        versions, old = self._versions(), time.time() - grace.total_seconds()
+        kept = self._load(versions[-keep:])
+        named = {e[0].removeprefix("data/") for m in kept for kind in ("tables", "contributions") for entries in m[kind].values() for e in entries}
+        files = {n: t for n, t in self._names("commits")}
+        gone = [f"commits/{n}" for n in versions[:-keep]] + [f"commits/{n}" for n, t in files.items() if not n.isdigit() and t < old]
+        gone += [f"data/{n}" for n, t in self._names("data") if n not in named and t < old] if kept else []
+        for name in gone:
+            path, store = self._folder(name)
+            store.delete(path, True)
+        return len(gone)
+
+
+def _moment(value: Any) -> str:
+    """A moment or a day as text of one length, so that order of text is order of time."""
+    if isinstance(value, datetime):
+        return value.isoformat(" ", "microseconds")
+    if isinstance(value, date):
+        return datetime(value.year, value.month, value.day).isoformat(" ", "microseconds")
+    return datetime.fromisoformat(str(value)).isoformat(" ", "microseconds")
+
+
+def _closed(entries: list[list], start: str) -> list[list]:
+    """What is left of folders when the partitions from ``start`` on are stale. Rows of no partition stay."""
+    out = []
+    for folder, until, least, greatest, rows, nulls in entries:
+        if greatest is None or greatest < start:
+            out.append([folder, until, least, greatest, rows, nulls])
+        elif least < start or nulls:
+            out.append([folder, start if until is None else min(until, start), least if least < start else None, start if least < start else None, rows, nulls])
+    return out
+
+
+def _joined(entries: list[list], new: list) -> list[list]:
+    return [*entries, new] if new[4] or not entries else entries
+
+
+def _runs(entries: list[list], fanout: int) -> list[list[list]]:
+    """Neighbours, those that are to become one together."""
+    out: list[list[list]] = []
+    tiers = [max(0, e[4]).bit_length() // max(1, (fanout - 1).bit_length()) for e in entries]
+    at = 0
+    while at < len(entries):
+        end = at + 1
+        while end < len(entries) and tiers[end] == tiers[at]:
+            end += 1
+        out += [entries[at:end]] if end - at >= fanout else [[e] for e in entries[at:end]]
+        at = end
+    return out
 
 
 def partition_column(star: StarSchema, name: str) -> str | None:

@@ -11,11 +11,11 @@ from pyspark.sql import SparkSession
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``; only a local session without it (tests) gets a folder of its own.
     On a cluster each machine would write to a disk that the others don't see, so that its absence is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/visitmart/{name}-{uuid.uuid4().hex}"
