@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
@@ -9,10 +10,38 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.functions.scalar import sample_position
+from visitmart.functions.scalar import partition_start, sample_position
 from visitmart.operators.splits import Condition, conditions_met
 
 
+#: Columns of a layout that filters prune (see :mod:`visitmart.sources.clustered`): the period that a moment lies in, and
+#: the share of the id space; their metadata tell of which field, and how long or how many.
+PERIOD, SHARE = "__period", "__share"
+
+
+def _layout(df: DataFrame, column: str, field: str) -> dict[str, Any] | None:
+    found = next((c.metadata for c in df.schema.fields if c.name == column), {})
+    return found if found.get("field") == field else None
+
+
+def periods(df: DataFrame, field: str, start: Any = None, end: Any = None) -> Column:
+    """A condition on ``df``'s layout that holds for all rows with ``start <= field < end``; true where it has none."""
+    known, out = _layout(df, PERIOD, field), F.lit(True)
+    if known is None:
+        return out
+    if start is not None:
+        out &= F.col(PERIOD) >= partition_start(F.lit(start).cast("timestamp_ntz"), known["days"]).cast("date")
+    if end is not None:
+        out &= F.col(PERIOD) <= partition_start(F.lit(end).cast("timestamp_ntz"), known["days"]).cast("date")
+    return out
+
+
+def shares(df: DataFrame, field: str, low: float, high: float) -> Column:
+    """The same for ids whose place lies in [low, high)."""
+    known = _layout(df, SHARE, field)
+    return F.lit(True) if known is None else F.col(SHARE).between(math.floor(low * known["shares"]), math.ceil(high * known["shares"]) - 1)
+
+
 @dataclass(frozen=True)
 class Filter:
     apply: Callable[[DataFrame], DataFrame]
@@ -33,13 +62,14 @@ def date_range(start: str | None = None, end: str | None = None, field: str = "s
         condition &= F.col(field) >= F.lit(start).cast("timestamp_ntz")
     if end is not None:
         condition &= F.col(field) < F.lit(end).cast("timestamp_ntz")
-    return where(condition, staging)
+    return Filter(lambda df: df.where(periods(df, field, start, end) & condition), staging)
 
 
 def sample(share: float, offset: float = 0.0, field: str = "visit_id") -> Filter:
     """Ids whose place in the id space lies in [offset, min(1, offset + share)): disjoint offsets, disjoint samples."""
     place = sample_position(F.col(field))
-    return where((place >= offset) & (place < min(1.0, offset + share)), staging=True)
+    high = min(1.0, offset + share)
+    return Filter(lambda df: df.where(shares(df, field, offset, high) & (place >= offset) & (place < high)), staging=True)
 
 
 def limit(count: int, skip: int = 0, order: tuple[str, ...] = ("start_ts", "visit_id")) -> Filter:
@@ -107,7 +137,7 @@ def _walk(value: Column, path: str) -> Column:
 def incremental(filters: list[Filter], cutoff: Any, field: str = "save_ts") -> list[Filter]:
     """Filters for a refresh: those for trial runs go, and only what was saved since the cut-off is read."""
     kept = [f for f in filters if not f.staging]
-    return kept if cutoff is None else [*kept, where(F.col(field) >= F.lit(cutoff).cast("timestamp_ntz"))]
+    return kept if cutoff is None else [*kept, date_range(start=cutoff, field=field, staging=False)]
 
 
 def apply_all(df: DataFrame, filters: list[Filter]) -> DataFrame:

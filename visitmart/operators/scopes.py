@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitmart.functions.sequence import runs
 from visitmart.model import EVENT, PAGE, VISIT
 from visitmart.sources.shared import shared_path
 
@@ -121,10 +122,7 @@ def pairs(scope: Scope, items: Column, links: bool = False) -> DataFrame:
             lambda a, b: F.struct(a.alias("one"), b.alias("two"), F.lit(1).cast("long").alias("weight")),
         )
         return scope.df.withColumn("__items", items).select("*", F.inline(both))
-    counted = F.transform(
-        F.array_distinct("__items"), lambda x: F.struct(x.alias("x"), F.size(F.filter("__items", lambda y: y.eqNullSafe(x))).cast("long").alias("n"))
-    )
-    df = scope.df.withColumn("__items", items).withColumn("__counted", counted)
+    df = scope.df.withColumn("__items", items).withColumn("__counted", runs(F.col("__items")))
     df = df.select("*", F.explode("__counted").alias("__a")).select("*", F.explode("__counted").alias("__b"))
     return df.select("*", F.col("__a.x").alias("one"), F.col("__b.x").alias("two"), (F.col("__a.n") * F.col("__b.n")).alias("weight"))
 

@@ -14,14 +14,17 @@ from visitmart.functions.scalar import partition_start
 from visitmart.model import DIMENSION, KEY, StarSchema
 from visitmart.operators import filters, incremental, joins, scopes
 from visitmart.operators.aggregate import first_per_key, merge_tables
+from visitmart.operators.distinct import count_visitors, visitor_bitmaps
 from visitmart.plans.builder import Table
 from visitmart.plans.measures import measure_query, order_columns, presentation
 from visitmart.plans.report import run_report
 from visitmart.plans.spec import custom_expander, custom_field, custom_filter, custom_splitter, default_spec, extract
+from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
 from visitmart.sources.shared import shared_path
 from visitmart.sources.visits import normalise, visits_by_session, visits_by_week, visits_from_orders
 from visitmart.streaming.refresh import refresh_stream, windowed_facts
+from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -834,6 +837,59 @@ def stream_windows(spark, d):
     return out.select(F.to_date("PeriodStart").alias("day"), "Country", "Visits", "Value", "PageViews")
 
 
+@query(f"""WITH {SESSION}, c AS (SELECT visit_id, any_value(user_id) AS user_id, max(ts) AS last, max(page_pos) AS pages, count(*) AS events, sum(CASE WHEN is_goal THEN value ELSE 0 END) AS gvalue FROM se GROUP BY 1)
+SELECT user_id AS "ContactId", CAST(count(*) AS BIGINT) AS "Visits", CAST(sum(gvalue) AS BIGINT) AS "Value", CAST(sum(pages) AS BIGINT) AS "PageViews" FROM c
+WHERE last + INTERVAL 8 HOUR <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 DAY GROUP BY 1""")
+def stream_sessions(spark, d):
+    """Events that come in ten batches, as visits that may run over several of them: state keeps the open ones, and
+    closed ones are refreshed into a store. The last ones stay open, as the watermark doesn't pass them."""
+    events, path = read(spark, d, "events"), shared_path(spark, "sessions")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    for part in range(10):
+        begin, end = (low + (high - low) * i / 10 for i in (part, part + 1))
+        rows = events.where((F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) if part < 9 else F.lit(True)))
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    store, spec = VersionedStore(spark, f"{path}/store"), tables({"name": "Visits", "fields": ["contactid", {"facts": ["Visits", "Value", "PageViews"]}]})
+    refresh_stream(closed_sessions(stream), lambda batch: extract(visits_of_sessions(batch), spec), store, f"{path}/checkpoint").awaitTermination()
+    return store.read()["Visits"]
+
+
+@query(f"""WITH {ORDERS}, v AS (SELECT contact_id, start_ts FROM ov) SELECT 'month' AS level, CAST(date_trunc('month', start_ts) AS DATE) AS period, CAST(count(DISTINCT contact_id) AS BIGINT) AS "UniqueVisitors" FROM v GROUP BY 2
+UNION ALL SELECT 'year', CAST(date_trunc('year', start_ts) AS DATE), CAST(count(DISTINCT contact_id) AS BIGINT) FROM v GROUP BY 2""")
+def unique_visitors_rollup(spark, d):
+    """Different contacts of months and years, from bitmaps of days of which the stale ones were replaced."""
+    first, second, since = _loads(spark, d)
+    stale = first.withColumn("contact_id", F.when(F.col("save_ts") >= F.lit(since).cast("timestamp_ntz"), -F.col("contact_id")).otherwise(F.col("contact_id")))
+    old, fresh = (visitor_bitmaps(df.withColumn("Day", F.date_trunc("day", "start_ts").cast("timestamp_ntz")), ["Day"]) for df in (stale, second))
+    days = incremental.replace_stale(old, fresh, since, "Day")
+    out = []
+    for level in ("month", "year"):
+        period = days.withColumn("period", F.date_trunc(level, "Day").cast("date"))
+        out.append(count_visitors(period, ["period"]).select(F.lit(level).alias("level"), "period", "UniqueVisitors"))
+    return out[0].unionByName(out[1])
+
+
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    path = shared_path(spark, "clustered")
+    write_clustered(orders(spark, d), path, days=91, shares=4)
+    return read_clustered(spark, path)
+
+
+@query(f"WITH {ORDERS} SELECT country AS \"Country\", {VISIT_FACTS} FROM ov WHERE start_ts >= TIMESTAMP '1996-04-01' AND start_ts < TIMESTAMP '1996-06-01' GROUP BY 1")
+def clustered_daterange(spark, d):
+    """Visits saved within two months, from a layout of which other periods aren't opened."""
+    wanted = {"source": {"filters": [{"daterange": {"start": "1996-04-01", "end": "1996-06-01", "field": "save_ts"}}]}}
+    return extract(_clustered(spark, d), tables({"name": "Visits", "fields": [GEO[0], "facts"]}) | wanted)["Visits"]
+
+
+@query(f"WITH {ORDERS}, p AS (SELECT *, CAST('0x' || substr(md5(CAST(visit_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 AS place FROM ov) SELECT country AS \"Country\", {VISIT_FACTS} FROM p WHERE place >= 0.3 AND place < 0.45 GROUP BY 1")
+def clustered_sample(spark, d):
+    """A sample of 15 % of the ids, from the one share of four that holds them."""
+    wanted = {"source": {"filters": [{"sample": {"percentage": 0.15, "offset": 0.3}}]}}
+    return extract(_clustered(spark, d), tables({"name": "Visits", "fields": [GEO[0], "facts"]}) | wanted)["Visits"]
+
+
 @query(f"WITH {WEEK} SELECT max(value) AS \"Best\", CAST(visit_id AS BIGINT) AS \"VisitId\" FROM we WHERE name = 'purchase' GROUP BY visit_id HAVING max(value) IS NOT NULL")
 def empty_rows_suppressed(spark, d):
     """A row needs one value at least."""

@@ -29,7 +29,7 @@ def normalise(visits: DataFrame) -> DataFrame:
     return visits.withColumn("pages", F.coalesce(pages, F.array().cast(kind)))
 
 
-def _events(df: DataFrame) -> DataFrame:
+def event_rows(df: DataFrame) -> DataFrame:
     goal = F.col("event_type").isin("purchase", "signup")
     return df.select(
         "user_id", "ts", "event_id", F.get_json_object("props", "$.k").cast("long").alias("item_id"),
@@ -40,7 +40,7 @@ def _events(df: DataFrame) -> DataFrame:
 _EVENT = ("ts", "event_id", "name", "value", "is_goal")
 
 
-def _visits(rows: DataFrame) -> DataFrame:
+def nest_visits(rows: DataFrame) -> DataFrame:
     """Visits from events that carry ``visit_id``, ``user_id`` and ``page`` (a label that orders the pages).
 
     Two aggregates, by page and by visit. The rows are already partitioned by visit, or by user, so neither
@@ -73,7 +73,7 @@ def _visits(rows: DataFrame) -> DataFrame:
     )
 
 
-def _number_of(user: Column, width: int, n: Column) -> Column:
+def visit_number(user: Column, width: int, n: Column) -> Column:
     """A visit's id from its user and its number there (of ``width`` bits): no two visits share one. An error where
     a user's id leaves no room."""
     room = F.abs(user) < F.lit(1 << (63 - width))
@@ -83,8 +83,8 @@ def _number_of(user: Column, width: int, n: Column) -> Column:
 def visits_by_week(events: DataFrame) -> DataFrame:
     """A visit is a user's week, a page a day of it. One shuffle, by visit."""
     week = F.datediff(F.date_trunc("week", "ts").cast("date"), F.lit("1970-01-05").cast("date")) / 7
-    rows = _events(events).withColumn("visit_id", _number_of(F.col("user_id"), 20, week.cast("long") + (1 << 19)))
-    return _visits(rows.withColumn("page", F.to_date("ts")).repartition("user_id", "visit_id"))
+    rows = event_rows(events).withColumn("visit_id", visit_number(F.col("user_id"), 20, week.cast("long") + (1 << 19)))
+    return nest_visits(rows.withColumn("page", F.to_date("ts")).repartition("user_id", "visit_id"))
 
 
 def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "view") -> DataFrame:
@@ -94,7 +94,7 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
     A user's days are looked at on their own, and what follows from one to the next is decided from a row for each
     day, so that a user with very many events is not one task; a visit is.
     """
-    rows = _events(events).withColumn("__day", F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date"))).repartition("user_id", "__day")
+    rows = event_rows(events).withColumn("__day", F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date"))).repartition("user_id", "__day")
     away = lambda ts, before: F.coalesce(ts > before + F.expr(f"interval {gap}"), F.lit(True)).cast("int")
     in_day = Window.partitionBy("user_id", "__day").orderBy("ts", "event_id")
     rows = rows.withColumn("__new", F.when(F.row_number().over(in_day) == 1, 0).otherwise(away(F.col("ts"), F.lag("ts").over(in_day))))
@@ -105,10 +105,10 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
     days = days.select(F.col("user_id").alias("__user"), F.col("__day").alias("__of"), begun.alias("__begun"))
     rows = rows.join(days, F.col("user_id").eqNullSafe(F.col("__user")) & (F.col("__day") == F.col("__of")))
     n = F.col("__begun") + F.sum("__new").over(in_day.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("visit_id", _number_of(F.col("user_id"), 32, n))
+    rows = rows.withColumn("visit_id", visit_number(F.col("user_id"), 32, n))
     in_visit = Window.partitionBy("user_id", "visit_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     views = F.sum((F.col("name") == new_page).cast("int")).over(in_visit)
-    return _visits(rows.withColumn("page", F.greatest(views, F.lit(1))))
+    return nest_visits(rows.withColumn("page", F.greatest(views, F.lit(1))))
 
 
 def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
