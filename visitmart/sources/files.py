@@ -429,9 +429,3 @@ def with_partition(star: StarSchema, name: str) -> DataFrame:
         above = child.join(keys, same(child, relation.fields, keys, tuple(f"__up{i}_{n}" for n in range(len(relation.fields)))))
         above = above.select(*[F.col(f"`{c}`") for c in child.columns], PARTITION)
     return above
-
-
-def write_jdbc(star: StarSchema, url: str, properties: dict[str, str], mode: str = "append") -> None:
-    """Each table into a database."""
-    for name, df in star.tables.items():
-        df.write.jdbc(url, name, mode, properties)
