@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from visitmart.functions.sequence import runs, sequence_string
-from visitmart.operators import filters
+from visitmart.operators import filters, scopes
 from visitmart.operators.distinct import count_visitors, merge_bitmaps, visitor_bitmaps
 from visitmart.queries import orders
 from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.shared import shared_path
-from visitmart.sources.visits import normalise, visits_by_session
+from visitmart.sources.visits import normalise, visits_by_session, visits_by_week
 from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
 
 
@@ -139,3 +139,21 @@ def test_runs_grow_little_faster_than_the_list(spark):
         return best
 
     assert seconds(40_000) < 20 * seconds(4_000) + 1  # a filter for each element would take a hundred times as long
+
+
+@pytest.mark.parametrize("goals", [False, True])
+@pytest.mark.parametrize("pages", [False, True])
+def test_indexes_in_a_visit_need_no_shuffle(spark, data, goals, pages):
+    path = shared_path(spark, "visits")
+    visits_by_week(spark.read.parquet(f"{data}/events.parquet")).write.parquet(path)
+    scope = scopes.visits(normalise(spark.read.parquet(path)))
+    scope = scopes.to_events(scopes.to_pages(scope) if pages else scope, goals)
+    scope, index = scopes.with_index(scope, len(scope.chain) - 1, "n")
+    got = scope.df.select("visit_id", "page_pos", "event_pos", index.alias("n"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    seen = {}
+    for r in got.orderBy("visit_id", "page_pos", "event_pos").collect():
+        seen[r["visit_id"]] = seen.get(r["visit_id"], 0) + 1
+        assert r["n"] == seen[r["visit_id"]]
+    assert len(seen) > 50

@@ -28,6 +28,8 @@ class Scope:
     sliced: bool = False
     #: a value that a custom level stands on
     item: Column | None = None
+    #: an event's place among all events (or goals) of its visit, where it is known without looking at other rows
+    in_visit: Column | None = None
 
     def visit(self, path: str) -> Column:
         if self.sliced and path.lower() == "value":
@@ -64,13 +66,23 @@ def to_pages(scope: Scope) -> Scope:
     if scope.level == PAGE:
         return scope
     df = scope.df.select("*", F.posexplode(scope.pages).alias("page_pos", "page")).withColumn("page_pos", F.col("page_pos") + 1)
+    # how many events and goals the pages before have, from the nested row; nothing is computed where no index is asked for
+    before = F.slice(scope.pages, F.lit(1), F.col("page_pos") - 1)
+    df = df.withColumn("__events_before", _sum(F.transform(before, lambda p: F.size(p["events"]))))
+    df = df.withColumn("__goals_before", _sum(F.transform(before, lambda p: F.size(F.filter(p["events"], lambda e: e["is_goal"])))))
     return replace(scope, df=df, level=PAGE, chain=(*scope.chain, PAGE), page=F.col("page"))
 
 
 def to_events(scope: Scope, goals: bool = False) -> Scope:
     """One row for each event of the page in scope, else of all pages; ``event_pos`` is its place in its page."""
+    known = scope.chain in ((VISIT,), (VISIT, PAGE))
     if scope.page is not None:
         df = scope.df.select("*", F.posexplode(F.col("page.events")).alias("event_pos", "event")).withColumn("event_pos", F.col("event_pos") + 1)
+        in_visit = F.col("__events_before") + F.col("event_pos")
+        if goals:
+            df = df.where("event.is_goal")
+            up_to = F.slice("page.events", F.lit(1), F.col("event_pos"))
+            in_visit = F.col("__goals_before") + F.size(F.filter(up_to, lambda e: e["is_goal"]))
     else:
         placed = F.flatten(
             F.transform(
@@ -78,10 +90,12 @@ def to_events(scope: Scope, goals: bool = False) -> Scope:
                 lambda p, i: F.transform(p["events"], lambda e, j: F.struct((i + 1).alias("page_pos"), (j + 1).alias("event_pos"), e.alias("event"))),
             )
         )
-        df = scope.df.select("*", F.inline(placed))
-    if goals:
-        df = df.where("event.is_goal")
-    return replace(scope, df=df, level=EVENT, chain=(*scope.chain, EVENT), event=F.col("event"))
+        if goals:
+            placed = F.filter(placed, lambda x: x["event"]["is_goal"])
+        numbered = F.transform(placed, lambda x, i: F.struct(x["page_pos"].alias("page_pos"), x["event_pos"].alias("event_pos"), x["event"].alias("event"), (i + 1).alias("__in_visit")))
+        df = scope.df.select("*", F.inline(numbered))
+        in_visit = F.col("__in_visit")
+    return replace(scope, df=df, level=EVENT, chain=(*scope.chain, EVENT), event=F.col("event"), in_visit=in_visit if known else None)
 
 
 def to_parts(scope: Scope, value: Column, delimiter: str = "|", name: str = "part") -> Scope:
@@ -164,6 +178,8 @@ def _index_in(scope: Scope, up: int) -> Column:
         return F.col("page_pos")
     if scope.chain[at] == PAGE:
         return F.col("event_pos")
+    if at == 0 and scope.in_visit is not None:
+        return scope.in_visit.cast("int")
     return F.row_number().over(Window.partitionBy("visit_id").orderBy("page_pos", "event_pos"))
 
 
