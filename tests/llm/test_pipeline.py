@@ -39,4 +39,4 @@ def test_names(spark):
     import __spark_entry__ as entry
 
     queries = entry.queries()
-    assert "pipeline" in queries and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries if q.startswith("op") and q[2].isdigit()}
+    assert "pipeline" in queries and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries if q.startswith("op") and q[2].isdigit()}
