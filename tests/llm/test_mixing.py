@@ -83,3 +83,23 @@ def test_shards_get_disjoint_runs_and_even_quotas(spark, data):
     assert {k: len(v) for k, v in split.items()} == {"a": 100, "b": 37, "c": 1}
     sizes = [sum(v.count(s) for v in split.values()) for s in range(8)]
     assert max(sizes) - min(sizes) <= 2
+
+
+def test_a_node_splits_its_quotas_as_drawn_without_replacement(spark):
+    quotas = spark.createDataFrame([(f"s{i}", 20) for i in range(200)], "__key string, quota long")
+    split = {r["__key"]: r["shard_of"] for r in split_quotas(quotas, 4, 3).collect()}
+    assert all(len(v) == 20 and v == sorted(v) for v in split.values())
+    assert [sum(v.count(s) for v in split.values()) for s in range(4)] == [1000] * 4
+    left = [v.count(0) + v.count(1) for v in split.values()]
+    # hypergeometric: 2,000 of 4,000 units, of which 20 are a source's
+    want = 2000 * (20 / 4000) * (1 - 20 / 4000) * 2000 / 3999
+    assert abs(sum((x - 10) ** 2 for x in left) / 200 - want) < 1.6
+    below = [(v.count(0), v.count(0) + v.count(1)) for v in split.values()]  # the left child draws anew
+    assert abs(sum((a - n / 2) ** 2 for a, n in below) / 200 - sum(n / 4 for _, n in below) / 200) < 1
+
+
+def test_large_nodes_are_split_alike(spark):
+    quotas = spark.createDataFrame([("a", 900), ("b", 370), ("c", 1), ("d", 0), ("e", 2)], "__key string, quota long")
+    got = [sorted(map(tuple, split_quotas(quotas, 16, 1, most).collect())) for most in (10**6, 300, 1)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 4
+    assert split_quotas(quotas.limit(0), 4, 1).count() == 0 and split_quotas(quotas, 1, 1).count() == 4

@@ -3,9 +3,9 @@
 1. Each source's target is its share by weight of all words, up to a cap; the excess goes to the others.
 2. A source's documents fall into blocks by a hash, and a seeded permutation orders its blocks. A target takes
    the whole source so many times, then blocks in order, then a part of one last block: exact to the word.
-3. The blocks that each source is to give (its quota) are split among output shards by a binary tree: a node
-   passes half of its quota units to the left, chosen at random without replacement, which makes the numbers
-   by source multivariate-hypergeometric. A shard's part of a quota is a run of the source's block order, so
+3. The blocks that each source is to give (its quota) are split among output shards by a binary tree whose nodes
+   hold quotas by source: a node passes half of its quota units to the left, drawn without replacement, which makes
+   the numbers by source multivariate-hypergeometric. A shard's part of a quota is a run of the source's block order, so
    shards draw disjoint blocks. What a document gives to the mix is the sum of what shards draw of it.
 4. Within a shard, rows are ordered by a hash.
 
@@ -91,26 +91,59 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
     )
 
 
-def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+def _halves(quotas: DataFrame, seed: int) -> DataFrame:
+    """The next level of the tree: each node's quotas, (node, __key, quota), as those of its two children. The left one gets
+    half of the node's units, rounded up: the first ones in an order of the node's own. One shuffle, by node; units
+    are only spelled out after it, and counted again before the next."""
+    node = Window.partitionBy("node")
+    unit = _units(quotas.withColumn("of", F.sum("quota").over(node)), seed)
+    right = F.row_number().over(node.orderBy("order", "__key", "unit")) > F.floor((F.col("of") + 1) / 2)
+    return _children(unit.withColumn("right", right))
+
+
+def _units(quotas: DataFrame, seed: int) -> DataFrame:
+    unit = quotas.select("node", "__key", "of", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("unit"))
+    return unit.withColumn("order", _hash32(F.lit(f"{seed}/tree"), F.col("node").cast("string"), F.col("__key"), F.col("unit").cast("string")))
+
+
+def _children(unit: DataFrame) -> DataFrame:
+    counted = unit.groupBy("node", "right", "__key").agg(F.count(F.lit(1)).alias("quota"))
+    return counted.select((F.col("node") * 2 + F.col("right").cast("int")).alias("node"), "__key", "quota")
+
+
+def _halves_of_large(quotas: DataFrame, seed: int) -> DataFrame:
+    """The same as :func:`_halves` where a node has too many units for one task: its order falls into 4,096 parts, and only
+    the part that the middle lies in is looked at row by row."""
+    of = quotas.groupBy("node").agg(F.sum("quota").alias("of"))
+    unit = _units(quotas.join(F.broadcast(of), "node"), seed).withColumn("part", F.shiftright("order", 20))  # a row for each node
+    parts = unit.groupBy("node", "of", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("node").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    left = F.floor((F.col("of") + 1) / 2)
+    middle = parts.where((F.col("before") < left) & (left <= F.col("before") + F.col("n")))
+    middle = middle.select("node", F.col("part").alias("middle"), (left - F.col("before")).alias("room"))
+    unit = unit.join(F.broadcast(middle), "node")  # a row for each node
+    inside = unit.where("part = middle").withColumn(
+        "right", F.row_number().over(Window.partitionBy("node", "part").orderBy("order", "__key", "unit")) > F.col("room")
+    )
+    return materialize(_children(unit.where("part != middle").withColumn("right", F.expr("part > middle")).unionByName(inside)), "tree")
+
+
+def split_quotas(quotas: DataFrame, shards: int, seed: int, max_units: int = 2_000_000) -> DataFrame:
     """(__key, shard_of): for each source an array with the shard of each of its quota's units, in order.
 
-    All units stand in one random order. The root has all of them; a node passes the first half of its run to the
-    left and the rest to the right. How many units of each source go left is multivariate-hypergeometric, as the run
-    is in random order, and each source's numbers add up to its quota exactly.
+    A binary tree whose nodes hold quotas by source. The root (node 1) has all of them; node n draws half of its units
+    without replacement for node 2n and leaves the rest to node 2n + 1, so that each source's part is multivariate-
+    hypergeometric; a source's numbers add up to its quota exactly. The leaves are the shards. Levels whose nodes have
+    more than ``max_units`` units are split by parts of the order, with the same result.
     """
-    unit = quotas.where("quota > 0").select("__key", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("unit"))
-    unit = unit.withColumn("order", _hash32(F.lit(f"{seed}/tree"), F.col("__key"), F.col("unit").cast("string")))
-    unit = _numbered(unit, ["order", "__key", "unit"])
+    level = quotas.where("quota > 0").select(F.lit(1).alias("node"), "__key", "quota")
     total = quotas.agg(F.sum("quota")).first()[0] or 0
-    unit = unit.select("__key", "rank", F.lit(0).alias("node"), F.lit(0).cast("long").alias("low"), F.lit(total).cast("long").alias("high"))
-    for _ in range(shards.bit_length() - 1):
-        middle = F.floor((F.col("low") + F.col("high") + 1) / 2).cast("long")
-        right = F.col("rank") >= middle
-        unit = unit.select(
-            "__key", "rank", (F.col("node") * 2 + right.cast("int")).alias("node"),
-            F.when(right, middle).otherwise(F.col("low")).alias("low"), F.when(right, F.col("high")).otherwise(middle).alias("high"),
-        )
-    return unit.groupBy("__key").agg(F.sort_array(F.collect_list("node")).alias("shard_of"))  # max_blocks * (cap + 1) at most
+    for depth in range(shards.bit_length() - 1):
+        level = (_halves if total >> depth <= max_units else _halves_of_large)(level, seed)
+    runs = F.sort_array(F.collect_list(F.struct((F.col("node") - shards).alias("shard"), "quota")))
+    spelled = F.flatten(F.transform(runs, lambda r: F.array_repeat(r["shard"], r["quota"].cast("int"))))
+    return level.groupBy("__key").agg(spelled.alias("shard_of"))  # max_blocks * (cap + 1) at most
 
 
 def _order() -> Column:
@@ -251,10 +284,13 @@ def draw(documents: DataFrame, seed: int = 7, **settings) -> DataFrame:
 
 def _halving(level: int) -> str:
     """One level of the tree in SQL; a tree of fewer levels stays as it is."""
-    before, middle = "numbered" if level == 0 else f"tree{level}", "(low + high + 1) // 2"
+    order = "CAST('0x' || substr(md5('7/tree:' || CAST(node AS VARCHAR) || ':' || k || ':' || CAST(unit AS VARCHAR)), 1, 8) AS BIGINT)"
     return (
-        f"tree{level + 1} AS (SELECT k, rank, levels, CASE WHEN levels > {level} THEN node * 2 + CAST(rank >= {middle} AS INTEGER) ELSE node END AS node, "
-        f"CASE WHEN levels > {level} AND rank >= {middle} THEN {middle} ELSE low END AS low, CASE WHEN levels > {level} AND rank < {middle} THEN {middle} ELSE high END AS high FROM {before}),"
+        f"of{level} AS (SELECT *, sum(quota) OVER (PARTITION BY node) AS whole FROM tree{level}),\n"
+        f"unit{level} AS (SELECT node, k, whole, CAST(unnest(generate_series(1, quota)) AS BIGINT) AS unit FROM of{level}),\n"
+        f"rank{level} AS (SELECT node, k, whole, row_number() OVER (PARTITION BY node ORDER BY {order}, k, unit) AS rank FROM unit{level}),\n"
+        f"tree{level + 1} AS (SELECT CASE WHEN levels > {level} THEN node * 2 + CAST(rank > (whole + 1) // 2 AS INTEGER) ELSE node END AS node, k, "
+        f"count(*) AS quota FROM rank{level}, size_of GROUP BY 1, 2),"
     )
 
 
@@ -288,12 +324,11 @@ pos AS (SELECT k, block, words, row_number() OVER w AS spot, count(*) OVER (PART
                coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM blk
         WINDOW w AS (PARTITION BY k ORDER BY CAST('0x' || substr(md5('7/blocks:' || k || ':' || CAST(block AS VARCHAR)), 1, 8) AS BIGINT), block)),
 turn AS (SELECT p.*, e.epochs, greatest(e.words - e.epochs * e.source_size - p.before, 0) AS extra FROM pos p JOIN ep e USING (k)),
-unit AS (SELECT k, CAST(unnest(generate_series(1, max(epochs * n) + count(*) FILTER (extra > 0))) AS BIGINT) AS unit FROM turn GROUP BY k),
 size_of AS (SELECT least(10, CAST(ceil(log2(greatest(1, ceil(sum(source_size) / 100000.0)))) AS INTEGER)) AS levels FROM src),
-numbered AS (SELECT k, row_number() OVER (ORDER BY CAST('0x' || substr(md5('7/tree:' || k || ':' || CAST(unit AS VARCHAR)), 1, 8) AS BIGINT), k, unit) - 1 AS rank,
-                    levels, 0 AS node, CAST(0 AS BIGINT) AS low, count(*) OVER () AS high FROM unit, size_of),
+tree0 AS (SELECT 1 AS node, k, CAST(max(epochs * n) + count(*) FILTER (extra > 0) AS BIGINT) AS quota FROM turn GROUP BY k),
 TREE
-shard AS (SELECT k, node, row_number() OVER (PARTITION BY k ORDER BY node) AS unit FROM tree10),
+leaf AS (SELECT k, node - (1 << levels) AS node, unnest(generate_series(1, quota)) AS copy FROM tree10, size_of),
+shard AS (SELECT k, node, row_number() OVER (PARTITION BY k ORDER BY node) AS unit FROM leaf),
 taken_row AS (SELECT d.*, t.spot, t.n, row_number() OVER () AS id,
                greatest(least(greatest(d.rest - t.before, 0) - coalesce(sum(d.size) OVER (
                    PARTITION BY d.k, d.block ORDER BY d.place, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), d.size), 0) AS final
