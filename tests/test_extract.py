@@ -13,7 +13,7 @@ from visitmart.operators.aggregate import merge_tables
 from visitmart.operators.joins import check_references
 from visitmart.plans.builder import Table
 from visitmart.plans.measures import table_order
-from visitmart.plans.spec import SpecError, extract, parse
+from visitmart.plans.spec import SpecError, default_spec, extract, parse
 from visitmart.sources.visits import EVENT_TYPE, VISIT_SCHEMA, normalise, read_visits
 
 START = datetime.datetime(2000, 1, 1)
@@ -266,3 +266,18 @@ def test_sessions_over_midnight_and_long_histories_equal_plain_ones(spark):
     assert len(ids) == len(set(ids))
     with pytest.raises(Exception, match="no room"):
         visits_by_session(df.withColumn("user_id", F.lit(1 << 40))).collect()
+
+
+def test_a_shared_star_reads_its_source_once(spark, tmp_path):
+    countries(spark, 60, 5).write.parquet(f"{tmp_path}/visits")
+    visits = read_visits(spark, f"{tmp_path}/visits")
+    spec = {**default_spec(events=True, contact=True), "source": {"filters": [{"daterange": {"start": "1999-01-01"}}]}}
+    apart, shared = extract(visits, spec), extract(visits, spec, share=True)
+    assert list(apart.tables) == list(shared.tables) and len(shared.tables) >= 5 and shared.relations == apart.relations
+    source = set(visits.inputFiles())
+    for name, df in shared.tables.items():
+        files = set(df.inputFiles())
+        assert source & set(apart[name].inputFiles()) and files and not source & files
+        assert df.schema == apart[name].schema
+        assert sorted(map(str, df.collect())) == sorted(map(str, apart[name].collect()))
+    assert extract(visits.limit(0), spec, share=True)["Pages"].count() == 0

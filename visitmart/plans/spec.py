@@ -23,6 +23,7 @@ from visitmart.operators import splits
 from visitmart.operators.aggregate import count_fact, label_field, visit_facts
 from visitmart.operators.scopes import Scope, funnel_rows, items_of, pairs, to_copies, to_events, to_pages, to_parts, with_index
 from visitmart.plans.extract import Context, FieldMaker, TableDef, date_fields, extract_tables, fill_dates, fill_times, time_fields
+from visitmart.sources.shared import written_once
 from visitmart.sources.visits import normalise
 
 
@@ -696,12 +697,17 @@ class Job:
     finishing: list[Any] = field(default_factory=list)
 
     def run(self, visits: DataFrame, sources: dict[str, DataFrame] | None = None, key_factory: KeyFactory = hash_key,
-            quarter_mode: str = "calendar", cutoff: Any = None) -> StarSchema:
+            quarter_mode: str = "calendar", cutoff: Any = None, share: bool = False) -> StarSchema:
         """The star schema of the visits, lazily. With a cut-off only visits saved since then are read, and filters
-        for trial runs are left out."""
+        for trial runs are left out.
+
+        Each table is a plan of its own over the visits. With ``share`` the visits that pass the filters are written
+        once, now, to the shared folder, and all tables scan their columns of that: one pass over the source, whatever
+        it takes to nest its rows, for a copy of the visits. Without it nothing is read before a table is."""
         context = Context(key_factory, quarter_mode, sources or {})
         kept = flt.incremental(self.filters, cutoff) if cutoff is not None else self.filters
-        scope = Scope(flt.apply_all(normalise(visits), kept))
+        chosen = flt.apply_all(normalise(visits), kept)
+        scope = Scope(written_once(chosen, "visits") if share else chosen)
         star = extract_tables(scope, self.definitions, context)
         for step in self.finishing:
             if hasattr(step, "validate"):

@@ -748,6 +748,20 @@ def default_extract_visits(spark, d):
     return star["Visits"].join(star["Geo"], "GeoId").join(star["Date"], "DateId").select("Date", "Country", "Region", *FACTS)
 
 
+@query("""
+WITH line AS (SELECT l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT 'Visits' AS "Table", CAST(count(*) AS BIGINT) AS "Count" FROM orders
+UNION ALL SELECT 'Pages', CAST(count(*) AS BIGINT) FROM line
+UNION ALL SELECT 'Events', CAST(count(*) AS BIGINT) FROM line
+UNION ALL SELECT 'Goals', CAST(count(*) AS BIGINT) FROM line WHERE l_returnflag = 'R'
+""")
+def shared_star(spark, d):
+    """Tables of four scopes from visits that are nested once."""
+    star = extract(orders(spark, d), default_spec(events=True), share=True)
+    totals = [star[t].agg(F.sum("Count").alias("Count")).select(F.lit(t).alias("Table"), "Count") for t in ("Visits", "Pages", "Events", "Goals")]
+    return reduce(DataFrame.unionByName, totals)
+
+
 @query(f"WITH {WEEK} SELECT visit_id AS \"VisitId\", name AS \"Event\", CAST(count(*) AS BIGINT) AS \"Count\" FROM we GROUP BY 1, 2")
 def extract_nested_inline(spark, d):
     """A level without fields: events hang on the visit."""

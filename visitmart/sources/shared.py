@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/visitmart/{name}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as files in the shared folder: what made it runs once, each reader scans only the columns it needs, and a lost
+    executor costs no more than its running tasks. The files stay until that folder is cleaned."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
