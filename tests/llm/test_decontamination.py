@@ -106,25 +106,39 @@ def test_blocks_return_all_within_the_radius_and_few_others():
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 256, (2000, BLOCKS), np.uint8)
     radius = radius_of(np.ones(100, np.int64), 0.8)
-    table = Table.of(list(range(2000)), list(prints), [radius] * 2000)
-    seen = 0
+    table = Table.of(list(range(2000)), list(prints), [radius] * 2000, list(np.arange(2000, dtype=np.uint64)[:, None]))
+    every, seen = np.arange(2000), 0
     for flips in (0, 20, radius - 1, radius, radius + 1):
         for row in range(0, 60):
             bits = np.unpackbits(prints[row])
             bits[rng.choice(8 * BLOCKS, flips, replace=False)] ^= 1
-            got = table.within(np.packbits(bits)[None])[1].tolist()
+            got = table.within(np.packbits(bits)[None], every)[1].tolist()
             seen += got.count(row)
             assert (row in got) == (flips <= radius)
     assert seen == 240
     # what the blocks return of random fingerprints, before complete distances
-    loose = Table.of(list(range(2000)), list(prints), [radius] * 2000)
-    returned = []
-    for _ in range(50):
-        values = rng.integers(0, 256, BLOCKS, np.uint8)
-        near = np.bitwise_count(prints ^ values) <= 2
-        returned.append((near.sum(1) >= BLOCKS - radius // 3).mean())
-        assert len(loose.within(values[None])[1]) == 0
-    assert np.mean(returned) < 0.05
+    values = rng.integers(0, 256, (50, BLOCKS), np.uint8)
+    assert sum(len(x) for x, _ in table.returned(values, every)) < 0.05 * 50 * 2000
+    assert len(table.within(values, every)[1]) == 0
+
+
+def test_few_items_of_any_size_need_a_complete_distance():
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 5, 8, 10, 20, 100):
+        items = [rng.integers(0, 1 << 63, size, np.uint64) for _ in range(1000)]
+        shared = rng.integers(0, 1 << 63, size, np.uint64)
+        for k in range(0, 1000, 2):  # half of the items begin alike, as questions of one benchmark do
+            items[k][: size // 2] = shared[: size // 2]
+        bags = [bag(h) for h in items]
+        table = Table.of(list(range(1000)), [fingerprint(h) for h in items], [radius_of(b[1], 0.8) for b in bags], [b[0] for b in bags])
+        least, asked, found = 2 * size * 0.8 / 1.8 - 1e-9, 0, 0
+        for k in range(100):
+            text = np.concatenate([rng.integers(0, 1 << 63, 30, np.uint64), items[k], rng.integers(0, 1 << 63, 30, np.uint64)])
+            sharing = table.sharing(text, least)
+            assert sharing.tolist() == [i for i, h in enumerate(items) if np.isin(text, h).sum() >= least]
+            pairs = [i for _, own in table.returned(fingerprint(items[k])[None], sharing) for i in own.tolist()]
+            asked, found = asked + len(pairs), found + pairs.count(k)
+        assert found == 100 and asked <= 110, size
 
 
 def test_windows_fingerprints_are_those_of_their_shingles():

@@ -3,7 +3,8 @@
 A benchmark item of n words is compared with the windows of n words of a document. Windows are looked up by
 multi-index Hamming blocks, which return every item whose fingerprint lies within the radius, and the exact
 weighted similarity of the shingles decides. A window that can't reach the wanted similarity, because too few
-of its shingles occur in any item, is not fingerprinted: that bound loses nothing.
+of its shingles occur in any item, is not fingerprinted, and of the blocks' items only those are looked at that
+share so many shingles with a run of overlapping windows, by the postings of the shingles: these bounds lose nothing.
 """
 
 from __future__ import annotations
@@ -94,17 +95,23 @@ def fingerprint(h: np.ndarray) -> np.ndarray:
 def window_fingerprints(h: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """The fingerprints of windows of ``size`` shingles, from running sums over each run of overlapping windows."""
     out = np.empty((len(starts), BLOCKS), np.uint8)
-    runs = np.flatnonzero(np.diff(starts, prepend=-1 - size) > size)
-    for a, b in zip(runs, np.append(runs[1:], len(starts)), strict=True):
-        for at in range(a, b, 4096):  # bounded memory
-            own = starts[at : min(b, at + 4096)]
+    done = 0
+    for run in overlapping(starts, size):
+        for at in range(0, len(run), 4096):  # bounded memory
+            own = run[at : at + 4096]
             ones = np.zeros((own[-1] + size - own[0] + 1, 64 * LANES), np.int32)
             np.cumsum(lane_bits(h[own[0] : own[-1] + size]), axis=0, out=ones[1:])
             place = own - own[0]
-            out[at : at + len(own)] = np.packbits((ones[place + size] - ones[place]) * 2 > size, axis=1)
+            out[done : done + len(own)] = np.packbits((ones[place + size] - ones[place]) * 2 > size, axis=1)
+            done += len(own)
     return out
 
 
+def overlapping(starts: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Runs of windows of ``size`` shingles of which each overlaps or touches the next."""
+    return iter(np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1))
+
+
 def bag(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles and how often each occurs."""
     return np.unique(h, return_counts=True)
@@ -137,17 +144,38 @@ def radius_of(counts: np.ndarray, least: float, deviations: float = 5.0) -> int:
 
 @dataclass
 class Table:
-    """Items of one size, under the values of the blocks of their fingerprints."""
+    """Items of one size, under the values of the blocks of their fingerprints and under their shingles."""
 
     rows: np.ndarray  # their numbers
     prints: np.ndarray  # n, BLOCKS
     radius: np.ndarray
+    #: postings: items of ``shingles[i]`` are ``posted[offsets[i] : offsets[i + 1]]``
+    shingles: np.ndarray
+    offsets: np.ndarray
+    posted: np.ndarray
     #: BLOCKS, 256, n: which items a block value returns, balls of ``BALL`` bits around theirs; made on first use
     near: np.ndarray | None = None
 
     @classmethod
-    def of(cls, rows: list[int], prints: list[np.ndarray], radius: list[int]) -> Table:
-        return cls(np.asarray(rows), np.stack(prints), np.asarray(radius))
+    def of(cls, rows: list[int], prints: list[np.ndarray], radius: list[int], shingles: list[np.ndarray]) -> Table:
+        """``shingles``: the distinct ones of each item."""
+        every = np.concatenate(shingles)
+        order = np.argsort(every, kind="stable")
+        distinct, first = np.unique(every[order], return_index=True)
+        posted = np.repeat(np.arange(len(rows)), [len(own) for own in shingles])[order]
+        return cls(np.asarray(rows), np.stack(prints), np.asarray(radius), distinct, np.append(first, len(every)), posted)
+
+    def sharing(self, h: np.ndarray, least: float) -> np.ndarray:
+        """The items whose shingles stand at ``least`` or more of the places of ``h``. No window inside ``h`` has more
+        shingles in common with an item, as often as they occur."""
+        own, counts = np.unique(h, return_counts=True)
+        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
+        hit = self.shingles[at] == own
+        at, counts = at[hit], counts[hit]
+        lengths = self.offsets[at + 1] - self.offsets[at]
+        before = np.cumsum(lengths) - lengths
+        items = self.posted[np.arange(lengths.sum()) + np.repeat(self.offsets[at] - before, lengths)]
+        return np.flatnonzero(np.bincount(items, np.repeat(counts, lengths), len(self.rows)) >= least)
 
     def balls(self) -> np.ndarray:
         if self.near is None:
@@ -158,24 +186,29 @@ class Table:
             self.near = near
         return self.near
 
-    def within(self, prints: np.ndarray, cells: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
-        """(fingerprint, item) of those that are within the item's radius.
+    def returned(self, prints: np.ndarray, items: np.ndarray, cells: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(fingerprint, item), of these items, of all that may be within the item's radius.
 
         The balls around each block's values are looked up. Were fewer than ``BLOCKS - radius // (BALL + 1)`` blocks
         within their ball, the others would add up to more than the radius: so items that are found in so many
         blocks are all that need a complete distance.
         """
-        near, needed = self.balls(), BLOCKS - self.radius // (BALL + 1)
-        step, found = max(1, cells // len(self.rows)), []
+        near, needed = self.balls(), BLOCKS - self.radius[items] // (BALL + 1)
+        step = max(1, cells // len(items))
         for at in range(0, len(prints), step):
             part = prints[at : at + step]
-            hits = np.zeros((len(part), len(self.rows)), np.uint8)
+            hits = np.zeros((len(part), len(items)), np.uint8)
             for b in range(BLOCKS):
-                hits += near[b, part[:, b]]
+                hits += near[b][:, items][part[:, b]]
             x, item = np.nonzero(hits >= needed)
-            d = np.bitwise_count(part[x] ^ self.prints[item]).sum(1, dtype=np.int64)
-            fine = d <= self.radius[item]
-            found.append(np.stack([x[fine] + at, item[fine]]))
+            yield x + at, items[item]
+
+    def within(self, prints: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprint, item), of these items, of those that are within the item's radius."""
+        found = []
+        for x, item in self.returned(prints, items):
+            fine = np.bitwise_count(prints[x] ^ self.prints[item]).sum(1, dtype=np.int64) <= self.radius[item]
+            found.append(np.stack([x[fine], item[fine]]))
         return tuple(np.concatenate(found, axis=1))
 
 
@@ -192,7 +225,7 @@ class ItemIndex:
     short: dict[int, dict[int, list[int]]] = field(default_factory=dict)
 
     def build(self, items: list[tuple[int, str]]) -> ItemIndex:
-        by_size: dict[int, list[tuple[int, np.ndarray, int]]] = defaultdict(list)
+        by_size: dict[int, list[tuple[int, np.ndarray, int, np.ndarray]]] = defaultdict(list)
         for item, text in items:
             w = word_hashes(text)
             h = shingles_of(w)
@@ -204,7 +237,7 @@ class ItemIndex:
             if len(w) < SHINGLE:  # windows of its own length either equal it or have nothing in common with it
                 self.short.setdefault(len(w), defaultdict(list))[int(h[0])].append(row)
             else:
-                by_size[len(h)].append((row, fingerprint(h), radius_of(self.bags[row][1], self.similarity)))
+                by_size[len(h)].append((row, fingerprint(h), radius_of(self.bags[row][1], self.similarity), self.bags[row][0]))
         self.tables = {size: Table.of(*map(list, zip(*found, strict=True))) for size, found in by_size.items()}
         every = [self.bags[row][0] for table in self.tables.values() for row in table.rows.tolist()]
         self.shingles = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
@@ -248,14 +281,18 @@ class ItemIndex:
             starts = np.flatnonzero(inside >= least)
             if not len(starts):
                 continue
-            last, own = -1, None
-            for x, item in zip(*(found.tolist() for found in table.within(window_fingerprints(h, starts, n))), strict=True):
-                at, row = int(starts[x]), int(table.rows[item])
-                if at != last:
-                    last, own = at, bag(h[at : at + n])
-                s = similarity(own, self.bags[row])
-                if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
-                    best[row] = (s, at)
+            for run in overlapping(starts, n):
+                items = table.sharing(h[run[0] : run[-1] + n], least)
+                if not len(items):
+                    continue
+                last, own = -1, None
+                for x, item in zip(*(found.tolist() for found in table.within(window_fingerprints(h, run, n), items)), strict=True):
+                    at, row = int(run[x]), int(table.rows[item])
+                    if at != last:
+                        last, own = at, bag(h[at : at + n])
+                    s = similarity(own, self.bags[row])
+                    if s >= self.similarity and s > best.get(row, (0.0, 0))[0]:
+                        best[row] = (s, at)
 
 
 def _items(benchmark: DataFrame, block: int, block_chars: int = 20_000_000) -> Iterator[list[tuple[int, str]]]:
