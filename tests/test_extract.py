@@ -14,6 +14,7 @@ from visitmart.operators.joins import check_references
 from visitmart.plans.builder import Table
 from visitmart.plans.measures import table_order
 from visitmart.plans.spec import SpecError, default_spec, extract, parse
+from visitmart.queries import orders
 from visitmart.sources.visits import EVENT_TYPE, VISIT_SCHEMA, normalise, read_visits
 
 START = datetime.datetime(2000, 1, 1)
@@ -281,3 +282,28 @@ def test_a_shared_star_reads_its_source_once(spark, tmp_path):
         assert df.schema == apart[name].schema
         assert sorted(map(str, df.collect())) == sorted(map(str, apart[name].collect()))
     assert extract(visits.limit(0), spec, share=True)["Pages"].count() == 0
+
+
+def test_pages_of_orders_do_not_move_by_customer(spark, data):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plan = orders(spark, data)._jdf.queryExecution().executedPlan().treeString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(contact_id" in line]
+    assert moved and not any("transform(" in line for i in moved for line in below(plan, i))
+
+
+def below(plan, at):
+    """What stands below a line of a plan."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    out = []
+    for line in plan[at + 1 :]:
+        if depth(line) <= depth(plan[at]):
+            break
+        out.append(line)
+    return out

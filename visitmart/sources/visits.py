@@ -129,16 +129,18 @@ def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFra
             x["l_quantity"].cast("int").alias("duration"), F.when(x["l_linestatus"] == "O", test).otherwise(no_test).alias("mv_test"), F.array(event).alias("events"),
         )
 
-    # pages are made where the lines lie, on all tasks; orders come to them by the same key
+    # pages are made where the lines lie, on all tasks; orders come to them by the same key, with their places, so that pages
+    # never move by customer
     value = F.aggregate("__lines", F.lit(0), lambda a, x: a + F.coalesce(x["l_quantity"].cast("int"), F.lit(0)))
     lines = lines.select("visit_id", F.transform("__lines", page).alias("pages"), value.alias("value"), F.size("__lines").alias("page_count"))
-    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts")).join(lines.hint("merge"), "visit_id", "left")
+    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts"))
     if customer is not None:
         place = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
         place = place.select("c_custkey", F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("region"), F.lit(None).cast("string").alias("city")).alias("geo"))
         visits = visits.join(place, visits["contact_id"] == place["c_custkey"], "left").drop("c_custkey")
     else:
         visits = visits.withColumn("geo", F.lit(None).cast("struct<country:string,region:string,city:string>"))
+    visits = visits.join(lines.hint("merge"), "visit_id", "left")
     return visits.select(
         "visit_id", "contact_id", "start_ts", F.col("start_ts").alias("end_ts"), F.col("start_ts").alias("save_ts"), F.coalesce("value", F.lit(0)).alias("value"),
         F.coalesce("page_count", F.lit(0)).alias("page_count"), "geo", "pages",
