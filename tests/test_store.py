@@ -4,6 +4,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from visitmart import queries
 from visitmart.operators import incremental
 from visitmart.plans.spec import extract
 from visitmart.queries import GEO, orders, tables
@@ -151,3 +152,17 @@ def test_runs_are_of_one_size():
     entry = lambda n: [str(n), None, None, None, n, 0]
     got = _runs([entry(n) for n in (10_000, 5, 6, 7, 5, 6, 7, 5, 6, 5, 300)], 8)
     assert [len(r) for r in got] == [1, 9, 1]
+
+
+def test_loads_of_the_queries_nest_visits_once(spark, data, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(visit):
+        made.add(1)
+        return visit
+
+    counted = F.udf(count, "bigint").asNondeterministic()
+    whole = orders(spark, data)
+    monkeypatch.setattr(queries, "orders", lambda spark, d: whole.withColumn("visit_id", counted("visit_id")))
+    store = queries._refreshed(spark, data, tables(queries.PARTITIONED))
+    assert store.read()["Visits"].agg(F.sum("Visits")).first()[0] == whole.count() == made.value

@@ -21,7 +21,7 @@ from visitmart.plans.report import run_report
 from visitmart.plans.spec import custom_expander, custom_field, custom_filter, custom_splitter, default_spec, extract
 from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
-from visitmart.sources.shared import shared_path
+from visitmart.sources.shared import shared_path, written_once
 from visitmart.sources.visits import normalise, visits_by_session, visits_by_week, visits_from_orders
 from visitmart.streaming.refresh import refresh_stream, windowed_facts
 from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
@@ -559,8 +559,9 @@ LOADS = ("1993-01-01", "1995-03-01", "1997-05-01")
 
 def _refreshed(spark: SparkSession, d: str, spec: dict) -> VersionedStore:
     """All visits through a store, load by load. Each load has visits that the next one no longer finds, so that a refresh that
-    only added would count too much; in the end all visits are there."""
-    visits, store = orders(spark, d), VersionedStore(spark, shared_path(spark, "store"), fanout=2)
+    only added would count too much; in the end all visits are there. Visits are nested once; the tables of all loads read them
+    from files."""
+    visits, store = written_once(orders(spark, d), "visits"), VersionedStore(spark, shared_path(spark, "store"), fanout=2)
     saved = lambda at: F.col("save_ts") < F.lit(at).cast("timestamp_ntz")
     since = datetime(1, 1, 1)
     for number, until in enumerate((*LOADS, None)):
