@@ -298,6 +298,12 @@ def test_pages_of_orders_do_not_move_by_customer(spark, data):
     assert moved and not any("transform(" in line for i in moved for line in below(plan, i))
 
 
+def test_lines_of_orders_are_gathered_after_they_moved(spark, data):
+    plan = orders(spark, data)._jdf.queryExecution().executedPlan().treeString().splitlines()
+    moved = [i for i, line in enumerate(plan) if "Exchange" in line and any("/lineitem.parquet" in x for x in below(plan, i))]
+    assert moved and not any("Aggregate" in line for i in moved for line in below(plan, i))
+
+
 def below(plan, at):
     """What stands below a line of a plan."""
     depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))

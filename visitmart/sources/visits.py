@@ -113,9 +113,33 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
 
 def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
     """A visit is an order, a page a line of it with one event; orders without lines have no pages."""
-    # what is gathered are the lines' own columns, which order them too; pages are made of them afterwards
+    return visits_of_lines(orders_with_lines(orders, lineitem, customer, nation, region))
+
+
+def orders_with_lines(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
+    """Orders as visits whose pages are still the lines' own columns, in the pages' order (``__lines``): what is moved once more
+    should be these, two fifths of the nested pages. :func:`visits_of_lines` makes the pages."""
     own = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    lines = lineitem.groupBy(F.col("l_orderkey").alias("visit_id")).agg(F.sort_array(F.collect_list(F.struct(*own))).alias("__lines"))
+    # lines move as they stand and are gathered afterwards: gathering before would sort every task's whole input, to no use, as
+    # a line has few others of its order beside it
+    moved = lineitem.select(F.col("l_orderkey").alias("visit_id"), *own).repartition("visit_id")
+    lines = moved.groupBy("visit_id").agg(F.sort_array(F.collect_list(F.struct(*own))).alias("__lines"))
+    shown = [c for c in own if c not in ("l_suppkey", "l_extendedprice")]  # the rest only orders them
+    lines = lines.select("visit_id", F.transform("__lines", lambda x: F.struct(*[x[c].alias(c) for c in shown])).alias("__lines"))
+    # orders come to their lines by the same key, with their places, so that lines never move by customer
+    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts"))
+    if customer is not None:
+        place = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
+        place = place.select("c_custkey", F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("region"), F.lit(None).cast("string").alias("city")).alias("geo"))
+        visits = visits.join(place, visits["contact_id"] == place["c_custkey"], "left").drop("c_custkey")
+    else:
+        visits = visits.withColumn("geo", F.lit(None).cast("struct<country:string,region:string,city:string>"))
+    visits = visits.join(lines.hint("merge"), "visit_id", "left")
+    return visits.select("visit_id", "contact_id", "start_ts", F.col("start_ts").alias("save_ts"), "geo", "__lines")
+
+
+def visits_of_lines(rows: DataFrame) -> DataFrame:
+    """Visits from what :func:`orders_with_lines` gives; further columns stay behind them."""
     no_test = F.lit(None).cast("struct<id:string,combination:array<int>>")
 
     def page(x: Column, i: Column) -> Column:
@@ -129,19 +153,9 @@ def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFra
             x["l_quantity"].cast("int").alias("duration"), F.when(x["l_linestatus"] == "O", test).otherwise(no_test).alias("mv_test"), F.array(event).alias("events"),
         )
 
-    # pages are made where the lines lie, on all tasks; orders come to them by the same key, with their places, so that pages
-    # never move by customer
     value = F.aggregate("__lines", F.lit(0), lambda a, x: a + F.coalesce(x["l_quantity"].cast("int"), F.lit(0)))
-    lines = lines.select("visit_id", F.transform("__lines", page).alias("pages"), value.alias("value"), F.size("__lines").alias("page_count"))
-    visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts"))
-    if customer is not None:
-        place = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
-        place = place.select("c_custkey", F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("region"), F.lit(None).cast("string").alias("city")).alias("geo"))
-        visits = visits.join(place, visits["contact_id"] == place["c_custkey"], "left").drop("c_custkey")
-    else:
-        visits = visits.withColumn("geo", F.lit(None).cast("struct<country:string,region:string,city:string>"))
-    visits = visits.join(lines.hint("merge"), "visit_id", "left")
-    return visits.select(
-        "visit_id", "contact_id", "start_ts", F.col("start_ts").alias("end_ts"), F.col("start_ts").alias("save_ts"), F.coalesce("value", F.lit(0)).alias("value"),
-        F.coalesce("page_count", F.lit(0)).alias("page_count"), "geo", "pages",
+    known = ("visit_id", "contact_id", "start_ts", "save_ts", "geo", "__lines")
+    return rows.select(
+        "visit_id", "contact_id", "start_ts", F.col("start_ts").alias("end_ts"), "save_ts", F.coalesce(value, F.lit(0)).alias("value"),
+        F.coalesce(F.array_size("__lines"), F.lit(0)).alias("page_count"), "geo", F.transform("__lines", page).alias("pages"), *[c for c in rows.columns if c not in known],
     )
