@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from visitmart.functions.sequence import runs, sequence_string
 from visitmart.operators import filters, scopes
 from visitmart.operators.distinct import count_visitors, merge_bitmaps, visitor_bitmaps
-from visitmart.queries import orders
+from visitmart.queries import ORDER_TABLES, orders, read
 from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.shared import shared_path
-from visitmart.sources.visits import normalise, visits_by_session, visits_by_week
+from visitmart.sources.visits import normalise, orders_with_lines, visits_by_session, visits_by_week, visits_of_lines
 from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
 
 
@@ -43,6 +43,20 @@ def test_all_rows_come_back(clustered):
     assert rows(visits) == rows(weeks.select(visits.columns)) == rows(shares.select(visits.columns))
 
 
+def test_pages_are_made_where_they_are_written(spark, data):
+    plans = []
+
+    def finish(dealt):
+        plans.append(dealt._jdf.queryExecution().executedPlan().toString())
+        return visits_of_lines(dealt)
+
+    path = shared_path(spark, "clustered")
+    write_clustered(orders_with_lines(*(read(spark, data, t) for t in ORDER_TABLES)), path, days=91, shares=4, finish=finish)
+    assert "rangepartitioning" in plans[0] and "/part/" not in plans[0]
+    visits = normalise(orders(spark, data))
+    assert rows(visits) == rows(read_clustered(spark, path).select(visits.columns))
+
+
 def test_a_week_reads_a_few_files(clustered):
     visits, weeks, _ = clustered
     wanted = filters.date_range("1995-06-05", "1995-06-12", "save_ts")

@@ -22,7 +22,7 @@ from visitmart.plans.spec import custom_expander, custom_field, custom_filter, c
 from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
 from visitmart.sources.shared import shared_path, written_once
-from visitmart.sources.visits import normalise, visits_by_session, visits_by_week, visits_from_orders
+from visitmart.sources.visits import normalise, orders_with_lines, visits_by_session, visits_by_week, visits_from_orders, visits_of_lines
 from visitmart.streaming.refresh import refresh_stream, windowed_facts
 from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
 
@@ -89,8 +89,11 @@ def session(spark: SparkSession, d: str) -> DataFrame:
     return visits_by_session(read(spark, d, "events"))
 
 
+ORDER_TABLES = ("orders", "lineitem", "customer", "nation", "region")
+
+
 def orders(spark: SparkSession, d: str) -> DataFrame:
-    return visits_from_orders(*(read(spark, d, t) for t in ("orders", "lineitem", "customer", "nation", "region")))
+    return visits_from_orders(*(read(spark, d, t) for t in ORDER_TABLES))
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
@@ -887,7 +890,8 @@ def unique_visitors_rollup(spark, d):
 
 def _clustered(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "clustered")
-    write_clustered(orders(spark, d), path, days=91, shares=4)
+    lines = orders_with_lines(*(read(spark, d, t) for t in ORDER_TABLES))
+    write_clustered(lines, path, days=91, shares=4, finish=visits_of_lines)
     return read_clustered(spark, path)
 
 

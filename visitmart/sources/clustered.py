@@ -8,6 +8,8 @@ other layout. A filter by start relies on the files' own statistics.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,20 @@ from visitmart.operators.filters import PERIOD, SHARE
 from visitmart.sources.visits import VISIT_SCHEMA, normalise
 
 
-def write_clustered(visits: DataFrame, path: str, days: int = 7, shares: int = 1, mode: str = "errorifexists") -> None:
+def write_clustered(
+    visits: DataFrame, path: str, days: int = 7, shares: int = 1, mode: str = "errorifexists", finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """``visits`` by period of ``days`` days of ``save_ts`` and by one of ``shares`` equal shares of the places of their
-    ids. Rows are dealt by ranges, so that a period that holds much has several files, each of one range of starts."""
+    ids. Rows are dealt by ranges, so that a period that holds much has several files, each of one range of starts.
+
+    With ``finish`` the rows that are dealt need only ids, starts and save dates besides what it makes the visits of, once
+    they lie where they are written, so that what moves may be more compact than visits; it keeps further columns."""
     period = partition_start(F.col("save_ts"), days).cast("date")
     share = F.floor(sample_position(F.col("visit_id")) * shares).cast("int")
     rows = visits.withColumn(PERIOD, period).withColumn(SHARE, F.coalesce(share, F.lit(0)))
     order = [PERIOD, SHARE, "start_ts", "visit_id"]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = dealt if finish is None else finish(dealt)
     dealt.write.mode(mode).partitionBy(PERIOD, SHARE).parquet(path)
     rows.sparkSession.createDataFrame([(days, shares)], "days int, shares int").coalesce(1).write.mode(mode).parquet(f"{path}/_layout")
 
