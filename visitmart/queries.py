@@ -22,7 +22,7 @@ from visitmart.plans.spec import custom_expander, custom_field, custom_filter, c
 from visitmart.sources.clustered import read_clustered, write_clustered
 from visitmart.sources.files import VersionedStore, read_parquet, read_text, write_parquet, write_text
 from visitmart.sources.shared import shared_path, written_once
-from visitmart.sources.visits import normalise, orders_with_lines, visits_by_session, visits_by_week, visits_from_orders, visits_of_lines
+from visitmart.sources.visits import PARTS, lots_of, normalise, orders_with_lines, visits_by_session, visits_by_week, visits_from_orders, visits_of_lines
 from visitmart.streaming.refresh import refresh_stream, windowed_facts
 from visitmart.streaming.sessions import closed_sessions, visits_of_sessions
 
@@ -92,8 +92,9 @@ def session(spark: SparkSession, d: str) -> DataFrame:
 ORDER_TABLES = ("orders", "lineitem", "customer", "nation", "region")
 
 
-def orders(spark: SparkSession, d: str) -> DataFrame:
-    return visits_from_orders(*(read(spark, d, t) for t in ORDER_TABLES))
+def orders(spark: SparkSession, d: str, parts: tuple[str, ...] = tuple(PARTS)) -> DataFrame:
+    """Visits of the orders, whose pages have the named parts."""
+    return visits_from_orders(*(read(spark, d, t) for t in ORDER_TABLES), parts=parts, lots=lots_of(read(spark, d, "lineitem")))
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
@@ -708,7 +709,7 @@ def fk_orphans(spark, d):
 
 def _measured(spark: SparkSession, d: str) -> StarSchema:
     child = {"goals": {"name": "Goals", "fields": [{"event": {"select": "name", "name": "Goal"}}, "facts"]}}
-    return extract(orders(spark, d), tables({"name": "Visits", "fields": [VISIT_ID, {"dimension": {"name": "Geo", "fields": GEO}}, "contactid", "facts"], "tables": [child]}))
+    return extract(orders(spark, d, ()), tables({"name": "Visits", "fields": [VISIT_ID, {"dimension": {"name": "Geo", "fields": GEO}}, "contactid", "facts"], "tables": [child]}))
 
 
 def _measure(name: str, wanted: dict[str, str], expression: str, source: str = "ov") -> None:
@@ -890,7 +891,7 @@ def unique_visitors_rollup(spark, d):
 
 def _clustered(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "clustered")
-    lines = orders_with_lines(*(read(spark, d, t) for t in ORDER_TABLES))
+    lines = orders_with_lines(*(read(spark, d, t) for t in ORDER_TABLES), lots=lots_of(read(spark, d, "lineitem")))
     write_clustered(lines, path, days=91, shares=4, finish=visits_of_lines)
     return read_clustered(spark, path)
 

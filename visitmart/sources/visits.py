@@ -111,21 +111,52 @@ def visits_by_session(events: DataFrame, gap: str = "8 hours", new_page: str = "
     return nest_visits(rows.withColumn("page", F.greatest(views, F.lit(1))))
 
 
-def visits_from_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
-    """A visit is an order, a page a line of it with one event; orders without lines have no pages."""
-    return visits_of_lines(orders_with_lines(orders, lineitem, customer, nation, region))
-
-
-def orders_with_lines(orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None) -> DataFrame:
+def lots_of(table: DataFrame, share: int = 8) -> int | None:
+    """Into how many partitions the rows of a table that is read from files should be dealt by a key: ``share`` for each split of its
+    files, so that what a task gathers grows no further than a split does, whatever the number of shuffle partitions is. None
+    (Spark's own number) for tables smaller than the smallest split for each core."""
+    spark = table.sparkSession
+    splits = table.rdd.getNumPartitions()  # planned, not read
+    small = splits < spark.sparkContext.defaultParallelism
+    return None if small else max(int(spark.conf.get("spark.sql.shuffle.partitions")), share * splits)
+
+
+#: What pages of orders have, if wanted, besides duration and their events' names, values and goals, with the lines' columns that
+#: it takes: item id and URL, times, test, and the order in which they stand (else they are numbered as they come).
+PARTS = {
+    "item": ("l_partkey",), "time": ("l_shipdate",), "test": ("l_linestatus", "l_linenumber", "l_partkey"),
+    "order": ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
+}
+
+
+def visits_from_orders(
+    orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None,
+    parts: tuple[str, ...] = tuple(PARTS), lots: int | None = None,
+) -> DataFrame:
+    """A visit is an order, a page a line of it with one event; orders without lines have no pages. What isn't in ``parts``
+    (:data:`PARTS`) the pages don't have, so that asking for it is an error, and the lines don't carry it."""
+    return visits_of_lines(orders_with_lines(orders, lineitem, customer, nation, region, parts, lots))
+
+
+def orders_with_lines(
+    orders: DataFrame, lineitem: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None, region: DataFrame | None = None,
+    parts: tuple[str, ...] = tuple(PARTS), lots: int | None = None,
+) -> DataFrame:
     """Orders as visits whose pages are still the lines' own columns, in the pages' order (``__lines``): what is moved once more
-    should be these, two fifths of the nested pages. :func:`visits_of_lines` makes the pages."""
-    own = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+    should be these, two fifths of the nested pages. :func:`visits_of_lines` makes the pages. ``lots``: how many partitions lines
+    are dealt into (:func:`lots_of`)."""
+    every = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+    wanted = {"l_quantity", "l_returnflag"}.union(*(PARTS[p] for p in parts))
+    own = [c for c in every if c in wanted]
     # lines move as they stand and are gathered afterwards: gathering before would sort every task's whole input, to no use, as
     # a line has few others of its order beside it
-    moved = lineitem.select(F.col("l_orderkey").alias("visit_id"), *own).repartition("visit_id")
-    lines = moved.groupBy("visit_id").agg(F.sort_array(F.collect_list(F.struct(*own))).alias("__lines"))
-    shown = [c for c in own if c not in ("l_suppkey", "l_extendedprice")]  # the rest only orders them
-    lines = lines.select("visit_id", F.transform("__lines", lambda x: F.struct(*[x[c].alias(c) for c in shown])).alias("__lines"))
+    moved = lineitem.select(F.col("l_orderkey").alias("visit_id"), *own)
+    moved = moved.repartition("visit_id") if lots is None else moved.repartition(lots, "visit_id")
+    gathered = F.collect_list(F.struct(*own))
+    lines = moved.groupBy("visit_id").agg((F.sort_array(gathered) if "order" in parts else gathered).alias("__lines"))
+    shown = [c for c in own if any(c in PARTS[p] for p in parts if p != "order") or c in ("l_quantity", "l_returnflag")]  # the rest only orders them
+    if shown != own:
+        lines = lines.select("visit_id", F.transform("__lines", lambda x: F.struct(*[x[c].alias(c) for c in shown])).alias("__lines"))
     # orders come to their lines by the same key, with their places, so that lines never move by customer
     visits = orders.select(F.col("o_orderkey").alias("visit_id"), F.col("o_custkey").alias("contact_id"), F.col("o_orderdate").alias("start_ts"))
     if customer is not None:
@@ -141,16 +172,20 @@ def orders_with_lines(orders: DataFrame, lineitem: DataFrame, customer: DataFram
 def visits_of_lines(rows: DataFrame) -> DataFrame:
     """Visits from what :func:`orders_with_lines` gives; further columns stay behind them."""
     no_test = F.lit(None).cast("struct<id:string,combination:array<int>>")
+    had = set(rows.schema["__lines"].dataType.elementType.names)
+    item, time, test = "l_partkey" in had, "l_shipdate" in had, "l_linestatus" in had
 
     def page(x: Column, i: Column) -> Column:
+        part, shipped = x["l_partkey"], x["l_shipdate"].alias("ts")
         event = F.struct(
-            F.lit(1).alias("pos"), x["l_partkey"].alias("event_id"), x["l_returnflag"].alias("definition_id"), x["l_returnflag"].alias("name"),
-            F.round(x["l_quantity"]).cast("int").alias("value"), (x["l_returnflag"] == "R").alias("is_goal"), x["l_shipdate"].alias("ts"),
+            F.lit(1).alias("pos"), *[part.alias("event_id")] * item, x["l_returnflag"].alias("definition_id"), x["l_returnflag"].alias("name"),
+            F.round(x["l_quantity"]).cast("int").alias("value"), (x["l_returnflag"] == "R").alias("is_goal"), *[shipped] * time,
         )
-        test = F.struct(F.lit("T1").alias("id"), F.array((x["l_linenumber"] % 3).cast("int"), (x["l_partkey"] % 2).cast("int")).alias("combination"))
+        combination = F.array((x["l_linenumber"] % 3).cast("int"), (part % 2).cast("int"))
+        tested = F.when(x["l_linestatus"] == "O", F.struct(F.lit("T1").alias("id"), combination.alias("combination"))).otherwise(no_test)
         return F.struct(
-            (i + 1).cast("int").alias("pos"), x["l_shipdate"].alias("ts"), x["l_partkey"].alias("item_id"), F.concat(F.lit("/part/"), x["l_partkey"].cast("string")).alias("url_path"),
-            x["l_quantity"].cast("int").alias("duration"), F.when(x["l_linestatus"] == "O", test).otherwise(no_test).alias("mv_test"), F.array(event).alias("events"),
+            (i + 1).cast("int").alias("pos"), *[shipped] * time, *[part.alias("item_id"), F.concat(F.lit("/part/"), part.cast("string")).alias("url_path")] * item,
+            x["l_quantity"].cast("int").alias("duration"), *[tested.alias("mv_test")] * test, F.array(event).alias("events"),
         )
 
     value = F.aggregate("__lines", F.lit(0), lambda a, x: a + F.coalesce(x["l_quantity"].cast("int"), F.lit(0)))
