@@ -65,6 +65,7 @@ FACTS_ONLY = {"l_quantity", "l_returnflag"}
     ("measure_totals", FACTS_ONLY),
     ("measure_value_per_visit", FACTS_ONLY),
     ("measure_bounce_rate", FACTS_ONLY),
+    ("measure_conversion_rate", FACTS_ONLY),
 ])
 def test_only_what_is_asked_for_moves(spark, data, name, wanted):
     assert columns_read(QUERIES[name](spark, data)) == wanted
