@@ -225,7 +225,7 @@ def entire_visit_facts(spark, d):
 
 @query(f"WITH {ORDERS} SELECT item_id AS \"ItemId\", CAST(count(*) AS BIGINT) AS \"Count\", CAST(count(DISTINCT visit_id) AS BIGINT) AS \"Visits\" FROM ol JOIN orders ON o_orderkey = visit_id GROUP BY 1")
 def count_distinct_parent(spark, d):
-    return one(orders(spark, d), {"pages": {"name": "Pages", "fields": ["page", "count", {"count": {"scope": -1, "name": "Visits"}}]}}, "Pages")
+    return one(orders(spark, d, ("item",)), {"pages": {"name": "Pages", "fields": ["page", "count", {"count": {"scope": -1, "name": "Visits"}}]}}, "Pages")
 
 
 @query(f"""WITH {WEEK} SELECT name AS "Event", CAST(count(*) AS BIGINT) AS "Count", CAST(count(DISTINCT (visit_id, page_pos)) AS BIGINT) AS "Pages", CAST(count(DISTINCT visit_id) AS BIGINT) AS "Visits", CAST(1 AS BIGINT) AS "Root", CAST(0 AS BIGINT) AS "Beyond" FROM we GROUP BY 1""")
