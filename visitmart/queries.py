@@ -690,7 +690,7 @@ def dim_shared_attributes(spark, d):
     """Two references to one dimension table whose attributes are those of the first item, wherever it was met."""
     place = lambda path: {"dimension": {"name": "Number", "fieldprefix": "Of", "fields": [{path[0]: {"select": path[1], "name": "Number", "type": "key"}}, *GEO]}}
     child = {"pages": {"name": "Pages", "fields": [place(("page", "pos")), "count"]}}
-    star = extract(orders(spark, d), tables({"name": "Visits", "fields": [place(("visit", "page_count")), "count"], "tables": [child]}))
+    star = extract(orders(spark, d, ()), tables({"name": "Visits", "fields": [place(("visit", "page_count")), "count"], "tables": [child]}))
     return star["Number"].select(F.col("Number").cast("long").alias("Number"), "Country", "Region")
 
 
