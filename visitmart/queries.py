@@ -128,7 +128,7 @@ GEO = [{"visit": {"select": "geo.country", "name": "Country"}}, {"visit": {"sele
 
 @query(f"WITH {ORDERS} SELECT CAST(date_trunc('month', start_ts) AS DATE) AS \"Date\", CAST(year(start_ts) * 100 + month(start_ts) AS INTEGER) AS \"Month\", {VISIT_FACTS} FROM ov GROUP BY 1, 2")
 def visits_by_month_facts(spark, d):
-    return one(orders(spark, d), {"name": "Visits", "fields": [{"date": {"resolution": "Month", "inline": True}}, "facts"]}, "Visits").select("Date", "Month", *FACTS)
+    return one(orders(spark, d, ()), {"name": "Visits", "fields": [{"date": {"resolution": "Month", "inline": True}}, "facts"]}, "Visits").select("Date", "Month", *FACTS)
 
 
 @query(f"WITH {WEEK} SELECT visit_id AS \"VisitId\", CAST(pages AS BIGINT) AS \"PageViews\" FROM wv WHERE start_ts >= TIMESTAMP '2024-01-08' AND start_ts < TIMESTAMP '2024-01-15'")
