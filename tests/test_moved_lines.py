@@ -69,6 +69,7 @@ FACTS_ONLY = {"l_quantity", "l_returnflag"}
     ("count_distinct_parent", {*FACTS_ONLY, "l_partkey"}),
     ("dim_shared_attributes", FACTS_ONLY),
     ("visits_by_month_facts", FACTS_ONLY),
+    ("partition_date", FACTS_ONLY),
 ])
 def test_only_what_is_asked_for_moves(spark, data, name, wanted):
     assert columns_read(QUERIES[name](spark, data)) == wanted

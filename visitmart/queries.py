@@ -523,7 +523,7 @@ for _resolution, _minutes in (("hour", 60), ("quarter", 15), ("minute", 1)):
 
 @query(f"WITH {ORDERS} SELECT CAST(date_trunc('week', start_ts) AS TIMESTAMP) AS \"Partition\", {VISIT_FACTS} FROM ov GROUP BY 1")
 def partition_date(spark, d):
-    return one(orders(spark, d), {"name": "Visits", "fields": [{"partitionkey": 7}, "facts"]}, "Visits")
+    return one(orders(spark, d, ()), {"name": "Visits", "fields": [{"partitionkey": 7}, "facts"]}, "Visits")
 
 
 PARTITIONED = {"name": "Visits", "fields": [{"partitionkey": 7}, {"visit": {"select": "geo.country", "name": "Country"}}, "facts"]}
