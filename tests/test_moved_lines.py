@@ -73,3 +73,10 @@ FACTS_ONLY = {"l_quantity", "l_returnflag"}
 ])
 def test_only_what_is_asked_for_moves(spark, data, name, wanted):
     assert columns_read(QUERIES[name](spark, data)) == wanted
+
+
+def test_shared_visits_have_only_what_the_tables_take(spark, data):
+    path = QUERIES["shared_star"](spark, data).inputFiles()[0].rsplit("/", 1)[0]
+    pages = spark.read.parquet(path).schema["pages"].dataType.elementType
+    assert pages.names == ["pos", "item_id", "url_path", "duration", "events"]
+    assert pages["events"].dataType.elementType.names == ["pos", "event_id", "definition_id", "name", "value", "is_goal"]

@@ -762,7 +762,7 @@ UNION ALL SELECT 'Goals', CAST(count(*) AS BIGINT) FROM line WHERE l_returnflag
 """)
 def shared_star(spark, d):
     """Tables of four scopes from visits that are nested once."""
-    star = extract(orders(spark, d), default_spec(events=True), share=True)
+    star = extract(orders(spark, d, ("item",)), default_spec(events=True), share=True)
     totals = [star[t].agg(F.sum("Count").alias("Count")).select(F.lit(t).alias("Table"), "Count") for t in ("Visits", "Pages", "Events", "Goals")]
     return reduce(DataFrame.unionByName, totals)
 
