@@ -80,3 +80,8 @@ def test_shared_visits_have_only_what_the_tables_take(spark, data):
     pages = spark.read.parquet(path).schema["pages"].dataType.elementType
     assert pages.names == ["pos", "item_id", "url_path", "duration", "events"]
     assert pages["events"].dataType.elementType.names == ["pos", "event_id", "definition_id", "name", "value", "is_goal"]
+
+
+def test_windows_stream_visits_without_pages(spark, data):
+    path = QUERIES["stream_windows"](spark, data).inputFiles()[0].rsplit("/", 2)[0]
+    assert spark.read.parquet(f"{path}/in").columns == ["visit_id", "contact_id", "start_ts", "end_ts", "save_ts", "value", "page_count", "geo"]
