@@ -76,6 +76,8 @@ class Measure:
     make: Callable[..., Column] | None = None
     format: str | None = None
     kind: str | None = None
+    #: made of sums of the table's facts only, so that sums of parts of its rows do as well
+    additive: bool = False
 
 
 def with_roles(df: DataFrame, fields: list[Field], more: list[str] = ()) -> DataFrame:

@@ -42,9 +42,17 @@ def check_references(star: StarSchema) -> dict[tuple[str, str], int]:
     return {k: n for k, n in found.items() if n}
 
 
-def with_related(star: StarSchema, name: str, columns: list[str]) -> DataFrame:
-    """A table with attributes reached over its relations, as columns named ``Table.column``."""
-    df = star[name]
+def leading_to(star: StarSchema, name: str, columns: list[str]) -> list[str]:
+    """What :func:`with_related` needs of a table: its own columns among these, and the keys of those that it reaches."""
+    tables = dict.fromkeys(c.split(".")[0] for c in columns if "." in c)
+    relations = [next((r for r in star.relations if r.table == name and r.to == t), None) for t in tables]
+    return list(dict.fromkeys([*(c for c in columns if "." not in c), *(k for r in relations if r for k in r.fields)]))
+
+
+def with_related(star: StarSchema, name: str, columns: list[str], df: DataFrame | None = None) -> DataFrame:
+    """A table with attributes reached over its relations, as columns named ``Table.column``; or ``df`` in its place, an aggregate of it
+    that still has what leads to them (:func:`leading_to`)."""
+    df = star[name] if df is None else df
     for table in dict.fromkeys(c.split(".")[0] for c in columns if "." in c):
         relation = next((r for r in star.relations if r.table == name and r.to == table), None)
         if relation is None:

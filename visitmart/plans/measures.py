@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.model import FACT, Measure, StarSchema, role_of
-from visitmart.operators.joins import meet, same, with_related
+from visitmart.operators.joins import leading_to, meet, same, with_related
 
 
 def field_of(df: DataFrame, name: str) -> str | None:
@@ -25,14 +25,14 @@ def standard(star: StarSchema, table: str) -> list[Measure]:
     df = star[table]
     kinds = {c.metadata.get("kind") for c in df.schema.fields}
     suffix = f" ({table})" if star.parent(table) else ""
-    out = [Measure(f"Total {c.name}{suffix}", table, lambda d, c=c.name: F.sum(f"`{c}`")) for c in df.schema.fields if role_of(c) == FACT]
+    out = [Measure(f"Total {c.name}{suffix}", table, lambda d, c=c.name: F.sum(f"`{c}`"), additive=True) for c in df.schema.fields if role_of(c) == FACT]
     if {"Value", "Visits"} <= kinds:
-        out.append(Measure(f"Value per visit{suffix}", table, lambda d: ratio(d, "Value", "Visits"), "0.00"))
+        out.append(Measure(f"Value per visit{suffix}", table, lambda d: ratio(d, "Value", "Visits"), "0.00", additive=True))
     if {"Bounces", "Visits"} <= kinds:
-        out.append(Measure(f"Bounce rate{suffix}", table, lambda d: ratio(d, "Bounces", "Visits"), "0.00 %"))
+        out.append(Measure(f"Bounce rate{suffix}", table, lambda d: ratio(d, "Bounces", "Visits"), "0.00 %", additive=True))
     if {"Continued", "Potential"} <= kinds:
-        out.append(Measure(f"Continued %{suffix}", table, lambda d: ratio(d, "Continued", "Potential"), "0.00 %"))
-        out.append(Measure(f"Fallout %{suffix}", table, lambda d: ratio(d, "Fallout", "Potential"), "0.00 %"))
+        out.append(Measure(f"Continued %{suffix}", table, lambda d: ratio(d, "Continued", "Potential"), "0.00 %", additive=True))
+        out.append(Measure(f"Fallout %{suffix}", table, lambda d: ratio(d, "Fallout", "Potential"), "0.00 %", additive=True))
     if "ContactId" in kinds:
         out.append(Measure("Unique visitors", table, lambda d: F.count_distinct(f"`{field_of(d, 'ContactId')}`"), "#,##0"))
     parent = star.parent(table)
@@ -43,6 +43,19 @@ def standard(star: StarSchema, table: str) -> list[Measure]:
     return out
 
 
+def _summed(star: StarSchema, table: str, by: list[str]) -> DataFrame | None:
+    """The table's facts summed by what leads to the attributes, so that sums meet them and rows don't move to them. None where all
+    attributes are the table's own, or where facts aren't whole numbers, whose sums depend on how they are taken."""
+    facts = [c for c in star[table].schema.fields if role_of(c) == FACT]
+    if not any("." in b for b in by) or any(c.dataType.typeName() not in _WHOLE for c in facts):
+        return None
+    keys = leading_to(star, table, by)
+    return star[table].groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[F.sum(f"`{c.name}`").alias(c.name) for c in facts])
+
+
+_WHOLE = ("byte", "short", "integer", "long")
+
+
 def measure_query(star: StarSchema, names: list[str], by: list[str]) -> DataFrame:
     """The measures grouped by attributes: columns of the measured table, or ``Table.column`` of tables that it
     refers to. Each table is aggregated on its own; the results meet on the attributes."""
@@ -54,7 +67,7 @@ def measure_query(star: StarSchema, names: list[str], by: list[str]) -> DataFram
         own = [found[n] for n in names if found[n].table == table]
         parts = []
         if plain := [m for m in own if m.make is not None]:
-            df = with_related(star, table, by)
+            df = with_related(star, table, by, _summed(star, table, by) if all(m.additive for m in plain) else None)
             parts.append(df.groupBy(*[F.col(f"`{b}`") for b in by]).agg(*[m.make(star[table]).alias(m.name) for m in plain]))
         for m in (m for m in own if m.make is None):
             parts.append(_with_parent(star, m, by))
