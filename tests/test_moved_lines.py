@@ -85,3 +85,22 @@ def test_shared_visits_have_only_what_the_tables_take(spark, data):
 def test_windows_stream_visits_without_pages(spark, data):
     path = QUERIES["stream_windows"](spark, data).inputFiles()[0].rsplit("/", 2)[0]
     assert spark.read.parquet(f"{path}/in").columns == ["visit_id", "contact_id", "start_ts", "end_ts", "save_ts", "value", "page_count", "geo"]
+
+
+@pytest.mark.parametrize("name", ["measure_value_per_visit", "measure_bounce_rate", "measure_conversion_rate", "visits_by_month_facts"])
+def test_orders_meet_customers_in_as_many_lots_as_lines(spark, data, name):
+    """Before, in the number of shuffle partitions, so that these alone said how much a task sorts."""
+    sizes = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "4k"}
+    old = {k: spark.conf.get(k) for k in sizes}
+    small = rows(QUERIES[name](spark, data))
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        lots = lots_of(read(spark, data, "lineitem"))
+        dealt = QUERIES[name](spark, data)
+        moved = re.findall(r"hashpartitioning\((?:contact_id|c_custkey)#\d+L?, (\d+)\)", plan(dealt))
+        assert len(moved) >= 2 and {int(n) for n in moved} == {lots} and lots > 4
+        assert rows(dealt) == small
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -143,8 +143,8 @@ def orders_with_lines(
     parts: tuple[str, ...] = tuple(PARTS), lots: int | None = None,
 ) -> DataFrame:
     """Orders as visits whose pages are still the lines' own columns, in the pages' order (``__lines``): what is moved once more
-    should be these, two fifths of the nested pages. :func:`visits_of_lines` makes the pages. ``lots``: how many partitions lines
-    are dealt into (:func:`lots_of`)."""
+    should be these, two fifths of the nested pages. :func:`visits_of_lines` makes the pages. ``lots``: how many partitions lines,
+    and orders that meet their customers, are dealt into (:func:`lots_of`)."""
     every = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     wanted = {"l_quantity", "l_returnflag"}.union(*(PARTS[p] for p in parts))
     own = [c for c in every if c in wanted]
@@ -162,6 +162,8 @@ def orders_with_lines(
     if customer is not None:
         place = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, nation["n_regionkey"] == region["r_regionkey"])
         place = place.select("c_custkey", F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("region"), F.lit(None).cast("string").alias("city")).alias("geo"))
+        if lots is not None:  # or their sorts grow with the orders, as no more tasks share them
+            visits, place = visits.repartition(lots, "contact_id"), place.repartition(lots, "c_custkey")
         visits = visits.join(place, visits["contact_id"] == place["c_custkey"], "left").drop("c_custkey")
     else:
         visits = visits.withColumn("geo", F.lit(None).cast("struct<country:string,region:string,city:string>"))
