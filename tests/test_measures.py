@@ -47,3 +47,34 @@ def test_sums_of_parts_are_those_of_rows(spark, data):
     halves = star["Visits"].withColumn("Worth", (F.col("Worth") / 2).alias("Worth", metadata=star["Visits"].schema["Worth"].metadata))
     star.tables["Visits"] = halves.withMetadata("Worth", star["Visits"].schema["Worth"].metadata)
     assert rows(measure_query(star, ["Total Worth"], ["Geo.Region"])) == rows(with_related(star, "Visits", ["Geo.Region"]).groupBy(F.col("`Geo.Region`")).agg(F.sum("Worth").alias("Total Worth")))
+
+
+def test_visits_of_children_are_summed_before_they_meet_attributes(spark, data):
+    """Before, every visit moved to its place's key, and orders were read once more for the visits of all."""
+    df = QUERIES["measure_conversion_rate"](spark, data)
+    moved = under_moves_to(df, "GeoId")
+    assert len(moved) == 1 and re.match(r"HashAggregate\(keys=\[(GeoId|__a0)#", moved[0])
+    assert plan(df).count("FileScan parquet [o_orderkey") == 2  # visits, and their children
+
+
+def test_conversion_by_keys_that_parent_and_child_share(spark, data):
+    """The parent's key leads to its attributes and to its children; places may be null or missing."""
+    visits = orders(spark, data, ()).withColumn("geo", F.when(F.col("visit_id") % 3 > 0, F.col("geo")))
+    child = {"goals": {"name": "Goals", "fields": [{"event": {"select": "name", "name": "Goal"}}, "facts"]}}
+    star = extract(visits, tables({"name": "Visits", "fields": [{"date": "Month"}, {"dimension": {"name": "Geo", "fields": GEO}}, "facts"], "tables": [child]}))
+    star.tables["Geo"] = star["Geo"].where("Region != 'ASIA'")
+    relation = star.parent("Goals")
+    for by in (["Geo.Region"], list(relation.to_fields), [relation.to_fields[0], "Geo.Country"], []):
+        columns = [F.col(f"`{b}`") for b in by]
+        wide = with_related(star, "Visits", by)
+        whole = wide.groupBy(*columns).agg(F.sum("Visits").alias("whole"))
+        keys = [F.col(k).alias(f"p{i}") for i, k in enumerate(relation.to_fields)]
+        up = wide.select(*keys, *[c.alias(f"b{i}") for i, c in enumerate(columns)])
+        child_rows = star["Goals"].select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(relation.fields)], F.col("Visits").alias("n"))
+        on = F.lit(True)
+        for i in range(len(relation.fields)):
+            on &= F.col(f"c{i}").eqNullSafe(F.col(f"p{i}"))
+        part = {tuple(r)[:-1]: r["n"] for r in child_rows.join(up, on).groupBy(*[f"b{i}" for i in range(len(by))]).agg(F.sum("n").alias("n")).collect()}
+        want = sorted(str((*r[:-1], part.get(tuple(r[:-1]), 0) / r[-1])) for r in whole.collect())
+        got = measure_query(star, ["Conversion rate (Goals)"], by)
+        assert sorted(str(tuple(r)) for r in got.collect()) == want and want

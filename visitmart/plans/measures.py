@@ -95,22 +95,24 @@ def _with_parent(star: StarSchema, m: Measure, by: list[str]) -> DataFrame:
     relation = star.parent(m.table)
     parent, child = star[relation.to], star[m.table]
     columns = [F.col(f"`{b}`") for b in by]
-    wide = with_related(star, relation.to, by)
     if m.kind == "visitors":  # contacts of the parent rows that have a child row
+        wide = with_related(star, relation.to, by)
         contact = field_of(parent, "ContactId")
         return wide.join(child, same(wide, relation.to_fields, child, relation.fields), "left_semi").groupBy(*columns).agg(
             F.count_distinct(f"`{contact}`").alias(m.name)
         )
-    attributes = wide.select(*[F.col(f"`{k}`").alias(f"__p{i}") for i, k in enumerate(relation.to_fields)], *columns)
+    # sums of a parent row's children meet it, and its attributes meet sums of both
+    leading = {k: f"__a{i}" for i, k in enumerate(leading_to(star, relation.to, by))}
+    keys = [F.col(f"`{k}`").alias(f"__p{i}") for i, k in enumerate(relation.to_fields)]
+    above = parent.select(*keys, *[F.col(f"`{k}`").alias(a) for k, a in leading.items()], F.col(f"`{field_of(parent, 'Visits')}`").alias("__parent"))
+    below = child.groupBy(*[F.col(f"`{c}`") for c in relation.fields]).agg(F.sum(f"`{field_of(child, 'Visits')}`").alias("__child"))
     on = F.lit(True)
     for i, c in enumerate(relation.fields):
-        on &= child[f"`{c}`"].eqNullSafe(attributes[f"__p{i}"])
-    visits = field_of(child, "Visits")
-    below = child.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*relation.fields, visits])])
-    below = below.join(attributes, on).groupBy(*columns).agg(F.sum(f"`{visits}`").cast("double").alias("__child"))
-    above = wide.groupBy(*columns).agg(F.sum(f"`{field_of(parent, 'Visits')}`").cast("double").alias("__parent"))
-    met = _meet(above, below, by)
-    return met.select(*columns, F.try_divide(F.coalesce("__child", F.lit(0.0)), "__parent").alias(m.name))
+        on &= above[f"__p{i}"].eqNullSafe(below[f"`{c}`"])
+    met = above.join(below, on, "left").groupBy(*leading.values()).agg(F.sum("__child").alias("__child"), F.sum("__parent").alias("__parent"))
+    met = with_related(star, relation.to, by, met.withColumnsRenamed({a: k for k, a in leading.items()}))
+    rate = F.try_divide(F.coalesce(F.sum("__child").cast("double"), F.lit(0.0)), F.sum("__parent").cast("double"))
+    return met.groupBy(*columns).agg(rate.alias(m.name))
 
 
 def presentation(df: DataFrame) -> DataFrame:
